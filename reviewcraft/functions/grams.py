@@ -1,22 +1,51 @@
-"""Overlapping character grams of a text."""
+"""Character grams of words, up to three characters, as strings and as integers."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+MAX_GRAM = 3
+# bits for a code point: three of them fit a signed 64-bit integer
+_BITS = 21
+
 
 def letters_only(text: Column) -> Column:
-    """Lower-case words parted and framed by single spaces; empty if there is no letter."""
-    framed = F.regexp_replace(F.concat(F.lit(" "), F.lower(text), F.lit(" ")), r"\P{L}+", " ")
-    return F.when(framed == " ", "").otherwise(framed)
+    """Lower-case words parted and framed by single spaces; one space if there is no letter."""
+    framed = F.concat(F.lit(" "), F.lower(text), F.lit(" "))
+    return F.regexp_replace(framed, r"\P{L}+", " ")
+
+
+def _join(left: Column, right: Column) -> Column:
+    return F.concat(left, right)
+
+
+def word_grams(word: Column) -> Column:
+    """Grams of one to three characters of a framed word, without the lone frame."""
+    chars = F.array_remove(F.split(word, ""), "")
+    frame = F.array(F.lit(" "))
+    framed = F.concat(frame, chars, frame)
+    n = F.size(framed)
+    pairs = F.zip_with(F.slice(framed, 1, n - 1), F.slice(framed, 2, n), _join)
+    triples = F.zip_with(F.slice(pairs, 1, n - 2), F.slice(framed, 3, n), _join)
+    return F.concat(chars, pairs, triples)
+
+
+def encode_grams(grams: list[str]) -> np.ndarray:
+    """Strings of up to three characters as integers, in the layout of ``text_grams``."""
+    codes = np.zeros(len(grams), dtype=np.int64)
+    for i, gram in enumerate(grams):
+        for position, char in enumerate(gram):
+            codes[i] |= ord(char) << (_BITS * (MAX_GRAM - 1 - position))
+    return codes
 
 
-def char_grams(text: Column, sizes: Sequence[int]) -> Column:
-    """All grams of the given sizes; a zero-width match makes them overlap."""
-    parts = [
-        F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in sizes
-    ]
-    return F.concat(*parts)
+def text_grams(chars: np.ndarray) -> np.ndarray:
+    """The grams that start at each of ``chars`` (code points): one row per size."""
+    first = chars.astype(np.int64) << (2 * _BITS)
+    second = np.zeros_like(first)
+    second[:-1] = first[1:] >> _BITS
+    third = np.zeros_like(first)
+    third[:-2] = first[2:] >> (2 * _BITS)
+    return np.stack([first, first | second, first | second | third])

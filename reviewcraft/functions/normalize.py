@@ -8,57 +8,73 @@ from pyspark.sql import functions as F
 from reviewcraft import fixed_values as fv
 from reviewcraft.functions import text as tx
 
-# ``\b`` treats combining marks as part of a word in Java, hence explicit edges
-_EDGE_BEFORE = f"(?<![{fv.WORD_CLASS}])"
-_EDGE_AFTER = f"(?![{fv.WORD_CLASS}])"
+# The patterns test the rarest thing first: most positions of a text then fail
+# after one comparison. Runs are matched possessively and from their start only,
+# so that a long run costs linear time. ``\b`` is avoided, as it treats combining
+# marks as part of a word.
+_NOT_AFTER_WORD = f"(?<![{fv.WORD_CLASS}])"
+_NOT_BEFORE_WORD = f"(?![{fv.WORD_CLASS}])"
 
 
 def dots_between_letters(text: Column) -> Column:
     """``word.word`` becomes two words."""
-    return F.regexp_replace(text, rf"(?<=[{fv.LETTERS}])\.(?=[{fv.LETTERS}])", " ")
+    return F.regexp_replace(text, rf"\.(?<=[{fv.LETTERS}]\.)(?=[{fv.LETTERS}])", " ")
 
 
 def drop_keyboard_mash(text: Column) -> Column:
     """Delete whole words made of five or more consonants."""
-    mash = f"[{fv.MASH_CONSONANTS}]{{{fv.MASH_MIN_LENGTH},}}"
-    return F.regexp_replace(text, f"{_EDGE_BEFORE}{mash}{_EDGE_AFTER}", "")
+    least = f"[{fv.MASH_CONSONANTS}]{{{fv.MASH_MIN_LENGTH}}}"
+    word = f"[{fv.MASH_CONSONANTS}]++"
+    return F.regexp_replace(text, f"(?={least}){_NOT_AFTER_WORD}{word}{_NOT_BEFORE_WORD}", "")
 
 
 def collapse_letter_runs(text: Column) -> Column:
     """Three or more of one letter become one."""
-    return F.regexp_replace(text, rf"([{fv.LETTERS}])\1{{{fv.LETTER_RUN_MIN_REPEATS},}}", "$1")
+    repeats = fv.LETTER_RUN_MIN_REPEATS
+    return F.regexp_replace(
+        text, rf"(?s)(.)(?=\1{{{repeats}}})(?<=[{fv.LETTERS}])\1++", "$1"
+    )
 
 
 def collapse_punctuation_runs(text: Column) -> Column:
-    return F.regexp_replace(text, rf"([{fv.REPEATABLE_PUNCTUATION}])\1+", "$1")
+    return F.regexp_replace(text, rf"([{fv.REPEATABLE_PUNCTUATION}])\1++", "$1")
 
 
-def attach_plural_suffix(text: Column) -> Column:
-    """Join a plural suffix that was typed as a word of its own."""
-    word = f"[{fv.LETTERS}{fv.CASE_FOLDED_EXTRAS}]+"
-    return F.regexp_replace(
-        text, f"{_EDGE_BEFORE}({word}){tx.SPACES}({fv.PLURAL_SUFFIX}){_EDGE_AFTER}", "$1$2"
-    )
+def attach_plural_suffix(text: Column, space: str = tx.ANY_SPACE) -> Column:
+    """Join a plural suffix that was typed as a word of its own.
 
+    Few texts have one; a search for the bare suffix spares the others the test
+    of each word.
+    """
+    word = f"[{fv.LETTERS}{fv.CASE_FOLDED_EXTRAS}]++"
+    suffix = f"{space}++({fv.PLURAL_SUFFIX}){_NOT_BEFORE_WORD}"
 
-def tighten_punctuation(text: Column) -> Column:
-    return F.regexp_replace(text, f"{tx.SPACES}([{fv.TIGHT_PUNCTUATION}])", "$1")
+    def attach(t: Column) -> Column:
+        joined = F.regexp_replace(t, f"{_NOT_AFTER_WORD}({word}){suffix}", "$1$2")
+        return F.when(t.rlike(suffix), joined).otherwise(t)
 
+    return tx.let(text, attach)
 
-STEPS = (
-    dots_between_letters,
-    drop_keyboard_mash,
-    collapse_letter_runs,
-    collapse_punctuation_runs,
-    attach_plural_suffix,
-    tighten_punctuation,
-    tx.collapse_spaces,
-)
+
+def tighten_punctuation(text: Column, space: str = tx.ANY_SPACE) -> Column:
+    """No space before punctuation."""
+    # the first space of a run, the others, the mark
+    return F.regexp_replace(
+        text, f"{space}(?<!{space}{space}){space}*+([{fv.TIGHT_PUNCTUATION}])", "$1"
+    )
 
 
 def normalize(text: Column) -> Column:
-    """All steps in order; null and blank text give the empty string."""
-    out = F.coalesce(text, F.lit(""))
-    for step in STEPS:
-        out = step(out)
-    return out
+    """All steps in order; null and blank text give the empty string.
+
+    No step tells one kind of space from another and the last one makes them
+    all plain, so they can be made plain first.
+    """
+    out = tx.plain_spaces(F.coalesce(text, F.lit("")))
+    out = dots_between_letters(out)
+    out = drop_keyboard_mash(out)
+    out = collapse_letter_runs(out)
+    out = collapse_punctuation_runs(out)
+    out = attach_plural_suffix(out, " ")
+    out = tighten_punctuation(out, " ")
+    return F.array_join(F.array_remove(F.split(out, " "), ""), " ")

@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from reviewcraft import fixed_values as fv
 
-SPACES = f"[{fv.WHITESPACE_CLASS}]+"
-NON_SPACES = f"[^{fv.WHITESPACE_CLASS}]+"
+# printable ASCII is ruled out by one comparison before the 29 spaces are tried
+ANY_SPACE = f"(?:(?![!-~])[{fv.WHITESPACE_CLASS}])"
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` worked out once, however often ``body`` uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
 def strip(text: Column) -> Column:
@@ -16,18 +23,27 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(fv.WHITESPACE_CHARS))
 
 
-def collapse_spaces(text: Column) -> Column:
-    return strip(F.regexp_replace(text, SPACES, " "))
+def plain_spaces(text: Column) -> Column:
+    """Every Unicode space as U+0020, one for one, without a regex."""
+    return F.translate(text, fv.WHITESPACE_CHARS, " " * len(fv.WHITESPACE_CHARS))
 
 
 def tokens(text: Column) -> Column:
-    """Words between spaces, as ``array<string>``."""
-    return F.regexp_extract_all(text, F.lit(f"({NON_SPACES})"), F.lit(1))
+    """Words between spaces, as ``array<string>``.
+
+    Splitting at a plain space needs no regex; a class of 29 spaces would be
+    tried on each character.
+    """
+    return F.array_remove(F.split(plain_spaces(text), " "), "")
+
+
+def collapse_spaces(text: Column) -> Column:
+    """Runs of spaces become one, none is left at the ends."""
+    return F.array_join(tokens(text), " ")
 
 
 def word_count(text: Column) -> Column:
-    """Number of words, counted in place without building the token array."""
-    return F.regexp_count(text, F.lit(NON_SPACES))
+    return F.size(tokens(text))
 
 
 def strip_html(text: Column) -> Column:
@@ -43,17 +59,24 @@ def clean_text(text: Column) -> Column:
     return collapse_spaces(strip_urls(strip_html(text)))
 
 
+def entropy_bits(counts: Column) -> Column:
+    """Shannon entropy in bits of an array of positive counts; 0 for an empty array."""
+
+    def of(array: Column) -> Column:
+        total = F.aggregate(array, F.lit(0.0), lambda acc, c: acc + c)
+        weighted = F.aggregate(array, F.lit(0.0), lambda acc, c: acc + c * F.log2(c))
+        return F.when(F.size(array) == 0, F.lit(0.0)).otherwise(
+            let(total, lambda n: F.log2(n) - weighted / n)
+        )
+
+    return let(F.transform(counts, lambda c: c.cast("double")), of)
+
+
 def char_entropy(text: Column) -> Column:
-    """Shannon entropy in bits over the code points of ``text``; 0 for empty text."""
-    n = F.length(text).cast("double")
-
-    def add(acc: Column, char: Column) -> Column:
-        # dropping one character and comparing lengths counts it in one scan
-        share = (n - F.length(F.replace(text, char, F.lit("")))) / n
-        return acc - share * F.log2(share)
-
-    # an empty trailing element of the split would count as share 0
-    alphabet = F.array_remove(F.array_distinct(F.split(text, "")), "")
-    return F.when(F.length(text) == 0, F.lit(0.0)).otherwise(
-        F.aggregate(alphabet, F.lit(0.0), add)
-    )
+    """Shannon entropy in bits over the code points of ``text``; 0 for empty text.
+
+    Sorting brings equal characters together; their runs are the counts.
+    """
+    ordered = F.array_join(F.sort_array(F.split(text, "")), "")
+    runs = F.regexp_extract_all(ordered, F.lit(r"(?s)((.)\2*+)"), F.lit(1))
+    return entropy_bits(F.transform(runs, lambda run: F.length(run)))

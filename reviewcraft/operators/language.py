@@ -1,48 +1,82 @@
-"""Language detection with character grams and MLlib naive Bayes.
+"""Language detection: naive Bayes over character grams of words.
 
-Training is a distributed count. Scoring is a narrow projection: the model
-travels with the tasks, so the texts are neither shuffled nor joined back.
+Training counts distinct words before it takes them apart, so its cost follows
+the vocabulary rather than the text. The profile is bounded in size and travels
+with the tasks: scoring is a projection in Arrow batches, and no text is
+shuffled or joined back.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.classification import NaiveBayes
-from pyspark.ml.feature import CountVectorizer, StringIndexer
-from pyspark.sql import DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewcraft import fixed_values as fv
 from reviewcraft.functions import text as tx
-from reviewcraft.functions.grams import char_grams, letters_only
+from reviewcraft.functions.grams import encode_grams, letters_only, text_grams, word_grams
 
-_GRAMS, _LABEL, _COUNTS, _BEST = "__grams", "__label", "__counts", "__best"
+# characters scored at a time by one task, unless a single text is longer
+_SLICE_CHARS = 1 << 18
 
 
 @dataclass(frozen=True)
 class DetectorParams:
-    gram_sizes: Sequence[int] = (1, 2, 3)
-    # bounds what the driver and each executor hold, whatever the training size
+    # most frequent grams kept: bounds what the driver and each worker hold
     vocabulary: int = 1 << 18
     smoothing: float = 0.5
+    # weights are whole numbers, so a score does not depend on the order of a sum
+    scale: float = 1e6
 
 
-def _with_grams(df: DataFrame, text_col: str, sizes: Sequence[int]) -> DataFrame:
-    text = F.col(text_col).cast("string")
-    detectable = F.coalesce(F.length(tx.strip(text)) >= fv.MIN_DETECTABLE_CHARS, F.lit(False))
-    letters = F.when(detectable, letters_only(text)).otherwise("")
-    return df.withColumn(_GRAMS, char_grams(letters, sizes))
+def train_profile(
+    labelled: DataFrame, text_col: str, lang_col: str, params: DetectorParams = DetectorParams()
+) -> DataFrame:
+    """``gram, lang, weight``: scaled log probabilities of the grams of each language."""
+    letters = F.trim(letters_only(F.col(text_col)))
+    words = (
+        labelled.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
+        .select(F.col(lang_col).alias("lang"), F.explode(F.split(letters, " ")).alias("word"))
+        .filter("word <> ''")
+        .groupBy("lang", "word")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    counts = (
+        words.select("lang", "n", F.explode(word_grams(F.col("word"))).alias("gram"))
+        .groupBy("gram", "lang")
+        .agg(F.sum("n").alias("n"))
+    )
+    # one row per gram, a map entry per language
+    per_gram = counts.groupBy("gram").agg(
+        F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by_lang"),
+        F.sum("n").alias("n_all"),
+    )
+    kept = per_gram.orderBy(F.col("n_all").desc(), "gram").limit(params.vocabulary)
+    # totals over all grams; a language is a row here
+    totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
+    size = per_gram.agg(F.count(F.lit(1)).alias("size")).scalar()
+    languages = totals.agg(F.collect_list(F.struct("lang", "total"))).scalar()
+    spread = kept.select("gram", "by_lang", F.explode(languages).alias("l"))
+    n = F.coalesce(F.try_element_at("by_lang", F.col("l.lang")), F.lit(0))
+    log_share = F.log(n + F.lit(params.smoothing)) - F.log(
+        F.col("l.total") + F.lit(params.smoothing) * size
+    )
+    return spread.select(
+        "gram", "l.lang", F.rint(log_share * params.scale).cast("bigint").alias("weight")
+    )
 
 
 class LanguageDetector:
-    """A fitted detector. ``detect`` adds the label column to any batch or stream."""
+    """A trained profile. ``detect`` adds the label column to a batch or a stream."""
 
-    def __init__(self, model: PipelineModel, params: DetectorParams) -> None:
-        self.model = model
-        self.params = params
+    def __init__(self, languages: list[str], grams: np.ndarray, weights: np.ndarray) -> None:
+        self.languages = languages
+        self.grams = grams  # sorted codes
+        self.weights = weights  # one row per language, in the order of the codes
 
     @classmethod
     def train(
@@ -52,49 +86,71 @@ class LanguageDetector:
         lang_col: str,
         params: DetectorParams = DetectorParams(),
     ) -> LanguageDetector:
-        """Learn gram frequencies per language from ``labelled``."""
-        examples = _with_grams(
-            labelled.select(F.col(text_col), F.col(lang_col).alias("__lang")),
-            text_col,
-            params.gram_sizes,
-        ).filter((F.size(_GRAMS) > 0) & F.col("__lang").isNotNull())
-        # alphabetical label order, so that ties go to the same language each time
-        labels = StringIndexer(
-            inputCol="__lang", outputCol=_LABEL, stringOrderType="alphabetAsc"
-        ).fit(examples)
-        vectorizer = CountVectorizer(
-            inputCol=_GRAMS, outputCol=_COUNTS, vocabSize=params.vocabulary, minDF=1.0
-        ).fit(examples)
-        bayes = NaiveBayes(
-            featuresCol=_COUNTS,
-            labelCol=_LABEL,
-            predictionCol=_BEST,
-            probabilityCol="",
-            rawPredictionCol="",
-            smoothing=params.smoothing,
-        ).fit(vectorizer.transform(labels.transform(examples)))
-        return cls(PipelineModel(stages=[labels, vectorizer, bayes]), params)
-
-    def save(self, path: str) -> None:
-        self.model.write().overwrite().save(path)
+        return cls.from_profile(train_profile(labelled, text_col, lang_col, params))
+
+    @classmethod
+    def from_profile(cls, profile: DataFrame) -> LanguageDetector:
+        """Collect a profile: at most the vocabulary, times the number of languages."""
+        table = profile.toPandas().pivot(index="gram", columns="lang", values="weight")
+        codes = encode_grams(table.index.tolist())
+        order = np.argsort(codes)
+        return cls(list(table.columns), codes[order], table.to_numpy().T[:, order].copy())
 
     @classmethod
-    def load(cls, path: str, params: DetectorParams = DetectorParams()) -> LanguageDetector:
-        return cls(PipelineModel.load(path), params)
+    def load(cls, spark: SparkSession, path: str) -> LanguageDetector:
+        return cls.from_profile(spark.read.parquet(path))
 
     def detect(
         self, df: DataFrame, text_col: str, output_col: str = "detected_lang"
     ) -> DataFrame:
-        """Add the most likely language; texts without usable grams are ``unknown``."""
-        index, vectorizer, bayes = self.model.stages
-        names = F.array(*[F.lit(name) for name in index.labels])
-        scored = bayes.transform(
-            vectorizer.transform(_with_grams(df, text_col, self.params.gram_sizes))
+        """Add the most likely language; texts without known grams are ``unknown``."""
+        text = F.col(text_col).cast("string")
+        detectable = F.length(tx.strip(text)) >= fv.MIN_DETECTABLE_CHARS
+        shared = df.sparkSession.sparkContext.broadcast(
+            (self.languages, self.grams, self.weights)
         )
-        label = F.when(F.size(_GRAMS) == 0, fv.UNKNOWN_LANGUAGE).otherwise(
-            F.element_at(names, F.col(_BEST).cast("int") + 1)
-        )
-        return scored.withColumn(output_col, label).drop(_GRAMS, _COUNTS, _BEST)
+
+        @F.pandas_udf("string")
+        def label(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            languages, grams, weights = shared.value
+            names = np.array([*languages, fv.UNKNOWN_LANGUAGE], dtype=object)
+            for texts in batches:
+                yield pd.Series(names[_best_language(texts.tolist(), grams, weights)])
+
+        scored = label(F.when(detectable, letters_only(text)).otherwise(""))
+        return df.withColumn(output_col, scored)
+
+
+def _best_language(texts: list[str], grams: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Row of ``weights`` with the highest score for each text, ``len(weights)`` if none."""
+    best = np.full(len(texts), len(weights))
+    start = 0
+    while start < len(texts):
+        stop, size = start + 1, len(texts[start])
+        while stop < len(texts) and size + len(texts[stop]) <= _SLICE_CHARS:
+            size += len(texts[stop])
+            stop += 1
+        best[start:stop] = _score_slice(texts[start:stop], grams, weights)
+        start = stop
+    return best
+
+
+def _score_slice(texts: list[str], grams: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    # two zeros end each text, so that no gram reaches into the next one
+    joined = "".join(text + "\0\0" for text in texts)
+    chars = np.frombuffer(joined.encode("utf-32-le"), dtype=np.uint32)
+    ends = np.cumsum([len(text) + 2 for text in texts])
+    starts = np.concatenate([[0], ends[:-1]])
+    scores = np.zeros((len(weights), len(texts)), dtype=np.int64)
+    hits = np.zeros(len(texts), dtype=np.int64)
+    for codes in text_grams(chars):
+        found = np.searchsorted(grams, codes)
+        found[found == len(grams)] = 0
+        known = grams[found] == codes
+        hits += np.add.reduceat(known, starts, dtype=np.int64)
+        for i, weight in enumerate(weights):
+            scores[i] += np.add.reduceat(np.where(known, weight[found], 0), starts)
+    return np.where(hits > 0, scores.argmax(axis=0), len(weights))
 
 
 def allowed_languages(

@@ -9,29 +9,34 @@ from reviewcraft import fixed_values as fv
 from reviewcraft.functions.normalize import normalize
 
 
-def normalize_data(
-    df: DataFrame, text_col: str = "cleaned_text", observation: Observation | None = None
+def with_changes(
+    df: DataFrame, text_col: str = "cleaned_text", metrics: Observation | str = "normalize"
 ) -> DataFrame:
-    """Normalize in place; the number of changed rows comes with ``observation``."""
-    if observation is None:
-        return df.withColumn(text_col, normalize(F.col(text_col)))
-    tracked = with_changes(df, text_col).observe(
-        observation,
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.col("changed")).alias("changed_rows"),
-    )
-    return tracked.drop("before", "changed")
+    """Normalize in place and add ``before`` and ``changed``.
 
-
-def with_changes(df: DataFrame, text_col: str = "cleaned_text") -> DataFrame:
-    """Normalize in place and add ``before`` and ``changed``."""
+    Row and change counts are observed under ``metrics``. The observation also
+    keeps later filters above the normalization, which would otherwise be
+    inlined into them and run once more for each use.
+    """
     return (
         df.withColumn("before", F.col(text_col))
         .withColumn(text_col, normalize(F.col(text_col)))
         .withColumn("changed", ~F.col("before").eqNullSafe(F.col(text_col)))
+        .observe(
+            metrics,
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if(F.col("changed")).alias("changed_rows"),
+        )
     )
 
 
+def normalize_data(
+    df: DataFrame, text_col: str = "cleaned_text", metrics: Observation | str = "normalize"
+) -> DataFrame:
+    """Normalize in place."""
+    return with_changes(df, text_col, metrics).drop("before", "changed")
+
+
 def change_samples(
     df: DataFrame,
     text_col: str = "cleaned_text",

@@ -8,23 +8,35 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from reviewcraft import fixed_values as fv
-from reviewcraft.functions import text as tx
-from reviewcraft.functions.quality import QualityRules, reject_reason
+from reviewcraft.functions.quality import Measures, QualityRules, reject_reason
 from reviewcraft.operators.normalization import normalize_data
 
-_WORDS = "__words"
+_MEASURES = ("__words", "__letters", "__vowels")
 
 
 def with_reject_reason(
-    df: DataFrame, text_col: str = "cleaned_text", rules: QualityRules = QualityRules()
+    df: DataFrame,
+    text_col: str = "cleaned_text",
+    rules: QualityRules = QualityRules(),
+    metrics: Observation | str = "quality",
 ) -> DataFrame:
-    """Add ``reject_reason``: the first rule broken, null for rows to keep."""
+    """Add ``reject_reason``: the first rule broken, null for rows to keep.
+
+    Kept and removed rows are counted under ``metrics``. As a filter is not
+    pushed below the observation, the rules run once per row.
+    """
     text = F.col(text_col)
-    # a column of its own, so the rules share one tokenization per row
+    measured = Measures.of(text)
+    columns = Measures(*[F.col(name) for name in _MEASURES])
     return (
-        df.withColumn(_WORDS, tx.tokens(text))
-        .withColumn("reject_reason", reject_reason(text, F.col(_WORDS), rules))
-        .drop(_WORDS)
+        df.withColumns(dict(zip(_MEASURES, (measured.words, measured.letters, measured.vowels))))
+        .withColumn("reject_reason", reject_reason(text, columns, rules))
+        .drop(*_MEASURES)
+        .observe(
+            metrics,
+            F.count_if(F.col("reject_reason").isNull()).alias("kept_rows"),
+            F.count_if(F.col("reject_reason").isNotNull()).alias("removed_rows"),
+        )
     )
 
 
@@ -32,16 +44,10 @@ def quality_filter(
     df: DataFrame,
     text_col: str = "cleaned_text",
     rules: QualityRules = QualityRules(),
-    observation: Observation | None = None,
+    metrics: Observation | str = "quality",
 ) -> DataFrame:
-    """Rows that break no rule; kept and removed counts come with ``observation``."""
-    judged = with_reject_reason(df, text_col, rules)
-    if observation is not None:
-        judged = judged.observe(
-            observation,
-            F.count_if(F.col("reject_reason").isNull()).alias("kept_rows"),
-            F.count_if(F.col("reject_reason").isNotNull()).alias("removed_rows"),
-        )
+    """Rows that break no rule."""
+    judged = with_reject_reason(df, text_col, rules, metrics)
     return judged.filter(F.col("reject_reason").isNull()).drop("reject_reason")
 
 

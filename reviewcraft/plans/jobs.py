@@ -18,7 +18,7 @@ from reviewcraft.operators import enrichment as en
 from reviewcraft.operators import finetune as ft
 from reviewcraft.operators import inspection
 from reviewcraft.operators.context import ContextParams, build_context, place_counts, with_review_id
-from reviewcraft.operators.language import DetectorParams, LanguageDetector
+from reviewcraft.operators.language import DetectorParams, LanguageDetector, train_profile
 from reviewcraft.plans.stages import CleaningParams, clean_reviews, curate_reviews, training_text
 from reviewcraft.session import get_session, path_exists, shared_folder
 from reviewcraft.sources import jsonl, tables
@@ -35,9 +35,9 @@ def train_detector(
     lang_col: str,
     params: DetectorParams = DetectorParams(),
 ) -> Metrics:
-    examples = tables.read_parquet(spark, labelled).select(text_col, lang_col)
-    LanguageDetector.train(examples, text_col, lang_col, params).save(model)
-    return {"languages": LanguageDetector.load(model).model.stages[0].labels}
+    examples = tables.read_parquet(spark, labelled)
+    tables.write_parquet(train_profile(examples, text_col, lang_col, params), model)
+    return {"languages": LanguageDetector.load(spark, model).languages}
 
 
 def clean(
@@ -56,7 +56,7 @@ def clean(
     unit of progress is an input file, see ``tables.write_parquet``.
     """
     schema = spark.read.parquet(raw).schema
-    detector = LanguageDetector.load(model)
+    detector = LanguageDetector.load(spark, model)
     staging = f"{work}/staging"
     batches = incremental.run_available(
         spark,
@@ -78,9 +78,7 @@ def clean(
 def curate(spark: SparkSession, cleaned: str, curated: str) -> Metrics:
     normalized, judged = Observation("normalize"), Observation("quality")
     reviews = with_review_id(tables.read_parquet(spark, cleaned))
-    tables.write_parquet(
-        curate_reviews(reviews, normalized=normalized, judged=judged), curated
-    )
+    tables.write_parquet(curate_reviews(reviews, normalized=normalized, judged=judged), curated)
     return {**normalized.get, **judged.get}
 
 

@@ -208,7 +208,7 @@ _EXTRACTED = f"""
 
 
 def _detected(source: str, key: str, text: str) -> str:
-    """``key, detected_lang`` for ``source``, trained on the whole of documents."""
+    """``source`` with detected_lang, trained on the whole of documents."""
 
     def grams(table: str, columns: str, body: str) -> str:
         letters = _sub(f"concat(' ', lower({body}), ' ')", r"\P{L}+", " ")
@@ -220,11 +220,9 @@ def _detected(source: str, key: str, text: str) -> str:
                 FROM (SELECT {columns}, unnest(chars) AS ch,
                              generate_subscripts(chars, 1) AS pos
                       FROM (SELECT {columns}, string_split({letters}, '') AS chars
-                            FROM ({table})
-                            WHERE length({_strip(body)}) >= {fv.MIN_DETECTABLE_CHARS}
-                              AND {letters} <> ' '))
+                            FROM ({table})))
                 WINDOW w AS (PARTITION BY {columns} ORDER BY pos)))
-        WHERE gram IS NOT NULL"""
+        WHERE gram <> ' ' AND NOT (length(gram) = 3 AND substring(gram, 2, 1) = ' ')"""
 
     return f"""
     WITH train_grams AS (
@@ -233,29 +231,20 @@ def _detected(source: str, key: str, text: str) -> str:
                      "doc_id, lang", "text")}) GROUP BY ALL),
     langs AS (SELECT lang, sum(n) AS total FROM train_grams GROUP BY lang),
     sizes AS (SELECT count(DISTINCT gram) AS v FROM train_grams),
-    priors AS (
-        SELECT lang, ln(count(*) + 0.5)
-                     - ln(sum(count(*)) OVER () + 0.5 * count(*) OVER ()) AS prior
-        FROM documents WHERE lang IS NOT NULL
-            AND length({_strip("text")}) >= {fv.MIN_DETECTABLE_CHARS}
-            AND regexp_matches(text, '\\p{{L}}')
-        GROUP BY lang),
     weights AS (
-        SELECT g.gram, l.lang, ln(coalesce(t.n, 0) + 0.5) - ln(l.total + 0.5 * v) AS weight
+        SELECT g.gram, l.lang, CAST(round_even((ln(coalesce(t.n, 0) + 0.5::DOUBLE)
+                   - ln(l.total + 0.5::DOUBLE * v)) * 1e6, 0) AS BIGINT) AS weight
         FROM (SELECT DISTINCT gram FROM train_grams) g CROSS JOIN langs l CROSS JOIN sizes
         LEFT JOIN train_grams t ON t.gram = g.gram AND t.lang = l.lang),
     counts AS (
-        SELECT {key}, gram, count(*) AS n FROM ({grams(source, key, text)}) GROUP BY ALL),
-    scores AS (
-        SELECT {key}, lang, sum(n * weight) AS score
-        FROM counts JOIN weights USING (gram) GROUP BY ALL),
+        SELECT {key}, gram, count(*) AS n FROM ({grams(
+            f"SELECT * FROM ({source}) WHERE length({_strip(text)}) >= {fv.MIN_DETECTABLE_CHARS}",
+            key, text)}) GROUP BY ALL),
     labels AS (
         SELECT {key}, lang FROM (
             SELECT {key}, lang, row_number() OVER (
-                PARTITION BY {key} ORDER BY score + prior DESC, lang) AS best
-            FROM (SELECT DISTINCT {key}, p.lang, p.prior, coalesce(s.score, 0) AS score
-                  FROM (SELECT DISTINCT {key} FROM counts) k CROSS JOIN priors p
-                  LEFT JOIN scores s USING ({key}, lang)))
+                PARTITION BY {key} ORDER BY sum(n * weight) DESC, lang) AS best
+            FROM counts JOIN weights USING (gram) GROUP BY {key}, lang)
         WHERE best = 1)
     SELECT s.*, coalesce(labels.lang, '{fv.UNKNOWN_LANGUAGE}') AS detected_lang
     FROM ({source}) s LEFT JOIN labels USING ({key})"""

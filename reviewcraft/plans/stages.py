@@ -12,7 +12,7 @@ from reviewcraft import fixed_values as fv
 from reviewcraft.functions.quality import QualityRules
 from reviewcraft.operators.cleaning import clean_text_basic, remove_nulls
 from reviewcraft.operators.finetune import render_chat, with_length_budget
-from reviewcraft.operators.language import LanguageDetector, keep_languages
+from reviewcraft.operators.language import LanguageDetector, allowed_languages, keep_languages
 from reviewcraft.operators.normalization import normalize_data
 from reviewcraft.operators.quality import filter_columns, quality_filter
 from reviewcraft.operators.translation import BackendFactory, translate_foreign
@@ -30,32 +30,39 @@ def clean_reviews(
     df: DataFrame,
     detector: LanguageDetector,
     params: CleaningParams = CleaningParams(),
-    observation: Observation | None = None,
+    metrics: Observation | str = "clean",
 ) -> DataFrame:
-    """Raw to cleaned. Narrow throughout, so it runs on a batch and on a stream alike."""
-    detected = (
+    """Raw to cleaned. Narrow throughout, so it runs on a batch and on a stream alike.
+
+    The observation counts what language filtering removes. It also keeps the
+    filter above the detection, so that a text is scored once.
+    """
+    languages = allowed_languages(params.target_lang, params.translatable)
+    return (
         df.transform(remove_nulls, params.text_col)
         .transform(clean_text_basic, params.text_col)
         .transform(detector.detect, params.text_col)
-    )
-    if observation is not None:
-        detected = detected.observe(observation, F.count(F.lit(1)).alias("non_blank_rows"))
-    return detected.transform(
-        keep_languages, params.target_lang, params.translatable
-    ).transform(
-        translate_foreign,
-        params.text_col,
-        params.target_lang,
-        params.backend,
-        params.translatable,
+        .observe(
+            metrics,
+            F.count(F.lit(1)).alias("non_blank_rows"),
+            F.count_if(~F.col("detected_lang").isin(languages)).alias("other_language_rows"),
+        )
+        .transform(keep_languages, params.target_lang, params.translatable)
+        .transform(
+            translate_foreign,
+            params.text_col,
+            params.target_lang,
+            params.backend,
+            params.translatable,
+        )
     )
 
 
 def curate_reviews(
     df: DataFrame,
     rules: QualityRules = QualityRules(),
-    normalized: Observation | None = None,
-    judged: Observation | None = None,
+    normalized: Observation | str = "normalize",
+    judged: Observation | str = "quality",
 ) -> DataFrame:
     """Cleaned to curated, keeping the row id that decides ties later."""
     return (
