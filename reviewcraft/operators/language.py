@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from reviewcraft import fixed_values as fv
 from reviewcraft.functions import text as tx
-from reviewcraft.functions.grams import encode_grams, letters_only, text_grams, word_grams
+from reviewcraft.functions.grams import count_word_grams, framed_codes, letters_only, text_grams
 
 # characters scored at a time by one task, unless a single text is longer
 _SLICE_CHARS = 1 << 18
@@ -46,7 +46,7 @@ def train_profile(
         .agg(F.count(F.lit(1)).alias("n"))
     )
     counts = (
-        words.select("lang", "n", F.explode(word_grams(F.col("word"))).alias("gram"))
+        words.mapInPandas(count_word_grams, "lang string, gram bigint, n bigint")
         .groupBy("gram", "lang")
         .agg(F.sum("n").alias("n"))
     )
@@ -75,8 +75,8 @@ class LanguageDetector:
 
     def __init__(self, languages: list[str], grams: np.ndarray, weights: np.ndarray) -> None:
         self.languages = languages
-        self.grams = grams  # sorted codes
-        self.weights = weights  # one row per language, in the order of the codes
+        self.grams = grams  # ascending
+        self.weights = weights  # one row per language, in the order of the grams
 
     @classmethod
     def train(
@@ -92,9 +92,8 @@ class LanguageDetector:
     def from_profile(cls, profile: DataFrame) -> LanguageDetector:
         """Collect a profile: at most the vocabulary, times the number of languages."""
         table = profile.toPandas().pivot(index="gram", columns="lang", values="weight")
-        codes = encode_grams(table.index.tolist())
-        order = np.argsort(codes)
-        return cls(list(table.columns), codes[order], table.to_numpy().T[:, order].copy())
+        table = table.sort_index()
+        return cls(list(table.columns), table.index.to_numpy(), table.to_numpy().T.copy())
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> LanguageDetector:
@@ -136,14 +135,11 @@ def _best_language(texts: list[str], grams: np.ndarray, weights: np.ndarray) ->
 
 
 def _score_slice(texts: list[str], grams: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    # two zeros end each text, so that no gram reaches into the next one
-    joined = "".join(text + "\0\0" for text in texts)
-    chars = np.frombuffer(joined.encode("utf-32-le"), dtype=np.uint32)
-    ends = np.cumsum([len(text) + 2 for text in texts])
-    starts = np.concatenate([[0], ends[:-1]])
+    lengths = [len(text) + 2 for text in texts]
+    starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
     scores = np.zeros((len(weights), len(texts)), dtype=np.int64)
     hits = np.zeros(len(texts), dtype=np.int64)
-    for codes in text_grams(chars):
+    for codes in text_grams(framed_codes(texts)):
         found = np.searchsorted(grams, codes)
         found[found == len(grams)] = 0
         known = grams[found] == codes

@@ -43,9 +43,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return tables.read_parquet(spark, f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose texts are going to be worked on."""
+    return tables.spread(table(spark, sf_dir, name))
+
+
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     place = "cast(floor(sqrt(doc_id)) AS bigint)"
-    return table(spark, sf_dir, "documents").selectExpr(
+    return texts(spark, sf_dir, "documents").selectExpr(
         "doc_id AS review_id",
         f"concat('place_', {place}) AS place_id",
         f"concat('Place ', {place}) AS place_name",
@@ -64,7 +69,7 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def marked_up(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Address and page source as one text."""
-    return table(spark, sf_dir, "pages").select(
+    return texts(spark, sf_dir, "pages").select(
         "page_id", F.concat_ws(" ", "url", "html").alias("review_text")
     )
 
@@ -99,7 +104,7 @@ def answered_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def detector(spark: SparkSession, sf_dir: str) -> LanguageDetector:
-    return LanguageDetector.train(table(spark, sf_dir, "documents"), "text", "lang")
+    return LanguageDetector.train(texts(spark, sf_dir, "documents"), "text", "lang")
 
 
 # --- cleaning ----------------------------------------------------------------
@@ -123,14 +128,14 @@ def clean_text_basic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def detect_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    documents = texts(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return detector(spark, sf_dir).detect(documents, "text").select(
         "doc_id", "lang", "detected_lang"
     )
 
 
 def detect_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    turns = texts(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
     return detector(spark, sf_dir).detect(turns, "text").select(
         "conv_id", "turn", "detected_lang"
     )
@@ -143,9 +148,9 @@ def language_allow_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def translation_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = reviews(spark, sf_dir).withColumnRenamed("cleaned_text", "review_text")
+    raw = reviews(spark, sf_dir).withColumnRenamed("cleaned_text", "review_text")
     return translation.translate_foreign(
-        texts, "review_text", TARGET, translatable=TRANSLATABLE
+        raw, "review_text", TARGET, translatable=TRANSLATABLE
     ).select("review_id", "is_translated", "cleaned_text")
 
 
@@ -154,14 +159,14 @@ def _tagging_backend() -> translation.Backend:
 
 
 def translate_with_backend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = reviews(spark, sf_dir).withColumnRenamed("cleaned_text", "review_text")
+    raw = reviews(spark, sf_dir).withColumnRenamed("cleaned_text", "review_text")
     return translation.translate_foreign(
-        texts, "review_text", TARGET, _tagging_backend, TRANSLATABLE
+        raw, "review_text", TARGET, _tagging_backend, TRANSLATABLE
     ).select("review_id", "is_translated", "cleaned_text")
 
 
 def translate_with_glossary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    documents = texts(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     glossary = translation.frequency_glossary(documents, "text", "lang", TARGET, GLOSSARY_SIZE)
     foreign = documents.filter(F.col("lang") != TARGET)
     return translation.glossary_translate(
@@ -178,7 +183,7 @@ def resumable_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw files, cleaned in increments over two runs; the second finds nothing to do."""
     work = shared_folder(spark, "resumable")
     raw = f"{work}/raw"
-    tables.write_parquet(raw_reviews(spark, sf_dir).repartition(8), raw)
+    tables.write_parquet(raw_reviews(spark, sf_dir), raw)
     params = CleaningParams(target_lang=TARGET, translatable=TRANSLATABLE)
     model = detector(spark, sf_dir)
     for _ in range(2):
@@ -203,7 +208,7 @@ def resumable_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _on_documents(change: Callable[[Column], Column], name: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return table(spark, sf_dir, "documents").select(
+        return texts(spark, sf_dir, "documents").select(
             "doc_id", change(F.col("text")).alias(name)
         )
 
@@ -221,7 +226,7 @@ def normalize_change_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def char_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(
+    return texts(spark, sf_dir, "documents").select(
         "doc_id", F.round(tx.char_entropy(F.col("text")), 6).alias("entropy")
     )
 
@@ -293,9 +298,11 @@ def build_context_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def build_context_forty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Curated reviews with the job's larger sample."""
+    """Curated reviews, written as a table, with the job's larger sample."""
+    path = shared_folder(spark, "curated") + "/reviews"
+    tables.write_parquet(curated_reviews(spark, sf_dir), path)
     params = context.ContextParams(max_reviews=fv.JOB_MAX_REVIEWS_PER_PLACE)
-    return context.build_context(curated_reviews(spark, sf_dir), params)
+    return context.build_context(tables.read_parquet(spark, path), params)
 
 
 # --- enrichment --------------------------------------------------------------

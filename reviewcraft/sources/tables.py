@@ -23,6 +23,17 @@ def nan_to_null(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, F.when(~F.isnan(value), value))
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Give a scan at least one task per core before costly work on each row.
+
+    One file with one big row group is read by one task. Only such small inputs
+    are redistributed; a large table has more splits than the cluster has cores
+    and comes back as it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def count_rows(df: DataFrame) -> DataFrame:
     """Number of rows; for Parquet, Spark reads the footers' row counts only."""
     return df.agg(F.count(F.lit(1)).alias("n_rows"))
