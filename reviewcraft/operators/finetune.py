@@ -71,11 +71,18 @@ def _cutoff(keys: DataFrame, test_size: float) -> Column:
         .filter((F.col("upto") >= F.col("wanted")) & (F.col("upto") - F.col("n") < F.col("wanted")))
         .select("prefix", (F.col("wanted") - F.col("upto") + F.col("n")).alias("rest"))
     )
-    in_cut = keys.withColumn("prefix", prefix).join(F.broadcast(cut), "prefix")
-    ranked = in_cut.withColumn(
-        "rn", F.row_number().over(Window.partitionBy("prefix").orderBy("k"))
+    # keys are counted first: copies of one key never meet row by row
+    in_cut = (
+        keys.withColumn("prefix", prefix)
+        .join(F.broadcast(cut), "prefix")
+        .groupBy("prefix", "rest", "k")
+        .agg(F.count(F.lit(1)).alias("copies"))
     )
-    return ranked.filter(F.col("rn") == F.col("rest")).select("k").scalar()
+    upto = F.sum("copies").over(
+        Window.partitionBy("prefix").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
+    )
+    reached = in_cut.withColumn("upto", upto).filter(F.col("upto") >= F.col("rest"))
+    return reached.agg(F.min("k").alias("k")).scalar()
 
 
 def mark_test_rows(
@@ -85,10 +92,11 @@ def mark_test_rows(
     seed: int = fv.SEED,
     exact: bool = True,
 ) -> DataFrame:
-    """Add ``is_test`` for a reproducible split on the unique ``key_col``.
+    """Add ``is_test`` for a reproducible split on ``key_col``.
 
     Exact: ``ceil(test_size * n)`` rows are test rows, those with the smallest
-    hashed keys. Otherwise a row is a test row if its hash falls into the first
+    hashed keys. Rows of one key stay together, so the number is exact for
+    unique keys and may be larger by copies of the last one. Otherwise a row is a test row if its hash falls into the first
     ``test_size`` of the hash range: no statistics, and a row never changes
     sides as the table grows.
     """

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewcraft import fixed_values as fv
@@ -18,6 +18,12 @@ def summarize_table(df: DataFrame) -> DataFrame:
     return df.agg(*parts)
 
 
+def metrics_table(spark: SparkSession, observed: dict[str, dict[str, int]]) -> DataFrame:
+    """Observed metrics of a run as ``stage, metric, value``."""
+    rows = [(stage, name, n) for stage, values in observed.items() for name, n in values.items()]
+    return spark.createDataFrame(rows, "stage string, metric string, value bigint")
+
+
 def seeded_order(key: Column, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")))
 

@@ -188,9 +188,14 @@ def main(argv: list[str] | None = None) -> None:
         return sub
 
     command("train-detector", train_detector, "labelled", "model", "text_col", "lang_col")
-    command("clean", clean, "raw", "cleaned", "model", "work")
+    sub = command("clean", clean, "raw", "cleaned", "model", "work")
+    sub.add_argument("--text-col", default="review_text")
+    sub.add_argument("--target-lang", default=fv.TARGET_LANGUAGE)
+    sub.add_argument("--translatable", nargs="*", default=list(fv.TRANSLATABLE_LANGUAGES))
     command("curate", curate, "cleaned", "curated")
-    command("contexts", contexts, "curated", "output")
+    sub = command("contexts", contexts, "curated", "output")
+    sub.add_argument("--max-reviews", type=int, default=fv.JOB_MAX_REVIEWS_PER_PLACE)
+    sub.add_argument("--min-reviews", type=int, default=fv.MIN_REVIEWS_PER_PLACE)
     command("enrich", enrich, "contexts_path", "summaries_path").add_argument(
         "--limit", type=int, default=fv.DAILY_LIMIT
     )
@@ -203,6 +208,12 @@ def main(argv: list[str] | None = None) -> None:
     )
     options = vars(parser.parse_args(argv))
     run, name = options.pop("run"), options.pop("command")
+    if run is clean:
+        names = ("text_col", "target_lang", "translatable")
+        options["params"] = CleaningParams(**{n: options.pop(n) for n in names})
+    elif run is contexts:
+        names = ("max_reviews", "min_reviews")
+        options["params"] = ContextParams(**{n: options.pop(n) for n in names})
     metrics = run(get_session(f"reviewcraft {name}"), **options)
     print(json.dumps(metrics, ensure_ascii=False, default=str))
 

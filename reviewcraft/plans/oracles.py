@@ -442,6 +442,13 @@ ORACLES: dict[str, str] = {
     "stage_summary": f"""
         SELECT count(*) AS n_rows, count(*) FILTER (is_translated) AS n_translated
         FROM ({_FLAGGED})""",
+    "stage_metrics": f"""
+        SELECT 'normalize' AS stage, 'rows' AS metric, count(*) AS value FROM ({_REVIEWS})
+        UNION ALL SELECT 'normalize', 'changed_rows', count(*)
+            FROM ({_NORMALIZED}) WHERE before <> after
+        UNION ALL SELECT 'quality', 'kept_rows', count(*) FROM ({_CURATED})
+        UNION ALL SELECT 'quality', 'removed_rows',
+            (SELECT count(*) FROM ({_REVIEWS})) - (SELECT count(*) FROM ({_CURATED}))""",
     "random_sample": f"""
         SELECT is_translated, cleaned_text FROM ({_FLAGGED})
         ORDER BY md5(concat('{fv.SEED}:', review_id)) LIMIT 10""",

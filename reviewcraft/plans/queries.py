@@ -12,7 +12,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from reviewcraft import fixed_values as fv
@@ -167,7 +167,12 @@ def translate_with_backend(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def translate_with_glossary(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = texts(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    glossary = translation.frequency_glossary(documents, "text", "lang", TARGET, GLOSSARY_SIZE)
+    path = shared_folder(spark, "glossary") + "/glossary"
+    tables.write_parquet(
+        translation.frequency_glossary(documents, "text", "lang", TARGET, GLOSSARY_SIZE), path
+    )
+    # as a table, its size is known: Spark broadcasts it if it is small
+    glossary = tables.read_parquet(spark, path)
     foreign = documents.filter(F.col("lang") != TARGET)
     return translation.glossary_translate(
         foreign, glossary, "text", ["doc_id"], "lang", "cleaned_text"
@@ -442,6 +447,14 @@ def stage_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inspection.summarize_table(translation_flags(spark, sf_dir))
 
 
+def stage_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What curation observes while its result is written."""
+    normalized, judged = Observation(), Observation()
+    curated = curate_reviews(reviews(spark, sf_dir), normalized=normalized, judged=judged)
+    tables.write_parquet(curated, shared_folder(spark, "metrics") + "/curated")
+    return inspection.metrics_table(spark, {"normalize": normalized.get, "quality": judged.get})
+
+
 def random_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inspection.random_rows(
         translation_flags(spark, sf_dir), 10, seed=fv.SEED, key_col="review_id"
@@ -507,6 +520,7 @@ QUERIES: dict[str, Query] = {
     "source_row_count": source_row_count,
     "parquet_roundtrip": parquet_roundtrip,
     "stage_summary": stage_summary,
+    "stage_metrics": stage_metrics,
     "random_sample": random_sample,
     "random_place": random_place,
 }

@@ -36,6 +36,14 @@ def test_exact_split(spark, n, test_size):
     assert len(b) == math.ceil(test_size * n) and not a & b and a | b == set(range(n))
 
 
+def test_copies_of_one_key_stay_on_one_side(spark):
+    ids = spark.range(1000).select(F.when(F.col("id") < 400, F.lit(7)).otherwise(F.col("id")).alias("id"))
+    marked = ft.mark_test_rows(ids, "id", 0.3).groupBy("id").agg(F.countDistinct("is_test").alias("sides"))
+    assert marked.filter("sides > 1").count() == 0
+    n = ft.mark_test_rows(ids, "id", 0.3).filter("is_test").count()
+    assert 300 <= n < 700
+
+
 def test_stable_split_keeps_sides_as_the_table_grows(spark):
     def test_ids(n):
         marked = ft.mark_test_rows(spark.range(n), "id", 0.1, exact=False)

@@ -111,3 +111,16 @@ def test_jobs_from_raw_to_training_text(spark, tmp_path):
     assert jobs.render(spark, at["train"], at["text"])["examples"] == chats["train"]
     assert jobs.inspect(spark, at["cleaned"], 3)["n_rows"] == cleaned["rows_out"]
     assert "error" in jobs.inspect(spark, str(tmp_path / "nothing"))
+
+
+def test_command_line(spark, tmp_path, capsys):
+    spark.createDataFrame(
+        [(i, "p", "P", 5.0, "en", "güzel yemek") for i in range(12)],
+        "review_id long, place_id string, place_name string, rating double, detected_lang string, "
+        "cleaned_text string",
+    ).write.parquet(str(tmp_path / "cleaned"))
+    jobs.main(["curate", str(tmp_path / "cleaned"), str(tmp_path / "curated")])
+    jobs.main(["contexts", str(tmp_path / "curated"), str(tmp_path / "contexts"), "--max-reviews", "3"])
+    assert '"kept_places": 1' in capsys.readouterr().out
+    text = spark.read.parquet(str(tmp_path / "contexts")).first()["llm_input_context"]
+    assert text == "\n".join(["- [Puan: 5/5]: güzel yemek"] * 3)
