@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 
 from reviewcraft import fixed_values as fv
 
-# printable ASCII is ruled out by one comparison before the 29 spaces are tried
-ANY_SPACE = f"(?:(?![!-~])[{fv.WHITESPACE_CLASS}])"
+# Classes are intersected with "neither printable ASCII nor a letter": nearly
+# every character fails that, and only the rest are compared with the 29 spaces.
+_UNUSUAL = r"[^!-~]&&[^\p{L}]"
+ANY_SPACE = f"[{_UNUSUAL}&&[{fv.WHITESPACE_CLASS}]]"
+ODD_SPACE = f"[{_UNUSUAL}&&[^ ]&&[{fv.WHITESPACE_CLASS}]]"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -24,8 +27,8 @@ def strip(text: Column) -> Column:
 
 
 def plain_spaces(text: Column) -> Column:
-    """Every Unicode space as U+0020, one for one, without a regex."""
-    return F.translate(text, fv.WHITESPACE_CHARS, " " * len(fv.WHITESPACE_CHARS))
+    """Every Unicode space as U+0020, one for one."""
+    return F.regexp_replace(text, ODD_SPACE, " ")
 
 
 def tokens(text: Column) -> Column:
