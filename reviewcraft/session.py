@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import functools
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -21,7 +24,28 @@ def get_session(app_name: str = "reviewcraft", **conf: str) -> SparkSession:
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return ship_package(builder.getOrCreate())
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Send this package to the executors, once per application.
+
+    Python functions are pickled by reference, so workers must be able to import it even
+    if only the driver has it on its path.
+    """
+    _shipped(spark.sparkContext.applicationId)
+    return spark
+
+
+@functools.cache
+def _shipped(application_id: str) -> str:
+    root = Path(__file__).resolve().parent
+    target = os.path.join(tempfile.mkdtemp(prefix="reviewcraft-ship-"), "reviewcraft-package.zip")
+    with zipfile.ZipFile(target, "w") as archive:
+        for source in sorted(root.rglob("*.py")):
+            archive.write(source, source.relative_to(root.parent))
+    SparkSession.active().sparkContext.addPyFile(target)
+    return target
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
