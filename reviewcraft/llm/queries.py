@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewcraft.llm import orc_tokens, packing, sharding
+from reviewcraft.llm import orc_tokens, packing, sharding, simhash
 from reviewcraft.session import shared_folder, ship_package
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -21,6 +21,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ship_package(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op2_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "token-ids")
     orc_tokens.write_token_ids(_table(spark, sf_dir, "documents"), path, tokenizer_path(), 2)
@@ -49,6 +53,7 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_simhash": op1_simhash,
     "op2_token_ids": op2_token_ids,
     "op8_extendible_shards": op8_extendible_shards,
     "op10_pack": op10_pack,
