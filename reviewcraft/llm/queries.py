@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewcraft.llm import orc_tokens, packing, sharding, simhash
+from reviewcraft.llm import (
+    language_centroids,
+    license_index,
+    orc_tokens,
+    packing,
+    sharding,
+    simhash,
+)
 from reviewcraft.session import shared_folder, ship_package
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -33,6 +40,26 @@ def op2_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = language_centroids.language_of_documents(docs)
+    return found.select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return license_index.scan_licenses(files).select(
+        "doc_id",
+        "n_words",
+        "n_base",
+        "first_word",
+        "last_word",
+        "base_labels",
+        "labels",
+        "score",
+    )
+
+
 def op8_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, sf_dir, "documents")).select(
         "doc_id", "shard", "shard_depth", "shard_page", "shard_bytes", "fits"
@@ -55,6 +82,8 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_token_ids": op2_token_ids,
+    "op3_language": op3_language,
+    "op4_licenses": op4_licenses,
     "op8_extendible_shards": op8_extendible_shards,
     "op10_pack": op10_pack,
 }
