@@ -22,7 +22,7 @@ _SPACE_MARK = "Ġ"
 
 
 class WordMemo:
-    def __init__(self, path: str, kept_words: int = 300_000, words_per_call: int = 2_000):
+    def __init__(self, path: str, kept_words: int = 500_000, words_per_call: int = 2_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -68,13 +68,8 @@ class WordMemo:
         split = [t.split(" ") if self._regular(t) else None for t in texts]
         later = [words[1:] for words in split if words]
         memory = self.memory
-        missing = list(set().union(*later).difference(memory))
-        new = self._new_words(missing)
-        if len(memory) + len(new) <= self.kept_words:
-            memory.update(new)
-            new = {}
-        if new:
-            memory = _Both(memory, new)
+        new = self._new_words(list(set().union(*later).difference(memory)))
+        memory.update(new)
         out = []
         for text, words in zip(texts, split, strict=True):
             if words is None:
@@ -82,20 +77,12 @@ class WordMemo:
             else:
                 first = self._whole(words[0])
                 out.append(first + b"".join(map(memory.__getitem__, words[1:])))
+        if len(memory) > self.kept_words:
+            for word in new:
+                del memory[word]
         return out
 
 
-class _Both(dict):
-    """The words of one batch that are no longer kept, over the kept ones."""
-
-    def __init__(self, kept: dict, new: dict):
-        super().__init__(new)
-        self.kept = kept
-
-    def __missing__(self, word):
-        return self.kept[word]
-
-
 @functools.cache
 def word_memo(path: str) -> WordMemo:
     """One memory for each worker process."""
