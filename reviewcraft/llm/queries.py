@@ -12,6 +12,7 @@ from reviewcraft.llm import (
     packing,
     sharding,
     simhash,
+    suffix_dedup,
 )
 from reviewcraft.session import shared_folder, ship_package
 
@@ -66,6 +67,17 @@ def op8_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.remove_repeats(docs).select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("removed_spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path(), 0)
     return packed.select(
@@ -85,6 +97,7 @@ QUERIES = {
     "op3_language": op3_language,
     "op4_licenses": op4_licenses,
     "op8_extendible_shards": op8_extendible_shards,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_pack": op10_pack,
 }
 
