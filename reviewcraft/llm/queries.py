@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewcraft.llm import (
+    decontaminate,
     language_centroids,
     license_index,
     orc_tokens,
@@ -61,6 +62,11 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    return decontaminate.find_leaks(docs, benchmark).drop("_row")
+
+
 def op8_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, sf_dir, "documents")).select(
         "doc_id", "shard", "shard_depth", "shard_page", "shard_bytes", "fits"
@@ -96,6 +102,7 @@ QUERIES = {
     "op2_token_ids": op2_token_ids,
     "op3_language": op3_language,
     "op4_licenses": op4_licenses,
+    "op6_decontaminate": op6_decontaminate,
     "op8_extendible_shards": op8_extendible_shards,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_pack": op10_pack,
