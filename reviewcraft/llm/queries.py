@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from reviewcraft.llm import (
     decontaminate,
+    itq,
     language_centroids,
     license_index,
     orc_tokens,
@@ -67,6 +68,10 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(docs, benchmark).drop("_row")
 
 
+def op7_vector_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return itq.vector_links(_table(spark, sf_dir, "embeddings"))
+
+
 def op8_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, sf_dir, "documents")).select(
         "doc_id", "shard", "shard_depth", "shard_page", "shard_bytes", "fits"
@@ -103,6 +108,7 @@ QUERIES = {
     "op3_language": op3_language,
     "op4_licenses": op4_licenses,
     "op6_decontaminate": op6_decontaminate,
+    "op7_vector_duplicates": op7_vector_duplicates,
     "op8_extendible_shards": op8_extendible_shards,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_pack": op10_pack,
