@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from reviewcraft.llm import (
     decontaminate,
+    html_template,
     itq,
     language_centroids,
     license_index,
@@ -63,6 +64,11 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_template.extract_main_text(pages).select("page_id", "url", "text", "n_chars")
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
     return decontaminate.find_leaks(docs, benchmark).drop("_row")
@@ -107,6 +113,7 @@ QUERIES = {
     "op2_token_ids": op2_token_ids,
     "op3_language": op3_language,
     "op4_licenses": op4_licenses,
+    "op5_main_text": op5_main_text,
     "op6_decontaminate": op6_decontaminate,
     "op7_vector_duplicates": op7_vector_duplicates,
     "op8_extendible_shards": op8_extendible_shards,
