@@ -8,13 +8,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewcraft.session import shared_folder
+from reviewcraft.session import shared_folder, ship_package
 
 BATCH_BYTES = 8 << 20
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Bound what one Arrow batch holds, so that long texts cannot fill a Python worker."""
+    """Bound what one Arrow batch holds, so that long texts cannot fill a Python worker.
+
+    Python workers get the package here too.
+    """
+    ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 

@@ -17,7 +17,7 @@ from reviewcraft.llm import (
     simhash,
     suffix_dedup,
 )
-from reviewcraft.session import shared_folder, ship_package
+from reviewcraft.session import shared_folder
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -29,7 +29,7 @@ def tokenizer_path() -> str:
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return ship_package(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
