@@ -143,11 +143,15 @@ def shard_documents(docs: DataFrame, limit: int = SHARD_BYTES) -> DataFrame:
     """
     new = ["shard", "shard_depth", "shard_page", "shard_bytes", "fits"]
     rounds = build_directory(docs, limit)
-    measured = _measured(docs.drop(*new)).withColumn("_in", F.spark_partition_id())
-    rows = _looked_up(measured, rounds)
-    # Copies of one text in an overflowing bucket are numbered inside each input
-    # partition, then shifted by the numbers of the partitions before.
+    rows = _looked_up(_measured(docs.drop(*new)), rounds)
     over = rows.filter(F.col("_overflow_hash").isNotNull())
+    if all(cells.filter(F.col("overflow_hash").isNotNull()).isEmpty() for cells in rounds):
+        over = over.limit(0)
+    else:
+        over = stored(over, "shard-overflow")
+    # Copies of one text in an overflowing bucket are numbered inside each partition of
+    # their stored table, then shifted by the numbers of the partitions before.
+    over = over.withColumn("_in", F.spark_partition_id())
     sums = over.groupBy("_hash", "_in").agg(F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy("_hash").orderBy("_in").rowsBetween(
         Window.unboundedPreceding, -1
@@ -171,7 +175,7 @@ def shard_documents(docs: DataFrame, limit: int = SHARD_BYTES) -> DataFrame:
     plain = rows.filter(F.col("_overflow_hash").isNull()).withColumns(
         {"shard_page": F.lit(0), "shard_bytes": F.col("_bucket_bytes")}
     )
-    both = plain.unionByName(paged.drop("_no", "_shift"))
+    both = plain.unionByName(paged.drop("_no", "_shift", "_in"))
     suffix = F.when(
         F.col("_overflow_hash").isNotNull(),
         F.concat(F.lit("-p"), F.col("shard_page").cast("string")),
