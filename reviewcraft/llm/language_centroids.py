@@ -159,7 +159,8 @@ def train_centroids(
         .agg(F.count(F.lit(1)).alias("_n"))
         .select("lang", (F.lit(1.5 * params.texts_per_language) / F.col("_n")).alias("_share"))
     )
-    near = rows.join(share, "lang").filter(
+    # One row for each language, as many as the model has; the texts stay where they are.
+    near = rows.join(F.broadcast(share), "lang").filter(
         F.pmod("_order", F.lit(1 << 20)) < F.col("_share") * (1 << 20)
     )
     picked = Window.partitionBy("lang").orderBy("_order")
