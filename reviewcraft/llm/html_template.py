@@ -165,49 +165,58 @@ class _Element:
 
 
 def main_text(page: str, template: Template) -> str:
-    """The text in the main slots of a page, its blocks joined by empty lines."""
+    """The text in the main slots of a page, its blocks joined by empty lines.
+
+    Blocks that hold text runs of the template only are left out, unless they are most of
+    what there is: then the host's pages are copies of each other.
+    """
     tokens = tokens_of(page)
     keys = [t.key if t.kind in "oc" else 0 for t in tokens]
-    opened = [
-        i for i, t in enumerate(tokens) if t.kind == "o" and t.main and not t.boilerplate
-    ]
+    opened = [i for i, t in enumerate(tokens) if t.kind == "o" and t.main and not t.boilerplate]
     in_skeleton = [i for i in opened if keys[i] in template.skeleton]
-    mains = set((in_skeleton or opened)[:1] if in_skeleton else opened)
-    blocks: list[list[str]] = [[]]
+    mains = set(in_skeleton[:1] or opened)
+    block, runs = 0, []  # (block, text, whether it belongs to the template)
     stack: list[_Element] = []
-    everything = not mains
-
-    def inside() -> bool:
-        return (everything or any(e.main for e in stack)) and not any(e.skip for e in stack)
-
     for i, token in enumerate(tokens):
         if token.kind == "o":
-            if token.name in BLOCK_NAMES:
-                blocks.append([])
+            block += token.name in BLOCK_NAMES
             if token.name == "br":
-                blocks[-1].append(" ")
+                runs.append((block, " ", False))
             if token.name in VOID_NAMES:
                 continue
             if token.name in ("p", "li"):
                 # An open paragraph or item ends where the next one starts.
-                _close(stack, token.name, within=True, stop={"ul", "ol"} if token.name == "li" else ())
+                _close(stack, token.name, within=True)
             stack.append(
                 _Element(token, token.boilerplate, i in mains, keys[i] in template.skeleton)
             )
         elif token.kind == "c":
-            if token.name in BLOCK_NAMES:
-                blocks.append([])
+            block += token.name in BLOCK_NAMES
             _close(stack, token.name)
-        elif token.kind == "t" and inside():
-            folded = _SPACE.sub(" ", token.value).strip()
-            if folded and template.texts and Token("t", "", "", folded).key in template.texts:
-                continue
-            blocks[-1].append(html.unescape(token.value))
-    texts = (_SPACE.sub(" ", "".join(parts)).strip() for parts in blocks)
+        elif (
+            token.kind == "t"
+            and (not mains or any(e.main for e in stack))
+            and not any(e.skip for e in stack)
+        ):
+            shared = False
+            if template.texts:
+                folded = _SPACE.sub(" ", token.value).strip()
+                shared = bool(folded) and Token("t", "", "", folded).key in template.texts
+            runs.append((block, html.unescape(token.value), shared))
+    blocks: dict[int, list[str]] = {}
+    own: set[int] = set()  # blocks with text that the template does not have
+    for number, text, shared in runs:
+        blocks.setdefault(number, []).append(text)
+        if not shared and not text.isspace():
+            own.add(number)
+    sizes = {number: sum(map(len, parts)) for number, parts in blocks.items()}
+    if 2 * sum(n for number, n in sizes.items() if number in own) >= sum(sizes.values()):
+        blocks = {number: parts for number, parts in blocks.items() if number in own}
+    texts = (_SPACE.sub(" ", "".join(parts)).strip() for parts in blocks.values())
     return "\n\n".join(t for t in texts if t)
 
 
-def _close(stack: list[_Element], name: str, within: bool = False, stop=()) -> None:
+def _close(stack: list[_Element], name: str, within: bool = False) -> None:
     """Close the nearest open element of that name and what is open in it.
 
     A tag that does not belong to the skeleton cannot close an element of the skeleton, so
@@ -223,7 +232,7 @@ def _close(stack: list[_Element], name: str, within: bool = False, stop=()) -> N
             within or name not in BLOCK_NAMES
         ):
             return
-        if within and (element.token.name in BLOCK_NAMES or element.token.name in stop):
+        if within and element.token.name in BLOCK_NAMES:
             return
 
 
@@ -305,31 +314,28 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     kept = pages.drop(*new)
     names = kept.columns
     host = F.coalesce(F.lower(F.regexp_extract("url", r"^\s*[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
-    sent = kept.withColumns({"_host": host, "_html": utf8("html")})
+    sent = kept.select(
+        F.struct(*(F.col(f"`{c}`") for c in names)).alias("page"),
+        host.alias("host"),
+        utf8("html").alias("_html"),
+    )
     templates = host_templates(
-        sent.select(
-            F.monotonically_increasing_id().alias("row"), F.col("_host").alias("host"), "_html"
-        )
+        sent.select(F.monotonically_increasing_id().alias("row"), "host", "_html")
     )
-    joined = sent.join(
-        templates.select(F.col("host").alias("_host"), F.col("classes").alias("_classes")),
-        "_host",
-        "left",
-    ).select(*(F.col(f"`{c}`") for c in names), "_html", "_host", "_classes")
-    n_kept = len(names)
+    joined = sent.join(templates, "host", "left").select("page", "_html", "host", "classes")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: tuple[str | None, Template] = (None, Template([]))
         for batch in batches:
             texts = []
-            hosts = batch.column(n_kept + 1).to_pylist()
-            for i, (page, name) in enumerate(zip(batch.column(n_kept), hosts, strict=True)):
+            hosts = batch.column("host").to_pylist()
+            for i, (page, name) in enumerate(zip(batch.column("_html"), hosts, strict=True)):
                 if name != last[0]:
-                    last = (name, Template(batch.column(n_kept + 2)[i].as_py() or []))
+                    last = (name, Template(batch.column("classes")[i].as_py() or []))
                 texts.append(main_text(page.as_py().decode("utf-8", "replace"), last[1]))
             yield pa.RecordBatch.from_arrays(
                 [
-                    *batch.columns[:n_kept],
+                    *batch.column("page").flatten(),
                     pa.array(texts, pa.string()),
                     pa.array([len(t) for t in texts], pa.int64()),
                 ],
