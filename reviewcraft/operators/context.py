@@ -22,11 +22,6 @@ from pyspark.sql import functions as F
 from reviewcraft import fixed_values as fv
 from reviewcraft.functions import text as tx
 
-# At most this many places can each hold more than 1/HOT_SHARE of all rows,
-# which bounds everything broadcast here.
-HOT_SHARE = 10_000
-
-
 @dataclass(frozen=True)
 class ContextParams:
     max_reviews: int = fv.MAX_REVIEWS_PER_PLACE
@@ -145,11 +140,14 @@ def _round2(value: Column) -> Column:
 
 
 def hot_places(df: DataFrame, params: ContextParams = ContextParams()) -> DataFrame:
-    """Places too large for one task: fewer than ``HOT_SHARE`` rows, whatever the input."""
+    """Places with more than ``hot_rows`` reviews, a fixed size that suits one task.
+
+    There are at most ``total / hot_rows`` of them, so what is broadcast about them
+    is about a millionth of the input's rows.
+    """
     counts = df.groupBy("place_id").agg(F.count(F.lit(1)).alias("n_reviews"))
     floor = F.lit(max(params.hot_rows, params.max_reviews, params.min_reviews))
-    total = counts.agg(F.sum("n_reviews")).scalar()
-    return counts.filter(F.col("n_reviews") > F.greatest(floor, total / HOT_SHARE))
+    return counts.filter(F.col("n_reviews") > floor)
 
 
 def _rank_order(params: ContextParams) -> list[Column]:

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewcraft import fixed_values as fv
@@ -25,8 +25,10 @@ class CallPolicy:
     attempts: int = fv.MAX_ATTEMPTS
     wait_seconds: float = fv.RATE_LIMIT_WAIT_SECONDS
     pause_seconds: float = fv.PAUSE_SECONDS
-    # how many calls may run at once
+    # how many calls may run at once: the tasks of a part
     concurrency: int = 1
+    # calls that one task makes before its part is stored
+    calls_per_task: int = 8
     sleep: Callable[[float], None] = time.sleep
 
 
@@ -43,9 +45,28 @@ def pending_contexts(contexts: DataFrame, completed: DataFrame) -> DataFrame:
     return contexts.join(completed, "place_id", "left_anti")
 
 
+def numbered_share(pending: DataFrame, limit: int, per_part: int) -> DataFrame:
+    """Keys of a day's share, dealt into parts: ``place_id`` and ``part``.
+
+    Contexts without a place id could never be told from finished ones later,
+    so they have no part in a run. Only keys are put in order.
+    """
+    keys = pending.filter(F.col("place_id").isNotNull()).select("place_id").distinct()
+    # one task orders at most ``limit`` keys here
+    order = F.row_number().over(Window.orderBy("place_id")) - 1
+    return keys.orderBy("place_id").limit(limit).select(
+        "place_id", F.floor(order / F.lit(per_part)).cast("int").alias("part")
+    )
+
+
 def daily_share(pending: DataFrame, limit: int = fv.DAILY_LIMIT) -> DataFrame:
-    """The first ``limit`` pending contexts by place id."""
-    return pending.orderBy("place_id").limit(limit)
+    """The first ``limit`` pending contexts by place id; only ids are put in order.
+
+    Ids are unique among contexts; contexts without one come first.
+    """
+    first = pending.select("place_id").orderBy("place_id").limit(limit)
+    chosen = first.select(F.col("place_id").alias("_chosen"))
+    return pending.join(chosen, F.col("place_id").eqNullSafe(F.col("_chosen")), "left_semi")
 
 
 # --- summarizing -------------------------------------------------------------
@@ -74,7 +95,8 @@ def summarize_with_backend(
     """Add ``target_summary, status, error`` by calling a backend for each context.
 
     After a failure, the rest of the task's rows are not tried: a service that
-    refuses once is left alone. Rows that are not ``ok`` stay pending.
+    refuses once is left alone. Rows that are not ``ok`` stay pending. At most
+    ``policy.concurrency`` tasks call at once.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -49,8 +49,12 @@ def render_chat(messages: Column) -> Column:
     return F.array_join(F.transform(messages, turn), "")
 
 
-def split_key(key: Column, seed: int = fv.SEED) -> Column:
-    return F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")))
+def split_key(key: Column, seed: int = fv.SEED, content: Column | None = None) -> Column:
+    """Hash that decides the side of a row: of its key, or of ``content`` if it has none."""
+    hashed = F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")))
+    if content is None:
+        content = F.lit("")
+    return F.coalesce(hashed, F.md5(F.concat(F.lit(f"{seed}|"), content)))
 
 
 def _cutoff(keys: DataFrame, test_size: float) -> Column:
@@ -96,13 +100,15 @@ def mark_test_rows(
 
     Exact: ``ceil(test_size * n)`` rows are test rows, those with the smallest
     hashed keys. Rows of one key stay together, so the number is exact for
-    unique keys and may be larger by copies of the last one. Otherwise a row is a test row if its hash falls into the first
-    ``test_size`` of the hash range: no statistics, and a row never changes
-    sides as the table grows.
+    unique keys and may be larger by copies of the last one. Otherwise a row is
+    a test row if its hash falls into the first ``test_size`` of the hash range:
+    no statistics, and a row never changes sides as the table grows. A row
+    without a key goes by its whole content, so no row is without a side.
     """
     if not 0 < test_size < 1:
         raise ValueError("test_size must be between 0 and 1")
-    hashed = split_key(F.col(key_col), seed)
+    content = F.to_json(F.struct(*(F.col(f"`{c}`") for c in df.columns)), {"ignoreNullFields": "false"})
+    hashed = split_key(F.col(key_col), seed, content)
     if exact:
         cutoff = _cutoff(df.select(hashed.alias("k")), test_size)
         return df.withColumn("is_test", hashed <= cutoff)

@@ -1,7 +1,7 @@
 """Language detection: naive Bayes over character grams of words.
 
 Training counts distinct words before it takes them apart, so its cost follows
-the vocabulary rather than the text. The profile is bounded in size and travels
+the vocabulary rather than the text. The profile's size is checked before it travels
 with the tasks: scoring is a projection in Arrow batches, and no text is
 shuffled or joined back.
 """
@@ -22,12 +22,12 @@ from reviewcraft.functions.grams import count_word_grams, framed_codes, letters_
 
 # characters scored at a time by one task, unless a single text is longer
 _SLICE_CHARS = 1 << 18
+# weights of a profile that is held in the driver and broadcast (8 bytes each)
+MAX_WEIGHTS = 1 << 25
 
 
 @dataclass(frozen=True)
 class DetectorParams:
-    # most frequent grams kept: bounds what the driver and each worker hold
-    vocabulary: int = 1 << 18
     smoothing: float = 0.5
     # weights are whole numbers, so a score does not depend on the order of a sum
     scale: float = 1e6
@@ -52,15 +52,13 @@ def train_profile(
     )
     # one row per gram, a map entry per language
     per_gram = counts.groupBy("gram").agg(
-        F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by_lang"),
-        F.sum("n").alias("n_all"),
+        F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by_lang")
     )
-    kept = per_gram.orderBy(F.col("n_all").desc(), "gram").limit(params.vocabulary)
     # totals over all grams; a language is a row here
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     size = per_gram.agg(F.count(F.lit(1)).alias("size")).scalar()
     languages = totals.agg(F.collect_list(F.struct("lang", "total"))).scalar()
-    spread = kept.select("gram", "by_lang", F.explode(languages).alias("l"))
+    spread = per_gram.select("gram", "by_lang", F.explode(languages).alias("l"))
     n = F.coalesce(F.try_element_at("by_lang", F.col("l.lang")), F.lit(0))
     log_share = F.log(n + F.lit(params.smoothing)) - F.log(
         F.col("l.total") + F.lit(params.smoothing) * size
@@ -90,7 +88,15 @@ class LanguageDetector:
 
     @classmethod
     def from_profile(cls, profile: DataFrame) -> LanguageDetector:
-        """Collect a profile: at most the vocabulary, times the number of languages."""
+        """Collect a profile, if it is small enough to travel with the tasks.
+
+        Grams are up to three letters, so their number is that of an alphabet's
+        letter sequences and levels off. A profile that is too large is an error
+        rather than cut: every gram counts.
+        """
+        weights = profile.count()
+        if weights > MAX_WEIGHTS:
+            raise ValueError(f"profile of {weights} weights; at most {MAX_WEIGHTS} can be shared")
         table = profile.toPandas().pivot(index="gram", columns="lang", values="weight")
         table = table.sort_index()
         return cls(list(table.columns), table.index.to_numpy(), table.to_numpy().T.copy())

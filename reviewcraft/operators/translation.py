@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
@@ -11,9 +12,11 @@ from pyspark.sql import functions as F
 from reviewcraft import fixed_values as fv
 from reviewcraft.functions import text as tx
 
+logger = logging.getLogger(__name__)
+
 # (texts, source language, target language) -> translations, one per text
 Backend = Callable[[list[str], str, str], list[str]]
-# built once per Python worker, so that a model is loaded there and not shipped
+# built once per Python worker and language, so that a model is loaded there and not shipped
 BackendFactory = Callable[[], Backend]
 
 
@@ -22,10 +25,20 @@ def _translator(
 ):
     @F.pandas_udf("string")
     def translate(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        backend = factory()
+        backends: dict[str, Backend | None] = {}
         for texts, langs in parts:
             result = texts.copy()
-            for lang in set(langs.dropna()) & translatable:
+            for lang in sorted(set(langs[texts.notna()].dropna()) & translatable):
+                if lang not in backends:
+                    # built when its language first occurs; without it, text passes through
+                    try:
+                        backends[lang] = factory()
+                    except Exception as error:
+                        logger.warning("no translation from %s: %s", lang, error)
+                        backends[lang] = None
+                backend = backends[lang]
+                if backend is None:
+                    continue
                 rows = texts.index[(langs == lang) & texts.notna()]
                 for start in range(0, len(rows), batch_size):
                     chunk = rows[start : start + batch_size]
@@ -67,20 +80,20 @@ def translate_foreign(
 
 
 def frequency_glossary(
-    corpus: DataFrame, text_col: str, lang_col: str, target_lang: str, size: int
+    corpus: DataFrame, text_col: str, lang_col: str, target_lang: str
 ) -> DataFrame:
-    """Pair the ``size`` commonest words of each language with the target's, rank by rank.
+    """Pair the words of each language with the target's, rank by rank.
 
-    A stand-in dictionary made from data alone: ``(lang, token, translation)``
-    with at most ``size`` rows per language. Counts are combined before the
-    shuffle and the ranking sees one row per distinct word.
+    A stand-in dictionary made from data alone: ``(lang, token, translation)``.
+    Counts are combined before the shuffle and the ranking sees one row per
+    distinct word.
     """
     words = corpus.select(
         F.col(lang_col).alias("lang"), F.explode(tx.tokens(F.col(text_col))).alias("token")
     )
     counts = words.groupBy("lang", "token").count()
     order = Window.partitionBy("lang").orderBy(F.col("count").desc(), "token")
-    ranked = counts.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= size)
+    ranked = counts.withColumn("rank", F.row_number().over(order))
     target = ranked.filter(F.col("lang") == target_lang).select(
         "rank", F.col("token").alias("translation")
     )
@@ -101,17 +114,26 @@ def glossary_translate(
 ) -> DataFrame:
     """Word-by-word translation as a join; returns ``key_cols`` and ``output_col``.
 
-    ``key_cols`` must identify a row. Words are put back in order within one
-    row only, so no group is larger than a single text.
+    ``key_cols`` must identify a row. The glossary may be of any size: each text
+    looks up its distinct words only, and its word list meets their translations
+    again by its key, so no group is larger than a single text.
     """
-    words = df.select(
-        *key_cols,
-        F.col(lang_col).alias("lang"),
-        F.posexplode_outer(tx.tokens(F.col(text_col))).alias("pos", "token"),
+    split = df.select(
+        *key_cols, F.col(lang_col).alias("lang"), tx.tokens(F.col(text_col)).alias("tokens")
+    )
+    wanted = split.select(*key_cols, "lang", F.explode(F.array_distinct("tokens")).alias("token"))
+    found = (
+        wanted.join(glossary, ["lang", "token"])
+        .groupBy(*key_cols)
+        .agg(F.map_from_entries(F.collect_list(F.struct("token", "translation"))).alias("known"))
     )
-    joined = words.join(glossary, ["lang", "token"], "left")
-    word: Column = F.coalesce("translation", "token")
-    rebuilt = joined.groupBy(*key_cols).agg(
-        F.array_sort(F.collect_list(F.struct("pos", word.alias("word")))).alias("words")
+    word: Callable[[Column], Column] = lambda token: F.coalesce(
+        F.try_element_at("known", token), token
+    )
+    return split.join(found, key_cols, "left").select(
+        *key_cols,
+        F.array_join(
+            F.when(F.col("known").isNull(), F.col("tokens")).otherwise(F.transform("tokens", word)),
+            " ",
+        ).alias(output_col),
     )
-    return rebuilt.select(*key_cols, F.array_join("words.word", " ").alias(output_col))

@@ -1,6 +1,7 @@
-"""Jobs: one per stage, each reading and writing tables, for ``spark-submit``.
+"""Jobs: one per stage, each reading and writing tables.
 
-    spark-submit -m reviewcraft.plans.jobs curate cleaned/ curated/
+    spark-submit run_job.py curate cleaned/ curated/
+    python -m reviewcraft.plans.jobs curate cleaned/ curated/
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from reviewcraft.operators import inspection
 from reviewcraft.operators.context import ContextParams, build_context, place_counts, with_review_id
 from reviewcraft.operators.language import DetectorParams, LanguageDetector, train_profile
 from reviewcraft.plans.stages import CleaningParams, clean_reviews, curate_reviews, training_text
-from reviewcraft.session import get_session, path_exists, shared_folder
+from reviewcraft.session import delete_path, get_session, path_exists, shared_folder
 from reviewcraft.sources import jsonl, tables
 from reviewcraft.streaming import incremental
 
@@ -103,29 +104,51 @@ def enrich(
 ) -> Metrics:
     """Summarize a day's share of the pending contexts and append the results.
 
-    The summaries are written to the shared folder first: counting and
-    appending then read that table, and no summary is asked for twice.
+    The share is worked on in parts of a few contexts for each call slot. The
+    summaries of a part are written to the shared folder, counted and appended
+    before the next part begins: a run that dies loses one part, and later runs
+    never ask for a finished summary again. The run ends early if there is
+    nothing to do, and after a part with a failure. The built-in summarizer has
+    no service to be careful with and does all in one part.
     """
+    metrics: Metrics = {"tried": 0, "succeeded": 0, "first_error": None}
+    if not path_exists(spark, contexts_path):
+        return metrics
     all_contexts = spark.read.schema(schemas.CONTEXTS).parquet(contexts_path)
     done = en.completed_places(
         jsonl.read_tolerant(spark, summaries_path, schemas.SUMMARIES, required="place_id")
     )
-    share = en.daily_share(en.pending_contexts(all_contexts, done), limit)
-    if summarizer is None:
-        enriched = en.summarize_extractively(share)
-    else:
-        enriched = en.summarize_with_backend(share, summarizer, policy)
     staged = shared_folder(spark, "enriched")
-    counts = Observation("enrich")
-    enriched.observe(
-        counts,
-        F.count(F.lit(1)).alias("tried"),
-        F.count_if(F.col("status") == "ok").alias("succeeded"),
-        F.first("error", ignorenulls=True).alias("first_error"),
-    ).write.parquet(staged)
-    metrics = counts.get
-    if metrics["succeeded"]:
-        jsonl.append(en.summary_records(spark.read.parquet(staged)), summaries_path)
+    per_part = limit if summarizer is None else policy.concurrency * policy.calls_per_task
+    keys = en.numbered_share(en.pending_contexts(all_contexts, done), limit, per_part)
+    keys.write.parquet(f"{staged}/keys")
+    keys = spark.read.parquet(f"{staged}/keys")
+    parts = keys.agg(F.max("part")).first()[0]
+    for part in range(0 if parts is None else parts + 1):
+        share = all_contexts.join(
+            keys.filter(F.col("part") == part).select("place_id"), "place_id", "left_semi"
+        )
+        if summarizer is None:
+            enriched = en.summarize_extractively(share)
+        else:
+            enriched = en.summarize_with_backend(share, summarizer, policy)
+        counts = Observation()
+        enriched.observe(
+            counts,
+            F.count(F.lit(1)).alias("tried"),
+            F.count_if(F.col("status") == "ok").alias("succeeded"),
+            F.first("error", ignorenulls=True).alias("first_error"),
+        ).write.parquet(f"{staged}/part={part}")
+        found = counts.get
+        if found["succeeded"]:
+            finished = spark.read.parquet(f"{staged}/part={part}")
+            jsonl.append(en.summary_records(finished), summaries_path)
+        metrics["tried"] += found["tried"]
+        metrics["succeeded"] += found["succeeded"]
+        metrics["first_error"] = metrics["first_error"] or found["first_error"]
+        if found["succeeded"] < found["tried"]:
+            break
+    delete_path(spark, staged)
     return metrics
 
 
@@ -137,9 +160,14 @@ def prepare_chat(
     test_size: float = fv.TEST_SIZE,
     exact: bool = True,
 ) -> Metrics:
-    """Summaries to train and test files of chat messages, split on the place."""
-    records = jsonl.read_strict(spark, summaries_path, schemas.SUMMARIES)
-    examples = ft.to_chat_examples(records.dropDuplicates(["place_id"]), "place_id")
+    """Summaries to train and test files of chat messages, split on the place.
+
+    Every record becomes an example; those of one place are on the same side.
+    Only records that equal another in full, as a replayed append leaves them,
+    count once.
+    """
+    records = jsonl.read_strict(spark, summaries_path, schemas.SUMMARIES).dropDuplicates()
+    examples = ft.to_chat_examples(records, "place_id")
     train, test = ft.train_test_split(examples, "place_id", test_size, exact=exact)
     metrics = {}
     for name, part, path in (("train", train, train_path), ("test", test, test_path)):

@@ -33,7 +33,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 # the given texts are German, English, Spanish and French
 TARGET = "en"
 TRANSLATABLE = ("de", "fr")
-GLOSSARY_SIZE = 1000
 DAILY_SHARE = 10
 
 # --- tables ------------------------------------------------------------------
@@ -104,7 +103,9 @@ def answered_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def detector(spark: SparkSession, sf_dir: str) -> LanguageDetector:
-    return LanguageDetector.train(texts(spark, sf_dir, "documents"), "text", "lang")
+    """Trained on four fifths of the documents; the others are held out."""
+    taught = texts(spark, sf_dir, "documents").filter(F.col("doc_id") % 5 != 0)
+    return LanguageDetector.train(taught, "text", "lang")
 
 
 # --- cleaning ----------------------------------------------------------------
@@ -134,6 +135,16 @@ def detect_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def detector_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Held-out documents by language, and how many are recognized."""
+    held_out = texts(spark, sf_dir, "documents").filter(F.col("doc_id") % 5 == 0)
+    found = detector(spark, sf_dir).detect(held_out.select("doc_id", "text", "lang"), "text")
+    return found.groupBy("lang").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.col("detected_lang") == F.col("lang")).alias("n_right"),
+    )
+
+
 def detect_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = texts(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
     return detector(spark, sf_dir).detect(turns, "text").select(
@@ -169,7 +180,7 @@ def translate_with_glossary(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = texts(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     path = shared_folder(spark, "glossary") + "/glossary"
     tables.write_parquet(
-        translation.frequency_glossary(documents, "text", "lang", TARGET, GLOSSARY_SIZE), path
+        translation.frequency_glossary(documents, "text", "lang", TARGET), path
     )
     # as a table, its size is known: Spark broadcasts it if it is small
     glossary = tables.read_parquet(spark, path)
@@ -336,19 +347,32 @@ def _fingerprint_backend() -> enrichment.Summarizer:
 
 
 def enrich_with_backend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    policy = enrichment.CallPolicy(pause_seconds=0, concurrency=8)
+    slots = spark.sparkContext.defaultParallelism
+    policy = enrichment.CallPolicy(pause_seconds=0, concurrency=slots)
     enriched = enrichment.summarize_with_backend(
         build_context(spark, sf_dir), _fingerprint_backend, policy
     )
     return enrichment.summary_records(enriched)
 
 
+def enrich_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of three runs: a day's share, all the rest, and a day with nothing to do."""
+    work = shared_folder(spark, "progress")
+    tables.write_parquet(build_context(spark, sf_dir), f"{work}/contexts")
+    rows = []
+    for run, limit in enumerate((DAILY_SHARE, 1 << 30, 1 << 30), 1):
+        found = jobs.enrich(spark, f"{work}/contexts", f"{work}/summaries", limit=limit)
+        rows.append((run, found["tried"], found["succeeded"]))
+    return spark.createDataFrame(rows, "run int, tried bigint, succeeded bigint")
+
+
 def enrich_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two daily runs over written tables; the second goes on after the first."""
+    """Daily runs over written tables until nothing is pending; each goes on after the last."""
     work = shared_folder(spark, "resumed")
     tables.write_parquet(build_context(spark, sf_dir), f"{work}/contexts")
-    for limit in (DAILY_SHARE, fv.DAILY_LIMIT):
-        jobs.enrich(spark, f"{work}/contexts", f"{work}/summaries", limit=limit)
+    limit = DAILY_SHARE
+    while jobs.enrich(spark, f"{work}/contexts", f"{work}/summaries", limit=limit)["tried"]:
+        limit = fv.DAILY_LIMIT
     return jsonl.read_tolerant(spark, f"{work}/summaries", schemas.SUMMARIES, "place_id")
 
 
@@ -425,6 +449,45 @@ def chat_template_render(spark: SparkSession, sf_dir: str) -> DataFrame:
     return examples.select("place_id", finetune.render_chat(F.col("messages")).alias("text"))
 
 
+def chat_template_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole conversations as training texts: a conversation is one record."""
+    turns = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(
+        F.array_sort(
+            F.collect_list(F.struct("turn", "role", F.col("text").alias("content")))
+        ).alias("messages")
+    )
+    return turns.select("conv_id", finetune.render_chat(F.col("messages")).alias("text"))
+
+
+def train_test_split_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows on both sides of a split in which every seventh row has no key."""
+    documents = table(spark, sf_dir, "documents").select(
+        F.when(F.col("doc_id") % 7 != 0, F.col("doc_id")).alias("key"), "doc_id", "lang"
+    )
+    train, test = finetune.train_test_split(documents, "key")
+    return train.unionByName(test).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("key").isNull()).alias("n_null_keys")
+    )
+
+
+def chat_files_repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of one key, and records without, all come through to the chat files."""
+    work = shared_folder(spark, "chatkeys")
+    records = answered_turns(spark, sf_dir).withColumns(
+        {
+            "place_id": F.when(~F.col("place_id").endswith("-0"), F.lit("one")),
+            "place_name": F.lit("any"),
+        }
+    )
+    jsonl.overwrite(records, f"{work}/summaries")
+    jobs.prepare_chat(spark, f"{work}/summaries", f"{work}/train", f"{work}/test", 0.5)
+    both = [
+        jsonl.read_strict(spark, f"{work}/{side}", schemas.CHAT_EXAMPLES)
+        for side in ("train", "test")
+    ]
+    return both[0].unionByName(both[1]).select(F.to_json("messages").alias("messages"))
+
+
 def length_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     examples = finetune.to_chat_examples(answered_turns(spark, sf_dir), "place_id")
     return training_text(examples, 256).select("place_id", "approx_tokens", "fits")
@@ -481,6 +544,7 @@ QUERIES: dict[str, Query] = {
     "collapse_whitespace": _on_pages(tx.collapse_spaces),
     "clean_text_basic": clean_text_basic,
     "detect_documents": detect_documents,
+    "detector_accuracy": detector_accuracy,
     "detect_conversations": detect_conversations,
     "language_allow_list": language_allow_list,
     "translation_flags": translation_flags,
@@ -508,6 +572,7 @@ QUERIES: dict[str, Query] = {
     "daily_budget": daily_budget,
     "enrich_extractive": enrich_extractive,
     "enrich_with_backend": enrich_with_backend,
+    "enrich_progress": enrich_progress,
     "enrich_resumed": enrich_resumed,
     "completed_keys": completed_keys,
     "chat_messages_json": chat_messages_json,
@@ -517,6 +582,9 @@ QUERIES: dict[str, Query] = {
     "chat_files": chat_files,
     "chat_template_render": chat_template_render,
     "length_budget": length_budget,
+    "chat_template_conversations": chat_template_conversations,
+    "train_test_split_null_keys": train_test_split_null_keys,
+    "chat_files_repeated_keys": chat_files_repeated_keys,
     "source_row_count": source_row_count,
     "parquet_roundtrip": parquet_roundtrip,
     "stage_summary": stage_summary,

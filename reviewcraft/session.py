@@ -71,6 +71,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return _file_system(spark, path).exists(_hadoop_path(spark, path))
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it does not exist."""
+    if not path_exists(spark, path):
+        return []
+    found = _file_system(spark, path).listStatus(_hadoop_path(spark, path))
+    return [status.getPath().getName() for status in found]
+
+
 def delete_path(spark: SparkSession, path: str) -> bool:
     return _file_system(spark, path).delete(_hadoop_path(spark, path), True)
 

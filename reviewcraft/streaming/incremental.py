@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from reviewcraft.session import delete_path
+from reviewcraft.session import delete_path, list_names
 
 
 def run_available(
@@ -25,6 +25,7 @@ def run_available(
     max_files_per_batch: int = 1000,
 ) -> int:
     """Process all input files that no earlier run has finished; returns the batches run."""
+    before = _last_batch(spark, checkpoint)
     stream = (
         spark.readStream.schema(schema)
         .option("maxFilesPerTrigger", max_files_per_batch)
@@ -40,7 +41,14 @@ def run_available(
         .start()
     )
     query.awaitTermination()
-    return sum(1 for progress in query.recentProgress if progress["numInputRows"] > 0)
+    # batch ids count on from run to run; the progress kept in memory is cut by Spark
+    return _last_batch(spark, checkpoint) - before
+
+
+def _last_batch(spark: SparkSession, checkpoint: str) -> int:
+    """Number of the last committed batch, -1 if there is none."""
+    commits = list_names(spark, f"{checkpoint}/commits")
+    return max((int(name) for name in commits if name.isdigit()), default=-1)
 
 
 def combine(spark: SparkSession, staging: str, final: str, files: int | None = None) -> None:

@@ -94,6 +94,39 @@ def test_failed_places_are_tried_again_the_next_day(spark, tmp_path):
     assert second["succeeded"] == 6
 
 
+def test_a_stopped_run_keeps_its_finished_parts(spark, tmp_path):
+    source, target, log = (str(tmp_path / n) for n in ("contexts", "summaries", "log"))
+    tables.write_parquet(contexts(spark), source)
+
+    def factory(dies):
+        def summarize(prompt, context):
+            with open(log, "a") as calls:
+                calls.write(context[-1])
+            if dies and "yorum 3" in context:
+                raise ValueError("refused")
+            return "özet"
+
+        return summarize
+
+    policy = quiet(concurrency=1, calls_per_task=2)
+    first = jobs.enrich(spark, source, target, lambda: factory(True), policy=policy)
+    assert (first["tried"], first["succeeded"]) == (4, 3)
+    second = jobs.enrich(spark, source, target, lambda: factory(False), policy=policy)
+    assert second["succeeded"] == 3
+    calls = open(log).read()
+    assert sorted(calls) == sorted("01233" + "45")
+    assert jobs.enrich(spark, source, target, lambda: factory(True), policy=policy)["tried"] == 0
+
+
+def test_contexts_without_a_place_stay_out_of_the_file(spark, tmp_path):
+    source, target = str(tmp_path / "contexts"), str(tmp_path / "summaries")
+    odd = spark.createDataFrame([(None, "- [Puan: 5/5]: x", "P", 4, 1.0)], schemas.CONTEXTS)
+    tables.write_parquet(contexts(spark).unionByName(odd), source)
+    assert jobs.enrich(spark, source, target)["tried"] == 6
+    assert jobs.enrich(spark, source, target)["tried"] == 0
+    assert jobs.enrich(spark, str(tmp_path / "absent"), target)["tried"] == 0
+
+
 def test_extractive_summary_prefers_informative_lines(spark):
     lines = ["kısa", "on bir kelime " * 4, "uzun " * 90, "orta " * 30]
     df = spark.createDataFrame([("p", "\n".join(lines), "P", 4, 1.0)], schemas.CONTEXTS)

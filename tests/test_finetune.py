@@ -68,6 +68,26 @@ def test_chat_files(spark, tmp_path):
     assert jobs.render(spark, paths[1], paths[3]) == {"examples": 58, "too_long": 0}
 
 
+@pytest.mark.parametrize("nulls", [0, 1, 10, 100])
+@pytest.mark.parametrize("exact", [True, False])
+def test_rows_without_a_key_have_a_side(spark, nulls, exact):
+    rows = [(None if i < nulls else i, f"text {i}") for i in range(100)]
+    df = spark.createDataFrame(rows, "key bigint, text string")
+    train, test = ft.train_test_split(df, "key", 0.03, exact=exact)
+    found = [r["text"] for part in (train, test) for r in part.collect()]
+    assert sorted(found) == sorted(text for _, text in rows)
+    if exact:
+        assert test.count() == 3
+
+
+def test_chat_files_keep_every_record(spark, tmp_path):
+    rows = [(None if i < 5 else f"p{i}", "n", f"c{i}", f"s{i}") for i in range(100)]
+    rows.append(("p50", "n", "c50", "another summary"))
+    jsonl.append(spark.createDataFrame(rows, schemas.SUMMARIES), str(tmp_path / "s"))
+    counts = jobs.prepare_chat(spark, str(tmp_path / "s"), str(tmp_path / "a"), str(tmp_path / "b"))
+    assert sum(counts.values()) == 101
+
+
 def test_no_training_rows_is_an_error(spark, tmp_path):
     jsonl.append(summaries(spark, 1), str(tmp_path / "s"))
     with pytest.raises(ValueError, match="no training"):

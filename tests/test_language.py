@@ -49,10 +49,21 @@ def test_saved_profile_is_the_same(spark, documents, detector, tmp_path):
     assert np.array_equal(loaded.weights, detector.weights)
 
 
-def test_vocabulary_is_bounded(documents):
-    params = lg.DetectorParams(vocabulary=500)
-    small = lg.LanguageDetector.train(documents, "text", "lang", params)
-    assert small.grams.shape == (500,) and small.weights.shape == (4, 500)
+def test_every_gram_counts(spark):
+    rng = np.random.default_rng(5)
+    letters = [chr(0x4E00 + i) for i in range(20_000)]
+    words = ["".join(letters[i] for i in rng.integers(0, 20_000, 10)) for _ in range(16_000)]
+    plain = {w[i : i + n] for w in (f" {w} " for w in words) for n in (1, 2, 3) for i in range(13 - n)}
+    plain.discard(" ")
+    rows = [(" ".join(words[i : i + 100]), "zz") for i in range(0, len(words), 100)]
+    trained = lg.LanguageDetector.train(spark.createDataFrame(rows, "text string, lang string"), "text", "lang")
+    assert len(plain) > 1 << 18 and trained.grams.shape == (len(plain),)
+
+
+def test_a_profile_that_is_too_large_is_an_error(documents, monkeypatch):
+    monkeypatch.setattr(lg, "MAX_WEIGHTS", 100)
+    with pytest.raises(ValueError, match="weights"):
+        lg.LanguageDetector.train(documents, "text", "lang")
 
 
 def test_scoring_needs_no_shuffle(documents, detector):
