@@ -13,7 +13,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
 
     The large star links the larger neighbours of each node, the small star the smaller
     ones and the node itself. ``edges`` has ``a`` and ``b`` with ``a > b``. Minima are
-    combined before the shuffle; the join back is one that Spark can split at a hub.
+    combined before the shuffle and stored, so that Spark can split a hub's rows in the join.
     """
     if large:
         ends = edges.select("a", "b").unionAll(
@@ -21,8 +21,9 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         )
     else:
         ends = edges.select("a", "b")
-    least = ends.groupBy("a").agg(F.min("b").alias("m")).select(
-        "a", F.least("a", "m").alias("m")
+    least = stored(
+        ends.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")),
+        "least-neighbours",
     )
     joined = ends.join(least, "a")
     if large:
@@ -53,7 +54,8 @@ def components(edges: DataFrame) -> DataFrame:
     )
     before = _mark(edges)
     while before[0]:
-        edges = stored(_star(_star(edges, large=True), large=False), "edges")
+        grown = stored(_star(edges, large=True), "edges")
+        edges = stored(_star(grown, large=False), "edges")
         after = _mark(edges)
         if after == before:
             break

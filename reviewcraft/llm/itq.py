@@ -280,7 +280,10 @@ def vector_links(
         .join(roots, "node", "left")
         .withColumn("root", F.coalesce("root", "node"))
     )
-    smallest = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    named = stored(named, "vector-groups")
+    smallest = stored(
+        named.groupBy("root").agg(F.min("first_id").alias("component_id")), "component-ids"
+    )
     by_vector = named.join(smallest, "root").select(
         "label",
         "unit",

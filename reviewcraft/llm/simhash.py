@@ -192,9 +192,8 @@ def fingerprint_groups(prints: DataFrame) -> DataFrame:
     """``prints`` with ``root``, the smallest fingerprint that links can reach."""
     nodes = stored(prints.select("print").distinct(), "fingerprint-nodes")
     roots = components(fingerprint_links(nodes))
-    return prints.join(roots.withColumnRenamed("node", "print"), "print", "left").withColumn(
-        "root", F.coalesce("root", "print")
-    )
+    joined = prints.join(roots.withColumnRenamed("node", "print"), "print", "left")
+    return stored(joined.withColumn("root", F.coalesce("root", "print")), "fingerprint-groups")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -207,7 +206,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     empty table gives no rows.
     """
     grouped = fingerprint_groups(stored(fingerprints(docs), "fingerprints"))
-    smallest = grouped.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    # Stored, so that Spark can split the rows of a large group in the join.
+    smallest = stored(
+        grouped.groupBy("root").agg(F.min("doc_id").alias("component_id")), "component-ids"
+    )
     return grouped.join(smallest, "root").select(
         "doc_id",
         F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"),

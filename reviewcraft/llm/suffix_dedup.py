@@ -297,13 +297,16 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     Runs may overlap; together they are the bytes of all windows that start elsewhere too.
     """
     found = stored(texts.mapInArrow(_anchor_rows, ANCHORS), "anchors")
-    cores = (
+    # Sums are stored before they are joined back: only then can Spark split the rows of
+    # a hot key in the join.
+    cores = stored(
         found.groupBy("key", "whole")
         .agg(F.count(F.lit(1)).alias("same"))
         .groupBy("key")
         .agg(F.count(F.lit(1)).alias("kinds"), F.sum("same").alias("n"))
         .filter(F.col("n") > 1)
-        .select("key", "kinds")
+        .select("key", "kinds"),
+        "repeated-cores",
     )
     repeated = stored(found.join(cores, "key").drop("whole"), "repeated-anchors")
     equal = repeated.filter(F.col("kinds") == 1).select(
@@ -332,7 +335,9 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     copied = classes.filter(F.col("same") > 1).select(
         "key", "class_id", F.col("lo").alias("low"), F.col("hi").alias("high")
     )
-    several = classes.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    several = stored(
+        classes.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1"), "mixed-cores"
+    )
     cells = hot_key_cells(
         classes.join(several.select("key"), "key", "left_semi").drop("same"),
         ["key"],
@@ -346,10 +351,11 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
         .select(*order, "side", "left", "right", "lo", "hi", "class_id")
         .mapInArrow(_range_rows, "key binary, class_id long, low int, high int")
     )
-    ranges = (
+    ranges = stored(
         copied.unionByName(extended)
         .groupBy("key", "class_id")
-        .agg(F.min("low").alias("low"), F.max("high").alias("high"))
+        .agg(F.min("low").alias("low"), F.max("high").alias("high")),
+        "repeated-ranges",
     )
     start = F.col("at") - F.lit(BLOCK) * F.col("block")
     partly = blocks.select("row", "key", "class_id", "at", "block").join(
