@@ -322,7 +322,11 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     templates = host_templates(
         sent.select(F.monotonically_increasing_id().alias("row"), "host", "_html")
     )
-    joined = sent.join(templates, "host", "left").select("page", "_html", "host", "classes")
+    # As a table, its size is known: Spark broadcasts it if it is small, else it can split
+    # the pages of a large host in the join.
+    joined = sent.join(stored(templates, "host-templates"), "host", "left").select(
+        "page", "_html", "host", "classes"
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: tuple[str | None, Template] = (None, Template([]))
