@@ -72,16 +72,3 @@ def filter_columns(df: DataFrame, keep: Sequence[str] = fv.CURATED_COLUMNS) -> D
     """Those of ``keep`` that exist, in that order."""
     return df.select(*[name for name in keep if name in df.columns])
 
-
-def prepare_reviews(
-    df: DataFrame,
-    text_col: str = "cleaned_text",
-    rules: QualityRules = QualityRules(),
-    keep: Sequence[str] = fv.CURATED_COLUMNS,
-) -> DataFrame:
-    """Normalize, filter, project: one narrow stage."""
-    return (
-        df.transform(normalize_data, text_col)
-        .transform(quality_filter, text_col, rules)
-        .transform(filter_columns, keep)
-    )

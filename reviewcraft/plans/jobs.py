@@ -18,6 +18,7 @@ from reviewcraft import schemas
 from reviewcraft.operators import enrichment as en
 from reviewcraft.operators import finetune as ft
 from reviewcraft.operators import inspection
+from reviewcraft.operators.cleaning import remove_nulls
 from reviewcraft.operators.context import ContextParams, build_context, place_counts, with_review_id
 from reviewcraft.operators.language import DetectorParams, LanguageDetector, train_profile
 from reviewcraft.plans.stages import CleaningParams, clean_reviews, curate_reviews, training_text
@@ -49,16 +50,18 @@ def clean(
     work: str,
     params: CleaningParams = CleaningParams(),
     max_files_per_batch: int = 1000,
-    drop_staging: bool = True,
+    compact: bool = False,
 ) -> Metrics:
     """Raw files to the cleaned table; run again after a crash, it goes on where it was.
 
     ``work`` holds the progress and must stay the same between the runs. The
-    unit of progress is an input file, see ``tables.write_parquet``.
+    unit of progress is an input file, see ``tables.write_parquet``. The
+    batches are the cleaned table; with ``compact`` they are staged, written
+    once more as one table, and the work folder is deleted.
     """
     schema = spark.read.parquet(raw).schema
     detector = LanguageDetector.load(spark, model)
-    staging = f"{work}/staging"
+    staging = f"{work}/staging" if compact else cleaned
     batches = incremental.run_available(
         spark,
         raw,
@@ -68,12 +71,21 @@ def clean(
         f"{work}/progress",
         max_files_per_batch,
     )
-    incremental.combine(spark, staging, cleaned)
-    if drop_staging:
+    if compact:
+        incremental.combine(spark, staging, cleaned)
         incremental.drop_work(spark, work)
-    total = tables.count_rows(spark.read.parquet(raw)).first()["n_rows"]
+    rows = spark.read.schema(schema).parquet(raw)
+    total = tables.count_rows(rows).first()["n_rows"]
+    filled = tables.count_rows(remove_nulls(rows, params.text_col)).first()["n_rows"]
     kept = tables.count_rows(spark.read.parquet(cleaned)).first()["n_rows"]
-    return {"batches": batches, "rows_in": total, "rows_out": kept, "removed": total - kept}
+    return {
+        "batches": batches,
+        "rows_in": total,
+        "rows_out": kept,
+        "removed": total - kept,
+        "removed_blank": total - filled,
+        "removed_language": filled - kept,
+    }
 
 
 def curate(spark: SparkSession, cleaned: str, curated: str) -> Metrics:
@@ -219,6 +231,7 @@ def main(argv: list[str] | None = None) -> None:
     sub = command("clean", clean, "raw", "cleaned", "model", "work")
     sub.add_argument("--text-col", default="review_text")
     sub.add_argument("--target-lang", default=fv.TARGET_LANGUAGE)
+    sub.add_argument("--compact", action="store_true")
     sub.add_argument("--translatable", nargs="*", default=list(fv.TRANSLATABLE_LANGUAGES))
     command("curate", curate, "cleaned", "curated")
     sub = command("contexts", contexts, "curated", "output")

@@ -9,17 +9,6 @@ def _struct(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind, True) for name, kind in fields.items()])
 
 
-RAW_REVIEWS = _struct(
-    review_id=T.LongType(),
-    place_id=T.StringType(),
-    place_name=T.StringType(),
-    category=T.StringType(),
-    category_list=T.StringType(),
-    rating=T.DoubleType(),
-    visit_details=T.StringType(),
-    review_text=T.StringType(),
-)
-
 CONTEXTS = _struct(
     place_id=T.StringType(),
     llm_input_context=T.StringType(),

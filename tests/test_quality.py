@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
+from reviewcraft.plans.stages import curate_reviews
 from reviewcraft import fixed_values as fv
 from reviewcraft.operators import normalization, quality
 
@@ -103,7 +104,7 @@ def test_change_tracking(spark):
 @pytest.mark.parametrize("step", ["quality", "curate"])
 def test_plan_is_narrow_and_runs_patterns_once(spark, step):
     df = spark.createDataFrame([(1, "p", "metin")], "review_id int, place_id string, cleaned_text string")
-    result = quality.prepare_reviews(df) if step == "curate" else quality.quality_filter(df)
+    result = curate_reviews(df) if step == "curate" else quality.quality_filter(df)
     plan = result._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
     assert plan.count("regexp_replace(regexp_replace") <= plan.count("CollectMetrics normalize") * 5

@@ -1,5 +1,10 @@
 """Sources, sinks, incremental runs, inspection and the jobs end to end."""
 
+import os
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,7 +13,7 @@ from reviewcraft.operators import inspection
 from reviewcraft.plans import jobs
 from reviewcraft.plans.queries import raw_reviews
 from reviewcraft.plans.stages import CleaningParams
-from reviewcraft.session import path_exists
+from reviewcraft.session import delete_path, path_exists
 from reviewcraft.sources import jsonl, tables
 from reviewcraft.streaming import incremental
 
@@ -101,7 +106,13 @@ def test_jobs_from_raw_to_training_text(spark, tmp_path):
     params = CleaningParams(target_lang="en", translatable=("de", "fr", "es"))
     cleaned = jobs.clean(spark, at["raw"], at["cleaned"], at["model"], at["work"], params)
     assert cleaned["rows_in"] == 200 and cleaned["rows_out"] + cleaned["removed"] == 200
-    assert not path_exists(spark, at["work"])
+    assert cleaned["removed"] == cleaned["removed_blank"] + cleaned["removed_language"]
+    again = jobs.clean(spark, at["raw"], at["cleaned"], at["model"], at["work"], params)
+    assert again == cleaned | {"batches": 0}
+    compact = [at[n] for n in ("raw", "summaries", "model", "train")]
+    assert jobs.clean(spark, *compact, params, compact=True) == cleaned
+    assert not path_exists(spark, at["train"])
+    delete_path(spark, at["summaries"])
     curated = jobs.curate(spark, at["cleaned"], at["curated"])
     assert curated["kept_rows"] + curated["removed_rows"] == curated["rows"] == cleaned["rows_out"]
     places = jobs.contexts(spark, at["curated"], at["contexts"])
@@ -113,6 +124,37 @@ def test_jobs_from_raw_to_training_text(spark, tmp_path):
     assert "error" in jobs.inspect(spark, str(tmp_path / "nothing"))
 
 
+def test_batches_are_counted_by_their_ids(spark, tmp_path, monkeypatch):
+    raw = str(tmp_path / "raw")
+    spark.range(60).repartition(6).write.parquet(raw)
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        schema = spark.read.parquet(raw).schema
+        folders = (str(tmp_path / "staging"), str(tmp_path / "progress"), 1)
+        assert incremental.run_available(spark, raw, schema, lambda df: df, *folders) == 6
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+
+
+def test_job_runs_from_anywhere(spark, tmp_path):
+    """As a process of its own, in another folder, without PYTHONPATH."""
+    spark.createDataFrame([("bir metin",), ("another",)], "review_text string").write.parquet(
+        str(tmp_path / "raw")
+    )
+    rows = [("güzel yemek", "tr"), ("good food", "en")]
+    spark.createDataFrame(rows, "text string, lang string").write.parquet(str(tmp_path / "labelled"))
+    script = Path(__file__).resolve().parent.parent / "run_job.py"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    for arguments in (["train-detector", "labelled", "model", "text", "lang"],
+                      ["clean", "raw", "cleaned", "model", "work"]):
+        ran = subprocess.run(
+            [sys.executable, str(script), *arguments], cwd=tmp_path, env=env,
+            capture_output=True, text=True, timeout=300,
+        )
+        assert ran.returncode == 0, ran.stderr[-2000:]
+    assert '"rows_in": 2' in ran.stdout
+
+
 def test_command_line(spark, tmp_path, capsys):
     spark.createDataFrame(
         [(i, "p", "P", 5.0, "en", "güzel yemek") for i in range(12)],
