@@ -11,14 +11,19 @@ from pyspark.sql import functions as F
 from reviewcraft.session import shared_folder, ship_package
 
 BATCH_BYTES = 8 << 20
+SPLITS_KEY = "spark.sql.files.minPartitionNum"
 
 
 def bounded_batches(spark: SparkSession) -> None:
     """Bound what one Arrow batch holds, so that long texts cannot fill a Python worker.
 
-    Python workers get the package here too.
+    Python workers get the package here too. The number of cores that Spark cuts files for
+    is fixed for the session: else losing an executor could change the splits of a table
+    between two scans, and with them the numbers of its rows.
     """
     ship_package(spark)
+    if spark.conf.get(SPLITS_KEY, None) is None:
+        spark.conf.set(SPLITS_KEY, str(spark.sparkContext.defaultParallelism))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
