@@ -31,8 +31,9 @@ class ItqParams:
     recall: float = 0.97
     bucket_vectors: int = 64
     least_bits: int = 8
-    #: The documented bound of the sample that the rotations are learned from.
+    #: The documented bounds of the sample that the rotations are learned from.
     sample_vectors: int = 20_000
+    sample_values: int = 1 << 22
     rounds: int = 30
     cell_vectors: int = 4096
     seed: int = 3
@@ -80,11 +81,12 @@ def table_shape(vectors: int, params: ItqParams) -> tuple[int, int]:
 
 
 def build_index(vectors: DataFrame, n: int, dims: int, params: ItqParams) -> ItqIndex:
-    """Learn from the ``sample_vectors`` vectors with the smallest hashes."""
+    """Learn from the vectors with the smallest hashes, as many as the bounds allow."""
     bits, tables = table_shape(n, params)
-    share = min(1.0, 1.2 * params.sample_vectors / max(n, 1))
+    size = max(1, min(params.sample_vectors, params.sample_values // dims))
+    share = min(1.0, 1.2 * size / max(n, 1))
     near = vectors.filter(F.pmod(F.xxhash64("node"), F.lit(1 << 20)) < share * (1 << 20))
-    rows = near.orderBy(F.xxhash64("node"), "node").limit(params.sample_vectors).collect()
+    rows = near.orderBy(F.xxhash64("node"), "node").limit(size).collect()
     sample = np.array([r["unit"] for r in rows], dtype=np.float64).reshape(-1, dims)
     rotations = []
     while sum(p.shape[1] for _, p in rotations) < bits * tables:
