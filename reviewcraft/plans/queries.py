@@ -47,9 +47,9 @@ def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return tables.spread(table(spark, sf_dir, name))
 
 
-def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+def reviews(spark: SparkSession, sf_dir: str, read=texts) -> DataFrame:
     place = "cast(floor(sqrt(doc_id)) AS bigint)"
-    return texts(spark, sf_dir, "documents").selectExpr(
+    return read(spark, sf_dir, "documents").selectExpr(
         "doc_id AS review_id",
         f"concat('place_', {place}) AS place_id",
         f"concat('Place ', {place}) AS place_name",
@@ -297,7 +297,7 @@ def rating_alloc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stratified_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return context.sample_reviews(reviews(spark, sf_dir))
+    return context.sample_reviews(reviews(spark, sf_dir, table))
 
 
 def place_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -305,12 +305,15 @@ def place_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def build_context(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return context.build_context(reviews(spark, sf_dir))
+    # not spread first: the plan reads the table more than once, and each branch would be
+    return context.build_context(reviews(spark, sf_dir, table))
 
 
 def build_context_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same contexts with most places taking the way of hot ones."""
-    return context.build_context(reviews(spark, sf_dir), context.ContextParams(hot_rows=30))
+    return context.build_context(
+        reviews(spark, sf_dir, table), context.ContextParams(hot_rows=30)
+    )
 
 
 def build_context_forty(spark: SparkSession, sf_dir: str) -> DataFrame:
