@@ -62,11 +62,14 @@ def hot_key_cells(
     exactly one cell: in cell (i, i), or on different sides of cell (i, j). So no task
     holds more than two blocks, whatever the size of the group.
     """
-    large = (
+    # At most one in ``limit`` keys is here. Stored, its size is known: Spark broadcasts it if
+    # it is small, so that rows are shuffled only once, and else can split hot keys.
+    large = stored(
         rows.groupBy(*key)
         .agg(F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") > limit)
-        .select(*key, F.ceil(F.col("_n") / limit).cast("int").alias("_blocks"))
+        .select(*key, F.ceil(F.col("_n") / limit).cast("int").alias("_blocks")),
+        "large-groups",
     )
     dealt = rows.join(large, key, "left").withColumn("_blocks", F.coalesce("_blocks", F.lit(1)))
     dealt = dealt.withColumn(
