@@ -1,14 +1,20 @@
 """Main text of web pages by template deduction from equivalence classes (operator 5).
 
 A page is a list of tokens: tags (name, class, id and role) and the text runs between them.
-For each host, tokens are grouped by their occurrence vectors over all its pages. Only the
-combined hash of its (page, number of occurrences) is kept for each token, so equal vectors
-are found without bringing a host's pages together. A class is valid if its open and close tags
-nest, and the class of tokens with one occurrence in every page is the skeleton of the
-host's template: its elements cut each page into slots. Other classes of frequent tags nest
-into the slots of their parents. Slots inside menus, headers, footers, notices, adverts,
-forms and the like, and text runs that belong to the template, are left out; what remains
-in the slots of the main element is the text.
+A close tag takes the role of the element that it closes. For each host, tokens are grouped by
+their occurrence vectors over all its pages. Only the combined hash of its (page, number of
+occurrences) is kept for each token, so equal vectors are found without bringing a host's pages
+together. A second pass over the pages checks the classes: a tag stays in its class if its
+elements nest and if it always follows the same tag of the class (round about, for classes with
+several occurrences in a page); other tags leave it. The class of tags with one occurrence in
+every page is the skeleton of the host's template. Its elements cut each page into slots, and
+elements of the other classes cut these further, wherever they stand.
+
+The same pass sums up text and link text of each slot over the host's pages. Slots made of
+links are boilerplate, as are those that are named as menus, headers, footers, notices,
+adverts, forms and the like, and text runs that belong to the template. The main slot is the
+named main element; without one it is found in the skeleton, by going down to the slot that
+holds nearly all of the text that is left.
 """
 
 from __future__ import annotations
@@ -54,6 +60,20 @@ RAW_NAMES = ("script", "style", "textarea", "title", "noscript", "template", "if
 TEXT_SUPPORT = 8
 #: Share of a host's pages that must have a tag for it to count as frequent.
 FREQUENT = 0.05
+#: Share of its pages in which a tag must nest and keep its place in its class.
+VALID = 0.75
+#: A slot is judged by its text if it stands in at least so many pages.
+SLOT_PAGES = 3
+#: A slot is boilerplate from this share of link text, and the main slot from this share of text.
+LINKED, MOST_TEXT = 0.5, 0.75
+#: Elements that end where their parent does or where the next one starts.
+OPEN_ENDED = {*("html", "body", "p", "li", "dt", "dd", "tr", "td", "th", "thead", "tbody", "tfoot", "option")}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+#: Elements whose content is a slot; the others are parts of running text.
+CONTAINERS = (
+    BLOCK_NAMES - HEADINGS
+    - {"p", "li", "dt", "dd", "pre", "blockquote", "figure", "figcaption", "hr", "caption", "summary"}
+)
 
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -126,26 +146,100 @@ def tokens_of(page: str) -> list[Token]:
     return out
 
 
-def page_vector(page: str) -> dict[int, tuple[int, str]]:
-    """Occurrences and kind of each token of a page; text runs with their white space folded."""
-    counts: dict[int, tuple[int, str]] = {}
-    for token in tokens_of(page):
-        if token.kind == "r":
-            continue
+def tag_roles(tokens: list[Token]) -> tuple[list[int], list[bool]]:
+    """Key of each tag, and whether its element nests; stray close tags and texts have key 0.
+
+    A close tag has the marks of the element that it closes.
+    """
+    keys, nests = [0] * len(tokens), [True] * len(tokens)
+    known: dict[tuple[str, str, str], int] = {}
+
+    def role(kind: str, name: str, marks: str) -> int:
+        found = known.get((kind, name, marks))
+        if found is None:
+            found = known[kind, name, marks] = Token(kind, name, marks, "").key
+        return found
+
+    stack: list[_Element] = []
+    at: list[int] = []
+    for i, token in enumerate(tokens):
+        if token.kind == "o":
+            keys[i] = role("o", token.name, token.marks)
+            if token.name in VOID_NAMES:
+                continue
+            if token.name in ("p", "li"):
+                _close(stack, token.name, within=True)
+                del at[len(stack) :]
+            stack.append(_Element(token, False, False, False))
+            at.append(i)
+        elif token.kind == "c":
+            before = list(stack)
+            _close(stack, token.name)
+            if len(stack) < len(before):
+                keys[i] = role("c", token.name, before[len(stack)].token.marks)
+                for cut in at[len(stack) + 1 :]:
+                    nests[cut] = tokens[cut].name in OPEN_ENDED
+                del at[len(stack) :]
+    for cut in at:
+        nests[cut] = tokens[cut].name in OPEN_ENDED
+    return keys, nests
+
+
+def page_vector(page: str) -> dict[int, tuple[int, str, bool]]:
+    """Occurrences, kind and nesting of each token of a page; white space in texts is folded."""
+    counts: dict[int, tuple[int, str, bool]] = {}
+    tokens = tokens_of(page)
+    for token, key, nests in zip(tokens, *tag_roles(tokens), strict=True):
         if token.kind == "t":
             folded = _SPACE.sub(" ", token.value).strip()
-            if not folded:
-                continue
-            token = Token("t", "", "", folded)
-        key = token.key
-        counts[key] = (counts.get(key, (0, ""))[0] + 1, token.kind)
+            key = Token("t", "", "", folded).key if folded else 0
+        if key:
+            n, _, all_nest = counts.get(key, (0, "", True))
+            counts[key] = (n + 1, token.kind, all_nest and nests)
     return counts
 
 
+def class_order(page: str, classes: dict[int, int]) -> dict[int, int]:
+    """The tag of its class that each tag follows, 0 if not always the same one.
+
+    The first tag of a class follows the last one, so that repetitions look alike.
+    """
+    before: dict[int, int] = {}
+    ends: dict[int, list[int]] = {}
+    for key in tag_roles(tokens_of(page))[0]:
+        if key not in classes:
+            continue
+        end = ends.get(classes[key])
+        if end is None:
+            ends[classes[key]] = [key, key]
+            continue
+        before[key] = end[1] if before.get(key, end[1]) == end[1] else 0
+        end[1] = key
+    for first, last in ends.values():
+        before[first] = last if before.get(first, last) == last else 0
+    return before
+
+
+def slot_texts(page: str, template: Template) -> dict[tuple[int, ...], list[int]]:
+    """Text and link text of each slot outside named boilerplate, in characters.
+
+    A slot is the path of the class elements around it.
+    """
+    sums: dict[tuple[int, ...], list[int]] = {}
+    for token, stack in _walk(tokens_of(page), template):
+        if token.kind == "t" and not any(e.skip for e in stack):
+            folded = _SPACE.sub(" ", token.value).strip()
+            if folded and Token("t", "", "", folded).key not in template.texts:
+                sizes = sums.setdefault(stack[-1].slot if stack else (), [0, 0])
+                sizes[0] += len(folded)
+                sizes[1] += len(folded) * any(e.token.name == "a" for e in stack)
+    return sums
+
+
 class Template:
-    """What a host's pages share: the skeleton's tokens and the template's text runs."""
+    """What a host's pages share: valid classes, the skeleton's tags, texts, and judged slots."""
 
-    def __init__(self, classes: list[dict]):
+    def __init__(self, classes: list[dict], slots: list[dict] | None = None):
         self.skeleton: set[int] = set()
         self.texts: set[int] = set()
         self.classes: dict[int, int] = {}
@@ -155,13 +249,77 @@ class Template:
             if c["once"]:
                 self.skeleton.update(c["tags"])
                 self.texts.update(c["texts"])
+        self.linked: set[tuple[int, ...]] = set()
+        self.main_slot: tuple[int, ...] = ()
+        self._judge(slots or [])
+
+    def _judge(self, slots: list[dict]) -> None:
+        sums: dict[tuple[int, ...], list[int]] = {}
+        found: list[tuple[tuple[int, ...], int]] = []
+        for s in slots:
+            path: tuple[int, ...] = ()
+            for key in s["path"]:
+                # Tags that have left their class cut nothing.
+                if key in self.classes and path[-1:] != (key,):
+                    path += (key,)
+            found.append((path, s["chars"]))
+            for n in range(1, len(path) + 1):
+                size = sums.setdefault(path[:n], [0, 0, 0])
+                size[0] = max(size[0], s["pages"])
+                size[1] += s["chars"]
+                size[2] += s["links"]
+        self.linked = {
+            path for path, (pages, chars, links) in sums.items()
+            if pages >= SLOT_PAGES and links >= LINKED * chars
+        }
+        left: dict[tuple[int, ...], int] = {}
+        for path, chars in found:
+            if not any(path[:n] in self.linked for n in range(1, len(path) + 1)):
+                for n in range(len(path) + 1):
+                    left[path[:n]] = left.get(path[:n], 0) + chars
+        slot: tuple[int, ...] = ()
+        while True:
+            inner = [
+                p for p in left
+                if len(p) == len(slot) + 1 and p[:-1] == slot and p[-1] in self.skeleton
+                and sums[p][0] >= SLOT_PAGES and left[p] >= MOST_TEXT * left[slot]
+            ]
+            if not inner:
+                break
+            slot = max(inner, key=lambda p: left[p])
+        self.main_slot = slot
 
 
 class _Element:
-    __slots__ = ("token", "skip", "main", "skeleton")
+    __slots__ = ("token", "skip", "main", "skeleton", "slot")
 
-    def __init__(self, token: Token, skip: bool, main: bool, skeleton: bool):
+    def __init__(
+        self, token: Token, skip: bool, main: bool, skeleton: bool, slot: tuple[int, ...] = ()
+    ):
         self.token, self.skip, self.main, self.skeleton = token, skip, main, skeleton
+        self.slot = slot
+
+
+def _walk(
+    tokens: list[Token], template: Template, mains: set[int] = frozenset()
+) -> Iterator[tuple[Token, list[_Element]]]:
+    """Each token with the elements that are open after it."""
+    stack: list[_Element] = []
+    for i, token in enumerate(tokens):
+        if token.kind == "o" and token.name not in VOID_NAMES:
+            if token.name in ("p", "li"):
+                # An open paragraph or item ends where the next one starts.
+                _close(stack, token.name, within=True)
+            key = token.key
+            slot = stack[-1].slot if stack else ()
+            skip = token.boilerplate
+            if token.name in CONTAINERS and key in template.classes and slot[-1:] != (key,):
+                slot += (key,)
+                skip = skip or (slot in template.linked and i not in mains)
+            stack.append(_Element(token, skip, i in mains, key in template.skeleton, slot))
+        elif token.kind == "c":
+            _close(stack, token.name)
+        yield token, stack
 
 
 def main_text(page: str, template: Template) -> str:
@@ -171,31 +329,29 @@ def main_text(page: str, template: Template) -> str:
     what there is: then the host's pages are copies of each other.
     """
     tokens = tokens_of(page)
-    keys = [t.key if t.kind in "oc" else 0 for t in tokens]
     opened = [i for i, t in enumerate(tokens) if t.kind == "o" and t.main and not t.boilerplate]
-    in_skeleton = [i for i in opened if keys[i] in template.skeleton]
+    in_skeleton = [i for i in opened if tokens[i].key in template.skeleton]
     mains = set(in_skeleton[:1] or opened)
+    # Without a named main element, the main slot of the template, if the page has it.
+    slot = () if mains else template.main_slot
+    if slot:
+        walked = _walk(tokens, template)
+        if not any(stack and stack[-1].slot == slot for _, stack in walked):
+            slot = ()
     block, runs = 0, []  # (block, text, whether it belongs to the template)
-    stack: list[_Element] = []
-    for i, token in enumerate(tokens):
-        if token.kind == "o":
+    for token, stack in _walk(tokens, template, mains):
+        if token.kind in "oc":
             block += token.name in BLOCK_NAMES
-            if token.name == "br":
+            if token.kind == "o" and token.name == "br":
                 runs.append((block, " ", False))
-            if token.name in VOID_NAMES:
-                continue
-            if token.name in ("p", "li"):
-                # An open paragraph or item ends where the next one starts.
-                _close(stack, token.name, within=True)
-            stack.append(
-                _Element(token, token.boilerplate, i in mains, keys[i] in template.skeleton)
-            )
-        elif token.kind == "c":
-            block += token.name in BLOCK_NAMES
-            _close(stack, token.name)
         elif (
             token.kind == "t"
             and (not mains or any(e.main for e in stack))
+            and (
+                not slot
+                or bool(stack)
+                and (stack[-1].slot[: len(slot)] == slot or any(e.token.name == "h1" for e in stack))
+            )
             and not any(e.skip for e in stack)
         ):
             shared = False
@@ -238,14 +394,16 @@ def _close(stack: list[_Element], name: str, within: bool = False) -> None:
 
 # --- Spark ------------------------------------------------------------------------------------
 
-VECTORS = "host string, key long, kind string, n long, page_hash long"
+VECTORS = "host string, key long, kind string, n long, nests boolean, page_hash long"
+SLOTS = "host string, key long, before long, path array<long>, pages long, chars long, links long"
+CLASSES = "array<struct<vector: long, tags: array<long>, texts: array<long>, once: boolean>>"
 
 
 def _page_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row for each distinct token of a page; ``page_hash`` is of (page, occurrences)."""
-    kinds = (pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64())
+    kinds = (pa.string(), pa.int64(), pa.string(), pa.int64(), pa.bool_(), pa.int64())
     for batch in batches:
-        hosts, keys, sorts, counts, hashes = [], [], [], [], []
+        hosts, keys, sorts, counts, nested, hashes = [], [], [], [], [], []
         for row, host, page in zip(
             batch.column("row").to_pylist(),
             batch.column("host").to_pylist(),
@@ -254,51 +412,126 @@ def _page_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ):
             vector = page_vector(page.as_py().decode("utf-8", "replace"))
             # The page itself, as a token that each page has once.
-            vector[0] = (1, "page")
-            for key, (n, kind) in vector.items():
+            vector[0] = (1, "page", True)
+            for key, (n, kind, nests) in vector.items():
                 hosts.append(host)
                 keys.append(key)
                 sorts.append(kind)
                 counts.append(n)
+                nested.append(nests)
                 hashes.append(_signed(xxhash.xxh3_64_intdigest(f"{row} {n}")))
-        columns = (hosts, keys, sorts, counts, hashes)
+        columns = (hosts, keys, sorts, counts, nested, hashes)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+            names=["host", "key", "kind", "n", "nests", "page_hash"],
+        )
+
+
+def _templates(batch: pa.RecordBatch, known: dict[str, Template]) -> Iterator[Template]:
+    """The template of each page; some are remembered, as pages of a host come in any order."""
+    slots = "slots" in batch.schema.names
+    for i, host in enumerate(batch.column("host").to_pylist()):
+        if host not in known:
+            if len(known) >= 64:
+                known.pop(next(iter(known)))
+            known[host] = Template(
+                batch.column("classes")[i].as_py() or [],
+                (batch.column("slots")[i].as_py() or []) if slots else [],
+            )
+        yield known[host]
+
+
+def _page_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Places of tags in their classes (with a key) and sizes of slots (with a path)."""
+    kinds = (pa.string(), *[pa.int64()] * 2, pa.list_(pa.int64()), *[pa.int64()] * 3)
+    known: dict[str, Template] = {}
+    for batch in batches:
+        rows = []
+        hosts = batch.column("host").to_pylist()
+        for host, page, template in zip(hosts, batch.column("_html"), _templates(batch, known), strict=True):
+            text = page.as_py().decode("utf-8", "replace")
+            for key, before in class_order(text, template.classes).items():
+                rows.append((host, key, before, [], 1, 0, 0))
+            for path, (chars, links) in slot_texts(text, template).items():
+                rows.append((host, 0, 0, list(path), 1, chars, links))
+        columns = list(zip(*rows, strict=True)) if rows else [()] * len(kinds)
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-            names=["host", "key", "kind", "n", "page_hash"],
+            names=["host", "key", "before", "path", "pages", "chars", "links"],
         )
 
 
+def _classes(tokens: DataFrame) -> DataFrame:
+    """``host`` and ``classes`` of tokens, by their vectors."""
+    classes = tokens.groupBy("host", "vector").agg(
+        F.collect_list(F.when(F.col("kind") != "t", F.col("key"))).alias("tags"),
+        F.collect_list(F.when(F.col("kind") == "t", F.col("key"))).alias("texts"),
+        F.max("once").alias("once"),
+    )
+    return classes.groupBy("host").agg(
+        F.collect_list(F.struct("vector", "tags", "texts", "once")).cast(CLASSES).alias("classes")
+    )
+
+
 def host_templates(pages: DataFrame) -> DataFrame:
-    """``host`` and ``classes``: its tokens grouped by occurrence vector.
+    """``host``, ``classes`` (valid tokens grouped by occurrence vector) and ``slots``.
 
     ``pages`` has ``row``, ``host`` and ``_html``. The hashes of (page, number), combined,
     stand for the vector. Rare tags and texts that are not once in every page cannot be
-    part of a template and are left out before they are gathered.
+    part of a template and are left out before they are gathered, as are tags that do not nest.
     """
     tokens = pages.mapInArrow(_page_tokens, VECTORS)
     vectors = stored(
         tokens.groupBy("host", "key", "kind").agg(
             F.count(F.lit(1)).alias("pages"),
             F.max("n").alias("most"),
+            F.count_if("nests").alias("nested"),
             F.bit_xor("page_hash").alias("vector"),
         ).filter((F.col("kind") != "t") | ((F.col("pages") >= TEXT_SUPPORT) & (F.col("most") == 1))),
         "token-vectors",
     )
     total = vectors.filter(F.col("kind") == "page").select("host", F.col("pages").alias("_all"))
-    frequent = vectors.join(total, "host").filter(
-        F.when(F.col("kind") == "t", F.col("pages") == F.col("_all")).otherwise(
-            F.col("pages") >= F.lit(FREQUENT) * F.col("_all")
+    frequent = stored(
+        vectors.join(total, "host")
+        .filter(
+            F.when(F.col("kind") == "t", F.col("pages") == F.col("_all")).otherwise(
+                (F.col("pages") >= F.lit(FREQUENT) * F.col("_all"))
+                & (F.col("nested") >= F.lit(VALID) * F.col("pages"))
+            )
+            & (F.col("kind") != "page")
         )
-        & (F.col("kind") != "page")
+        .withColumn("once", (F.col("pages") == F.col("_all")) & (F.col("most") == 1)),
+        "frequent-tokens",
     )
-    classes = frequent.groupBy("host", "vector").agg(
-        F.collect_list(F.when(F.col("kind") != "t", F.col("key"))).alias("tags"),
-        F.collect_list(F.when(F.col("kind") == "t", F.col("key"))).alias("texts"),
-        F.max((F.col("pages") == F.col("_all")) & (F.col("most") == 1)).alias("once"),
+    candidates = stored(_classes(frequent), "host-classes")
+    found = stored(
+        pages.join(candidates, "host")
+        .select("host", "_html", "classes")
+        .mapInArrow(_page_slots, SLOTS)
+        .groupBy("host", "key", "before", "path")
+        .agg(*(F.sum(c).alias(c) for c in ("pages", "chars", "links"))),
+        "page-slots",
     )
-    return classes.groupBy("host").agg(
-        F.collect_list(F.struct("vector", "tags", "texts", "once")).alias("classes")
+    ordered = (
+        found.filter(F.col("key") != 0)
+        .groupBy("host", "key")
+        .agg(
+            F.sum("pages").alias("_pages"),
+            F.max(F.when(F.col("before") != 0, F.col("pages"))).alias("_kept"),
+        )
+        .filter(F.col("_kept") >= F.lit(VALID) * F.col("_pages"))
+        .select("host", "key")
+    )
+    tags = frequent.filter(F.col("kind") != "t").join(ordered, ["host", "key"], "left_semi")
+    valid = tags.unionByName(frequent.filter(F.col("kind") == "t"))
+    slots = (
+        found.filter(F.col("key") == 0)
+        .join(total, "host")
+        .filter(F.col("pages") >= F.lit(FREQUENT) * F.col("_all"))
+        .groupBy("host")
+        .agg(F.collect_list(F.struct("path", "pages", "chars", "links")).alias("slots"))
     )
+    return _classes(valid).join(slots, "host", "left")
 
 
 def extract_main_text(pages: DataFrame) -> DataFrame:
@@ -325,18 +558,16 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     # As a table, its size is known: Spark broadcasts it if it is small, else it can split
     # the pages of a large host in the join.
     joined = sent.join(stored(templates, "host-templates"), "host", "left").select(
-        "page", "_html", "host", "classes"
+        "page", "_html", "host", "classes", "slots"
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple[str | None, Template] = (None, Template([]))
+        known: dict[str, Template] = {}
         for batch in batches:
-            texts = []
-            hosts = batch.column("host").to_pylist()
-            for i, (page, name) in enumerate(zip(batch.column("_html"), hosts, strict=True)):
-                if name != last[0]:
-                    last = (name, Template(batch.column("classes")[i].as_py() or []))
-                texts.append(main_text(page.as_py().decode("utf-8", "replace"), last[1]))
+            texts = [
+                main_text(page.as_py().decode("utf-8", "replace"), template)
+                for page, template in zip(batch.column("_html"), _templates(batch, known), strict=True)
+            ]
             yield pa.RecordBatch.from_arrays(
                 [
                     *batch.column("page").flatten(),

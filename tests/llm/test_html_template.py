@@ -82,3 +82,26 @@ def test_clashing_columns(spark, name):
 
 def test_empty(spark):
     assert ht.extract_main_text(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+NEUTRAL = """<html><body><div class="w"><div class="k1"><a href="/{n}">Way {n}</a> <a href="/b{n}">Other {n}</a></div>
+<div class="k2">Buy {n}</div><h1>Head {n}</h1><div class="k3"><p>{story}</p><p>End {n}</p></div>
+<div class="k4"><p>Reader {n}</p></div></div></body></html>"""
+
+
+def test_slots_with_neutral_names(spark):
+    story = [" ".join(f"word{i}x{k}" for k in range(40)) for i in range(6)]
+    rows = [(i, f"https://n.example/{i}", NEUTRAL.format(n=i, story=story[i])) for i in range(6)]
+    assert texts(spark, rows) == {i: f"Head {i}\n\n{story[i]}\n\nEnd {i}" for i in range(6)}
+
+
+def test_tags_out_of_order_or_nesting_leave_their_class(spark):
+    a, b = '<i class="a">x</i>', '<i class="b">y</i>'
+    bodies = [f"<div class=c>{a}{b}{'<em class=d>'}</div><s class=e>z</s>", f"<s class=e>z</s><div class=c>{b}{a}{'<em class=d>'}</div>"]
+    rows = [(i, "h", bytes(bodies[i % 2], "utf-8")) for i in range(8)]
+    df = spark.createDataFrame(rows, "row long, host string, _html binary")
+    [host] = ht.host_templates(df).collect()
+    template = ht.Template([c.asDict() for c in host["classes"]])
+    assert ht.Token("o", "em", "d", "").key not in template.classes
+    assert ht.Token("o", "i", "a", "").key not in template.skeleton
+    assert ht.class_order("<b><i></i></b><b><i></i></b>", {}) == {}
