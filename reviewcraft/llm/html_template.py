@@ -4,10 +4,10 @@ A page is a list of tokens: tags (name, class, id and role) and the text runs be
 A close tag takes the role of the element that it closes. For each host, tokens are grouped by
 their occurrence vectors over all its pages. Only the combined hash of its (page, number of
 occurrences) is kept for each token, so equal vectors are found without bringing a host's pages
-together. A second pass over the pages checks the classes: a tag stays in its class if its
+together. Pages without tokens do not count. A second pass over the pages checks the classes: a tag stays in its class if its
 elements nest and if it always follows the same tag of the class (round about, for classes with
-several occurrences in a page); other tags leave it. The class of tags with one occurrence in
-every page is the skeleton of the host's template. Its elements cut each page into slots, and
+several occurrences in a page); other tags leave it. The classes of tags with one occurrence in
+nearly every page (``SUPPORT``) are the skeleton of the host's template. Its elements cut each page into slots, and
 elements of the other classes cut these further, wherever they stand.
 
 The same pass sums up text and link text of each slot over the host's pages. Slots made of
@@ -56,8 +56,11 @@ VOID_NAMES = {
     *("track", "wbr"),
 }
 RAW_NAMES = ("script", "style", "textarea", "title", "noscript", "template", "iframe", "svg")
-#: A text run is part of a template if it stands once in each of at least so many pages.
-TEXT_SUPPORT = 8
+#: What stands once in this share of a host's pages is part of its template: a page may be cut,
+#: or of another kind.
+SUPPORT = 0.75
+#: Texts of less pages than this show no template: two pages may just quote the same.
+TEXT_SUPPORT = 3
 #: Share of a host's pages that must have a tag for it to count as frequent.
 FREQUENT = 0.05
 #: Share of its pages in which a tag must nest and keep its place in its class.
@@ -411,8 +414,9 @@ def _page_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             strict=True,
         ):
             vector = page_vector(page.as_py().decode("utf-8", "replace"))
-            # The page itself, as a token that each page has once.
-            vector[0] = (1, "page", True)
+            if vector:
+                # The page itself, as a token that each page has once.
+                vector[0] = (1, "page", True)
             for key, (n, kind, nests) in vector.items():
                 hosts.append(host)
                 keys.append(key)
@@ -477,30 +481,30 @@ def host_templates(pages: DataFrame) -> DataFrame:
     """``host``, ``classes`` (valid tokens grouped by occurrence vector) and ``slots``.
 
     ``pages`` has ``row``, ``host`` and ``_html``. The hashes of (page, number), combined,
-    stand for the vector. Rare tags and texts that are not once in every page cannot be
+    stand for the vector. Rare tags and texts that are not once in nearly every page cannot be
     part of a template and are left out before they are gathered, as are tags that do not nest.
     """
     tokens = pages.mapInArrow(_page_tokens, VECTORS)
     vectors = stored(
         tokens.groupBy("host", "key", "kind").agg(
             F.count(F.lit(1)).alias("pages"),
-            F.max("n").alias("most"),
+            F.count_if(F.col("n") == 1).alias("single"),
             F.count_if("nests").alias("nested"),
             F.bit_xor("page_hash").alias("vector"),
-        ).filter((F.col("kind") != "t") | ((F.col("pages") >= TEXT_SUPPORT) & (F.col("most") == 1))),
+        ).filter((F.col("kind") != "t") | (F.col("single") >= TEXT_SUPPORT)),
         "token-vectors",
     )
     total = vectors.filter(F.col("kind") == "page").select("host", F.col("pages").alias("_all"))
     frequent = stored(
         vectors.join(total, "host")
         .filter(
-            F.when(F.col("kind") == "t", F.col("pages") == F.col("_all")).otherwise(
+            F.when(F.col("kind") == "t", F.col("single") >= F.lit(SUPPORT) * F.col("_all")).otherwise(
                 (F.col("pages") >= F.lit(FREQUENT) * F.col("_all"))
                 & (F.col("nested") >= F.lit(VALID) * F.col("pages"))
             )
             & (F.col("kind") != "page")
         )
-        .withColumn("once", (F.col("pages") == F.col("_all")) & (F.col("most") == 1)),
+        .withColumn("once", F.col("single") >= F.lit(SUPPORT) * F.col("_all")),
         "frequent-tokens",
     )
     candidates = stored(_classes(frequent), "host-classes")

@@ -105,3 +105,12 @@ def test_tags_out_of_order_or_nesting_leave_their_class(spark):
     assert ht.Token("o", "em", "d", "").key not in template.classes
     assert ht.Token("o", "i", "a", "").key not in template.skeleton
     assert ht.class_order("<b><i></i></b><b><i></i></b>", {}) == {}
+
+
+@pytest.mark.parametrize("n", [4, 12])
+def test_odd_pages_of_a_host_leave_its_template(spark, n):
+    odd = [(100, "https://a.example.com/n", None), (101, "https://a.example.com/e", "")]
+    odd += [(102, "https://a.example.com/c", PAGE.format(n=7)[:150])]
+    found = texts(spark, pages(n) + odd)
+    assert [found[i] for i in range(n)] == [TEXT.format(n=i) for i in range(n)]
+    assert found[100] == found[101] == ""
