@@ -39,12 +39,23 @@ BOILERPLATE_NAMES = {
     *("nav", "header", "footer", "aside", "form", "button", "select", "option", "textarea"),
     *("menu", "dialog", "object", "embed", "audio", "video"),
 }
+_MARK = (
+    r"(?:ads?|advert[^\W_]*|sponsor[^\W_]*|promo[^\W_]*|banner|cookies?|consent|gdpr|notices?|alert|"
+    r"newsletter|subscri[^\W_]*|nav[^\W_]*|menu|breadcrumbs?|sidebar|side|rail|related|recommend[^\W_]*|share|"
+    r"sharing|social|comments?|disqus|respond|responses?|replies|footer|header|masthead|popup|modal|login|"
+    r"signup|search[^\W_]*|pagination|pager|toolbar|widget)"
+)
+_BOX = (
+    r"(?:area|bar|blocks?|bottom|box|buttons?|container|form|global|icons?|info|inner|items?|law|left|"
+    r"links?|list|main|outer|page|panel|posts?|primary|right|row|secondary|sections?|site|slot|thread|"
+    r"top|unit|wrap|wrapper|zone|\d\w*)"
+)
+#: Whole class names: a mark, also with the name of a place or a box ("site-nav", "comment-list").
 BOILERPLATE_MARKS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|alert|"
-    r"newsletter|subscri\w*|nav\w*|menu|breadcrumbs?|sidebar|side|rail|related|recommend\w*|share|"
-    r"sharing|social|comments?|disqus|respon[sd]\w*|replies|footer|header|masthead|popup|modal|login|"
-    r"signup|search\w*|pagination|pager|toolbar|widget)(?:$|[\s_-])"
+    rf"(?<!\S)(?:{_BOX}[_-]+)*{_MARK}(?:[_-]+(?:{_MARK}|{_BOX}))*(?!\S)"
 )
+#: Elements that hold whole pages or articles, whatever their class says.
+UNMARKED = {"html", "body", "main", "article"}
 BLOCK_NAMES = {
     *("p", "div", "section", "article", "main", "body", "html", "table", "tr", "td", "th", "ul"),
     *("ol", "li", "dl", "dt", "dd", "pre", "blockquote", "figure", "figcaption", "hr", "address"),
@@ -110,7 +121,10 @@ class Token:
     @property
     def boilerplate(self) -> bool:
         return self.name in BOILERPLATE_NAMES or bool(
-            self.marks and BOILERPLATE_MARKS.search(self.marks) and not MAIN_MARKS.search(self.marks)
+            self.marks
+            and self.name not in UNMARKED
+            and BOILERPLATE_MARKS.search(self.marks)
+            and not MAIN_MARKS.search(self.marks)
         )
 
     @property
@@ -304,9 +318,15 @@ class _Element:
 
 
 def _walk(
-    tokens: list[Token], template: Template, mains: set[int] = frozenset()
+    tokens: list[Token],
+    template: Template,
+    mains: set[int] = frozenset(),
+    holders: set[int] = frozenset(),
 ) -> Iterator[tuple[Token, list[_Element]]]:
-    """Each token with the elements that are open after it."""
+    """Each token with the elements that are open after it.
+
+    ``holders`` are the elements around ``mains``: neither is boilerplate.
+    """
     stack: list[_Element] = []
     for i, token in enumerate(tokens):
         if token.kind == "o" and token.name not in VOID_NAMES:
@@ -315,16 +335,48 @@ def _walk(
                 _close(stack, token.name, within=True)
             key = token.key
             slot = stack[-1].slot if stack else ()
-            skip = token.boilerplate
+            skip = token.boilerplate and i not in holders
             if token.name in CONTAINERS and key in template.classes and slot[-1:] != (key,):
                 slot += (key,)
-                skip = skip or (slot in template.linked and i not in mains)
+                skip = skip or (slot in template.linked and i not in mains and i not in holders)
             stack.append(_Element(token, skip, i in mains, key in template.skeleton, slot))
         elif token.kind == "c":
             _close(stack, token.name)
         yield token, stack
 
 
+def _mains(tokens: list[Token], template: Template) -> tuple[set[int], set[int]]:
+    """Places of the page's named main elements, and of the elements around them.
+
+    All those of the skeleton, else all of the page. Elements in named boilerplate are no main
+    elements; those in an element with the class of boilerplate are only if there are no others.
+    """
+    clean, marked = [], []
+    around: dict[int, list[int]] = {}
+    stack: list[_Element] = []
+    at: list[int] = []
+    for i, token in enumerate(tokens):
+        if token.kind == "o" and token.name not in VOID_NAMES:
+            if token.name in ("p", "li"):
+                _close(stack, token.name, within=True)
+                del at[len(stack) :]
+            if token.main and not token.boilerplate:
+                around[i] = list(at)
+                if not any(e.skip for e in stack):
+                    clean.append(i)
+                elif not any(e.token.name in BOILERPLATE_NAMES for e in stack):
+                    marked.append(i)
+            skeleton = bool(template.skeleton) and token.key in template.skeleton
+            stack.append(_Element(token, token.boilerplate, False, skeleton))
+            at.append(i)
+        elif token.kind == "c":
+            _close(stack, token.name)
+            del at[len(stack) :]
+    found = clean or marked
+    found = [i for i in found if tokens[i].key in template.skeleton] or found
+    return set(found), {j for i in found for j in around[i]}
+
+
 def main_text(page: str, template: Template) -> str:
     """The text in the main slots of a page, its blocks joined by empty lines.
 
@@ -332,9 +384,7 @@ def main_text(page: str, template: Template) -> str:
     what there is: then the host's pages are copies of each other.
     """
     tokens = tokens_of(page)
-    opened = [i for i, t in enumerate(tokens) if t.kind == "o" and t.main and not t.boilerplate]
-    in_skeleton = [i for i in opened if tokens[i].key in template.skeleton]
-    mains = set(in_skeleton[:1] or opened)
+    mains, holders = _mains(tokens, template)
     # Without a named main element, the main slot of the template, if the page has it.
     slot = () if mains else template.main_slot
     if slot:
@@ -342,7 +392,7 @@ def main_text(page: str, template: Template) -> str:
         if not any(stack and stack[-1].slot == slot for _, stack in walked):
             slot = ()
     block, runs = 0, []  # (block, text, whether it belongs to the template)
-    for token, stack in _walk(tokens, template, mains):
+    for token, stack in _walk(tokens, template, mains, holders):
         if token.kind in "oc":
             block += token.name in BLOCK_NAMES
             if token.kind == "o" and token.name == "br":

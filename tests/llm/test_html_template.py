@@ -114,3 +114,25 @@ def test_odd_pages_of_a_host_leave_its_template(spark, n):
     found = texts(spark, pages(n) + odd)
     assert [found[i] for i in range(n)] == [TEXT.format(n=i) for i in range(n)]
     assert found[100] == found[101] == ""
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<html class='js responsive'><body class='single has-sidebar'><p>in</p></body></html>",
+        "<body class='header-fixed search'><article class='post comments-open'>in</article></body>",
+        "<div class='side-by-side'><p>in</p></div>",
+        "<div class='widget'><article>in</article></div>",
+        "<article>in</article><div class='related'><article>other</article></div>",
+        "<p>in</p><div class='site-nav'>no</div><div id='comment-list'>no</div><div class='x ad_2'>no</div>",
+        "<p>in</p><aside><article>other</article></aside>",
+    ],
+)
+def test_marks_of_outer_elements_are_no_boilerplate(page):
+    assert ht.main_text(page, ht.Template([])) == "in"
+
+
+def test_all_main_elements_of_the_skeleton(spark):
+    page = "<body><article id='intro'><p>one {0}</p></article><article id='story'><p>two {0}</p></article></body>"
+    rows = [(i, "https://two.example/", page.format(i)) for i in range(5)]
+    assert texts(spark, rows) == {i: f"one {i}\n\ntwo {i}" for i in range(5)}
