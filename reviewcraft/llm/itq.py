@@ -6,8 +6,12 @@ are cut into substrings; vectors with an equal substring meet in a bucket of a m
 table, where they are compared by the cosine of the original vectors in double precision.
 
 Length and number of the substrings follow from the number of vectors and the aim: buckets
-of about ``bucket_vectors`` vectors, and at the threshold a chance of at least ``recall``
-that two vectors share a substring. More bits than dimensions come from further rotations.
+of about ``bucket_vectors`` vectors, and at the threshold a share of at least ``recall`` of
+pairs with an equal substring. That share is measured on the learned codes, with sampled
+vectors and partners at the threshold: where vectors have a common direction, taking the mean
+away makes angles larger than the cosine says. How much of the mean is taken away, and how
+long substrings are, is chosen by the work that the aim then needs. More bits than dimensions
+come from further rotations. Labels that fit in one bucket are compared whole.
 """
 
 from __future__ import annotations
@@ -35,13 +39,18 @@ class ItqParams:
     sample_vectors: int = 20_000
     sample_values: int = 1 << 22
     rounds: int = 30
+    #: Pairs of each kind that the share of equal substrings is measured on, and tables to choose by.
+    measured_pairs: int = 2000
+    probe_tables: int = 8
     cell_vectors: int = 4096
     seed: int = 3
 
 
-def learn_rotation(sample: np.ndarray, bits: int, rounds: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """Mean and projection to ``bits`` components whose signs are the code."""
-    mean = sample.mean(axis=0)
+def learn_rotation(
+    sample: np.ndarray, bits: int, rounds: int, seed: int, centring: float = 1.0
+) -> tuple[np.ndarray, np.ndarray]:
+    """Mean (or a part of it) and projection to ``bits`` components whose signs are the code."""
+    mean = centring * sample.mean(axis=0)
     centred = sample - mean
     _, _, components_ = np.linalg.svd(centred.T @ centred)
     basis = components_[:bits].T
@@ -65,6 +74,8 @@ class ItqIndex:
 
     def substrings(self, units: np.ndarray) -> np.ndarray:
         """One key for each vector and table."""
+        if not self.substring_bits:
+            return np.zeros((len(units), self.tables), dtype=np.int64)
         bits = np.concatenate([(units - m) @ p > 0 for m, p in self.rotations], axis=1)
         weights = 1 << np.arange(self.substring_bits, dtype=np.int64)
         cut = bits[:, : self.tables * self.substring_bits].reshape(
@@ -74,33 +85,120 @@ class ItqIndex:
 
 
 def table_shape(vectors: int, params: ItqParams) -> tuple[int, int]:
-    """Bits of a substring and number of tables."""
+    """Bits of a substring and number of tables, for codes that keep the angles of vectors."""
     bits = max(params.least_bits, math.ceil(math.log2(max(1.0, vectors / params.bucket_vectors))))
     same = (1 - math.acos(params.threshold) / math.pi) ** bits
     return bits, max(1, math.ceil(math.log(1 - params.recall) / math.log(1 - same)))
 
 
+def threshold_pairs(sample: np.ndarray, params: ItqParams) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Sampled vectors with partners at the threshold cosine, in two kinds.
+
+    Partners lie in any direction, or in that of the difference of two sampled vectors.
+    """
+    rng = np.random.default_rng(params.seed)
+    n, dims = sample.shape
+    units = sample[rng.integers(0, n, params.measured_pairs)]
+    out = []
+    for away in (
+        rng.standard_normal((len(units), dims)),
+        sample[rng.integers(0, n, len(units))] - sample[rng.integers(0, n, len(units))],
+    ):
+        away = away - (away * units).sum(axis=1, keepdims=True) * units
+        norms = np.linalg.norm(away, axis=1, keepdims=True)
+        away = np.divide(away, norms, out=np.zeros_like(away), where=norms > 1e-9)
+        near = params.threshold * units + math.sqrt(1 - params.threshold**2) * away
+        out.append((units, near / np.linalg.norm(near, axis=1, keepdims=True)))
+    return out
+
+
+def _rotations(
+    sample: np.ndarray, params: ItqParams, centring: float
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    dims = sample.shape[1]
+    number = 0
+    while True:
+        part = sample
+        if number:
+            # A further rotation needs another start, not other vectors.
+            flip = np.random.default_rng(params.seed + number).permutation(dims)
+            part = sample[:, flip]
+        mean, projection = learn_rotation(part, dims, params.rounds, params.seed + number, centring)
+        if number:
+            back = np.argsort(flip)
+            mean, projection = mean[back], projection[back]
+        yield mean, projection
+        number += 1
+
+
+def _equal_bits(rotation: tuple[np.ndarray, np.ndarray], pair: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    mean, projection = rotation
+    return ((pair[0] - mean) @ projection > 0) == ((pair[1] - mean) @ projection > 0)
+
+
+def _least_work(
+    sample: np.ndarray, pairs: list[tuple[np.ndarray, np.ndarray]], n: int, params: ItqParams
+) -> tuple[float, int]:
+    """Part of the mean to take away and bits of a substring, by the comparisons they need."""
+    most, _ = table_shape(n, params)
+    rng = np.random.default_rng(params.seed + 1)
+    size = 10 * params.measured_pairs
+    strangers = (sample[rng.integers(0, len(sample), size)], sample[rng.integers(0, len(sample), size)])
+    best: tuple[float, float, int] | None = None
+    for centring in (1.0, 0.5, 0.0):
+        learned = []
+        for rotation in _rotations(sample, params, centring):
+            learned.append(rotation)
+            if len(learned) * sample.shape[1] >= most * params.probe_tables:
+                break
+        equal = [
+            np.concatenate([_equal_bits(r, p) for r in learned], axis=1) for p in (*pairs, strangers)
+        ]
+        for bits in sorted({max(params.least_bits, most - k) for k in (0, 3, 6)}, reverse=True):
+            tables = equal[0].shape[1] // bits
+            *same, meet = (
+                float(e[:, : tables * bits].reshape(-1, tables, bits).all(axis=2).mean()) for e in equal
+            )
+            chance = min(max(min(same), 1e-6), 1 - 1e-6)
+            needed = max(1.0, math.log(1 - params.recall) / math.log(1 - chance))
+            work = needed * (params.bucket_vectors + n * meet)
+            if best is None or work < best[0]:
+                best = (work, centring, bits)
+    return best[1], best[2]
+
+
+def learn_index(sample: np.ndarray, n: int, params: ItqParams) -> ItqIndex:
+    """As many tables as the aim needs, measured on pairs at the threshold."""
+    if n <= params.bucket_vectors:
+        return ItqIndex([], 0, 1)
+    pairs = threshold_pairs(sample, params)
+    centring, bits = _least_work(sample, pairs, n, params)
+    rotations: list[tuple[np.ndarray, np.ndarray]] = []
+    rest = [np.zeros((len(p[0]), 0), dtype=bool) for p in pairs]
+    met = [np.zeros(len(p[0]), dtype=bool) for p in pairs]
+    tables = 0
+    for rotation in _rotations(sample, params, centring):
+        rotations.append(rotation)
+        rest = [
+            np.concatenate([r, _equal_bits(rotation, p)], axis=1) for r, p in zip(rest, pairs, strict=True)
+        ]
+        while rest[0].shape[1] >= bits:
+            met = [m | r[:, :bits].all(axis=1) for m, r in zip(met, rest, strict=True)]
+            rest = [r[:, bits:] for r in rest]
+            tables += 1
+            if all(m.mean() >= params.recall for m in met):
+                return ItqIndex(rotations, bits, tables)
+    raise AssertionError("rotations do not end")
+
+
 def build_index(vectors: DataFrame, n: int, dims: int, params: ItqParams) -> ItqIndex:
     """Learn from the vectors with the smallest hashes, as many as the bounds allow."""
-    bits, tables = table_shape(n, params)
     size = max(1, min(params.sample_vectors, params.sample_values // dims))
     share = min(1.0, 1.2 * size / max(n, 1))
     near = vectors.filter(F.pmod(F.xxhash64("node"), F.lit(1 << 20)) < share * (1 << 20))
     rows = near.orderBy(F.xxhash64("node"), "node").limit(size).collect()
     sample = np.array([r["unit"] for r in rows], dtype=np.float64).reshape(-1, dims)
-    rotations = []
-    while sum(p.shape[1] for _, p in rotations) < bits * tables:
-        part = sample
-        if rotations:
-            # A further rotation needs another start, not other vectors.
-            flip = np.random.default_rng(params.seed + len(rotations)).permutation(dims)
-            part = sample[:, flip]
-        mean, projection = learn_rotation(part, dims, params.rounds, params.seed + len(rotations))
-        if rotations:
-            back = np.argsort(flip)
-            mean, projection = mean[back], projection[back]
-        rotations.append((mean, projection))
-    return ItqIndex(rotations, bits, tables)
+    return learn_index(sample, n, params)
 
 
 _BUCKET = ["label", "dims", "tab", "key", "cell_a", "cell_b"]

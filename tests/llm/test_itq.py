@@ -88,3 +88,34 @@ def test_empty_and_clashing_columns(spark):
     assert itq.vector_links(spark.createDataFrame([], SCHEMA)).count() == 0
     clash = spark.createDataFrame([(1, [1.0], 1, 5)], f"{SCHEMA}, node int")
     assert [tuple(r) for r in itq.vector_links(clash).collect()] == [(1, 0, 1, True)]
+
+
+def common_mean(length, n, dims=64, cosine=0.93, seed=5):
+    """Unit vectors around a common mean of that length, each with a partner at the cosine."""
+    rng = np.random.default_rng(seed)
+    mean = np.eye(dims)[0] * length
+    units = mean + np.sqrt(1 - length**2) * rng.standard_normal((n, dims)) / np.sqrt(dims)
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    away = rng.standard_normal((n, dims))
+    away -= (away * units).sum(axis=1, keepdims=True) * units
+    away /= np.linalg.norm(away, axis=1, keepdims=True)
+    return units, cosine * units + np.sqrt(1 - cosine**2) * away
+
+
+@pytest.mark.parametrize("length", [0.0, 0.71, 0.84])
+@pytest.mark.parametrize("vectors", [200, 100_000])
+def test_recall_with_a_common_mean(length, vectors):
+    units, near = common_mean(length, 3000)
+    index = itq.learn_index(np.concatenate([units, near]), vectors, itq.ItqParams())
+    met = (index.substrings(units) == index.substrings(near)).any(axis=1)
+    print("recall", length, vectors, index.substring_bits, index.tables, met.mean())
+    assert met.mean() >= 0.95
+
+
+def test_links_with_a_common_mean(spark):
+    units, near = common_mean(0.84, 150, cosine=0.9301)
+    table = [(i, v.tolist(), 1) for i, v in enumerate(np.concatenate([units, near]))]
+    found = itq.vector_links(spark.createDataFrame(table, SCHEMA)).collect()
+    got, expected = sum(r["n_links"] for r in found), sum(n for _, n, _ in plain(table))
+    print("links", got, expected)
+    assert 0.93 * expected <= got <= expected
