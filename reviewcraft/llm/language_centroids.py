@@ -5,7 +5,7 @@ one space, n-grams of one to three characters are hashed into ``slots`` numbers,
 are damped by a logarithm, weighted by inverse document frequency and scaled to length
 one. Each language has several centroids, found by clustering its own texts. A text gets
 the language of the centroid with the greatest cosine, which is also its score. Texts
-farther than the model's radius from every centroid are rejected.
+farther from every centroid than the radius of its language are rejected.
 
 Document frequencies come from all training texts. Clustering uses at most ``texts_per_language``
 training texts of each language, those with the smallest hash of their id.
@@ -35,8 +35,10 @@ class CentroidParams:
     texts_per_language: int = 1000
     centroids: int = 4
     rounds: int = 8
-    #: Radius: this share of the smallest cosine that the sample has to its own language.
+    #: Radius of a language: this share of a low quantile of the cosines that its sampled texts
+    #: have to it. Below the quantile lie texts that are mislabelled or junk.
     slack: float = 0.5
+    low_quantile: float = 0.02
     #: Texts with fewer letters have too few n-grams for a distance; they are never rejected.
     letters_for_rejection: int = 20
     seed: int = 11
@@ -85,7 +87,8 @@ class CentroidModel:
     owner: np.ndarray
     centroids: np.ndarray
     idf: np.ndarray
-    radius: float
+    #: One for each language.
+    radius: np.ndarray
     params: CentroidParams
 
     def predict(self, text: bytes | None) -> tuple[str, float, bool]:
@@ -96,7 +99,9 @@ class CentroidModel:
         cosines = self.centroids[:, used] @ values
         best = int(np.argmax(cosines))
         score = float(min(1.0, max(0.0, cosines[best])))
-        far = score < self.radius and n_letters >= self.params.letters_for_rejection
+        far = n_letters >= self.params.letters_for_rejection and bool(
+            (cosines < self.radius[self.owner]).all()
+        )
         return self.languages[self.owner[best]], score, far
 
 
@@ -172,47 +177,52 @@ def train_centroids(
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs, used, values = [], [], []
+            langs, used, values, letters = [], [], [], []
             for lang, text in zip(batch.column("lang"), batch.column("_text"), strict=True):
                 u, v, n_letters = _vector(text.as_py(), idf)
                 if n_letters:
                     langs.append(lang.as_py())
                     used.append(u.astype(np.int32))
                     values.append(v.astype(np.float32))
+                    letters.append(n_letters)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(langs, pa.string()),
                     pa.array(used, pa.list_(pa.int32())),
                     pa.array(values, pa.list_(pa.float32())),
+                    pa.array(letters, pa.int64()),
                 ],
-                names=["lang", "used", "values"],
+                names=["lang", "used", "values", "letters"],
             )
 
     def cluster(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         dense = np.zeros((len(frame), params.slots), dtype=np.float32)
         for i, (used, values) in enumerate(zip(frame["used"], frame["values"], strict=True)):
             dense[i, used] = values
-        dense = dense[np.lexsort(dense[:, :64].T)]
+        order = np.lexsort(dense[:, :64].T)
+        dense = dense[order]
         centroids = _cluster(dense, params.centroids, params.rounds, params.seed)
         nearest = (dense @ centroids.T).max(axis=1)
-        return pd.DataFrame(
-            {"lang": key[0], "centroid": list(centroids), "least": float(nearest.min())}
-        )
+        # Texts that are never rejected set no radius, unless the language has no others.
+        long = frame["letters"].to_numpy()[order] >= params.letters_for_rejection
+        low = np.quantile(nearest[long] if long.any() else nearest, params.low_quantile, method="higher")
+        return pd.DataFrame({"lang": key[0], "centroid": list(centroids), "low": float(low)})
 
     learned = (
-        sample.mapInArrow(vectors, "lang string, used array<int>, values array<float>")
+        sample.mapInArrow(vectors, "lang string, used array<int>, values array<float>, letters long")
         .groupBy("lang")
-        .applyInPandas(cluster, "lang string, centroid array<float>, least double")
+        .applyInPandas(cluster, "lang string, centroid array<float>, low double")
         .orderBy("lang")
         .collect()
     )
-    languages = sorted({r["lang"] for r in learned})
+    low = {r["lang"]: r["low"] for r in learned}
+    languages = sorted(low)
     return CentroidModel(
         languages,
         np.array([languages.index(r["lang"]) for r in learned], dtype=np.int64),
         np.array([r["centroid"] for r in learned], dtype=np.float64).reshape(-1, params.slots),
         idf,
-        params.slack * min((r["least"] for r in learned), default=1.0),
+        np.array([params.slack * low[name] for name in languages], dtype=np.float64),
         params,
     )
 

@@ -78,3 +78,13 @@ def test_grams_against_plain_counts(text):
     grams = [plain[i : i + k] for k in (1, 2, 3) for i in range(len(plain) - k + 1)]
     assert counts.sum() == len(grams)
     assert len(used) <= len(set(grams))
+
+
+def test_single_labelled_texts_do_not_loosen_the_rejection(spark):
+    one = lc.CentroidParams(slots=1 << 10, texts_per_language=200, centroids=1)
+    junk = [(900, "漢字" * 30, "aa", "s", 1), (901, "ж", "bb", "s", 1)]
+    clean = lc.train_centroids(spark.createDataFrame(two_languages(), DOCS), one)
+    model = lc.train_centroids(spark.createDataFrame(two_languages() + junk, DOCS), one)
+    assert (model.radius > 0.8 * clean.radius).all() and (model.radius > 0.2).all()
+    assert model.predict(("дом" * 30).encode())[2]
+    assert not model.predict(b"kzyx wqvu zzor yxwk kzyx wqvu")[2]
