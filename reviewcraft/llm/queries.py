@@ -11,6 +11,7 @@ from reviewcraft.llm import (
     itq,
     language_centroids,
     license_index,
+    new_queries,
     orc_tokens,
     packing,
     sharding,
@@ -119,7 +120,7 @@ QUERIES = {
     "op8_extendible_shards": op8_extendible_shards,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_pack": op10_pack,
-}
+} | new_queries.QUERIES
 
 ORACLES = {
     "op8_extendible_shards": f"""
@@ -155,4 +156,4 @@ SELECT doc_id,
        CASE WHEN over THEN least(per_page, k.docs - (no // per_page) * per_page) * b
             ELSE k.bytes END <= {sharding.SHARD_BYTES} AS fits
 FROM paged""",
-}
+} | new_queries.ORACLES
