@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewcraft.llm import prefix_trie
+from reviewcraft.llm import collocations, prefix_trie
 
 
 def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,7 +16,12 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("words")
 
 
-QUERIES = {"op11_prefix_trie": op11_prefix_trie}
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return collocations.collocations(docs).drop("words")
+
+
+QUERIES = {"op11_prefix_trie": op11_prefix_trie, "op12_collocations": op12_collocations}
 
 ORACLES = {
     "op11_prefix_trie": r"""
@@ -60,4 +65,40 @@ SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children,
        s.saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
 FROM counted n JOIN subtrees s USING (depth, prefix)
 LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.prefix = n.prefix[1:n.depth - 1]""",
+    "op12_collocations": r"""
+WITH texts AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents),
+pieces AS (
+  SELECT lang, regexp_extract_all(piece, '[^ \t]+') AS w
+  FROM (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM texts)),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang),
+starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM pieces),
+counts AS (
+  SELECT lang, w[i:i + k - 1] AS p, count(*) AS f
+  FROM (SELECT lang, w, i, unnest(range(1, least(5, len(w) - i + 1) + 1)) AS k FROM starts)
+  GROUP BY ALL HAVING count(*) >= 100),
+candidates AS (SELECT * FROM counts WHERE len(p) > 1),
+covered AS (
+  SELECT DISTINCT lang, q[i:i + k - 1] AS p, f
+  FROM (SELECT lang, q, f, i, unnest(range(2, least(len(q) - 1, len(q) - i + 1) + 1)) AS k
+        FROM (SELECT lang, p AS q, f, unnest(range(1, len(p) + 1)) AS i FROM candidates))),
+cuts AS (
+  SELECT c.lang, c.p, c.f AS a, k, l.f AS l, r.f AS r, t.n,
+         ((1000::HUGEINT * c.f * t.n) // (l.f::HUGEINT * r.f))::BIGINT AS score
+  FROM (SELECT *, unnest(range(1, len(p))) AS k FROM candidates) c
+  JOIN totals t ON t.lang = c.lang
+  JOIN counts l ON l.lang = c.lang AND l.p = c.p[1:k]
+  JOIN counts r ON r.lang = c.lang AND r.p = c.p[k + 1:]),
+weakest AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+ranked AS (
+  SELECT w.lang, array_to_string(w.p, ' ') AS phrase, w.a, w.l, w.r, w.n, w.score
+  FROM weakest w ANTI JOIN covered v ON v.lang = w.lang AND v.p = w.p AND v.f >= w.a)
+SELECT lang, row_number() OVER (
+         PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank,
+       phrase, a, l, r, n, score
+FROM ranked
+QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) <= 2000""",
 }
