@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewcraft.llm import collocations, prefix_trie
+from reviewcraft.llm import collocations, imatch, prefix_trie
 
 
 def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,7 +21,16 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(docs).drop("words")
 
 
-QUERIES = {"op11_prefix_trie": op11_prefix_trie, "op12_collocations": op12_collocations}
+def op13_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return imatch.compare_with_edits(docs, imatch.learn_lexicon(docs))
+
+
+QUERIES = {
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_collocations": op12_collocations,
+    "op13_imatch": op13_imatch,
+}
 
 ORACLES = {
     "op11_prefix_trie": r"""
