@@ -22,6 +22,11 @@ from reviewcraft.llm.queries import tokenizer_path
 from reviewcraft.session import shared_folder
 
 
+#: Passages of more than 50 words must not repeat. Words have 6.1 bytes with their space in
+#: ``documents``; a window of 240 bytes also lies in passages of short words.
+PASSAGE = suffix_dedup.Windows(240)
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents of a known language. The model learns from the labelled ones."""
     model = language_centroids.train_centroids(language_centroids.training_rows(docs))
@@ -34,7 +39,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return suffix_dedup.without_repeats(docs)
+    return suffix_dedup.without_repeats(docs, PASSAGE)
 
 
 def decontaminate_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

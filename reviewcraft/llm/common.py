@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,6 +27,25 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def set_aside(docs: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` without names that start with an underscore, and what gives them back.
+
+    The operators' own columns have such names: an input column of that kind is renamed
+    while they work on it.
+    """
+    taken = {c.lower() for c in docs.columns}
+    renamed: dict[str, str] = {}
+    for name in docs.columns:
+        if name.startswith("_"):
+            other = f"input{name}"
+            while other.lower() in taken:
+                other += "_"
+            taken.add(other.lower())
+            renamed[name] = other
+    back = {other: name for name, other in renamed.items()}
+    return docs.withColumnsRenamed(renamed), lambda df: df.withColumnsRenamed(back)
+
+
 def utf8(column: str = "text") -> Column:
     """The bytes of a text; null counts as empty."""
     return F.coalesce(F.col(column).cast("binary"), F.lit(b""))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewcraft.llm.common import bounded_batches, utf8
+from reviewcraft.llm.common import bounded_batches, set_aside, utf8
 from reviewcraft.llm.license_index import words_of
 
 #: Items go to the tasks in blocks of at most so many bytes of text.
@@ -278,8 +278,9 @@ def without_leaks(
     docs: DataFrame, benchmark: DataFrame, params: DecontaminationParams | None = None
 ) -> DataFrame:
     """``docs`` without the rows that contain an item; ``docs`` must be read from a table."""
+    docs, given_back = set_aside(docs)
     leaking = find_leaks(docs, benchmark, params).select("_row").distinct()
-    return (
+    return given_back(
         docs.withColumn("_row", F.monotonically_increasing_id())
         .join(leaking, "_row", "left_anti")
         .drop("_row")

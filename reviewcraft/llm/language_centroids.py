@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewcraft.llm.common import bounded_batches, utf8
+from reviewcraft.llm.common import bounded_batches, set_aside, utf8
 
 UNDETERMINED = "und"
 
@@ -236,7 +236,8 @@ def predict_languages(docs: DataFrame, model: CentroidModel) -> DataFrame:
     bounded_batches(spark)
     shared = spark.sparkContext.broadcast(model)
     new = ["lang_pred", "score", "rejected"]
-    kept = [f for f in docs.drop(*new).schema.fields]
+    docs, given_back = set_aside(docs.drop(*new))
+    kept = [f for f in docs.schema.fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
@@ -253,13 +254,11 @@ def predict_languages(docs: DataFrame, model: CentroidModel) -> DataFrame:
                 names=[*(f.name for f in kept), *new],
             )
 
-    schema = docs.drop(*new).schema
+    schema = docs.schema
     for name, kind in zip(new, ("string", "double", "boolean"), strict=True):
         schema = schema.add(name, kind)
-    return (
-        docs.drop(*new)
-        .withColumn("_utf8_text", F.col("text").cast("binary"))
-        .mapInArrow(run, schema)
+    return given_back(
+        docs.withColumn("_utf8_text", F.col("text").cast("binary")).mapInArrow(run, schema)
     )
 
 

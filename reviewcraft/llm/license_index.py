@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewcraft.llm.common import bounded_batches, utf8
+from reviewcraft.llm.common import bounded_batches, set_aside, utf8
 
 # The base phrases with their labels.
 BASE_PHRASES = {
@@ -218,7 +218,7 @@ def scan_licenses(files: DataFrame, params: LicenseParams | None = None) -> Data
     params = params or LicenseParams()
     index = RareTokenIndex(inverse_document_frequencies(files), params)
     new = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "matches"]
-    kept = files.drop(*new)
+    kept, given_back = set_aside(files.drop(*new))
     schema = kept.schema
     n_kept = len(schema)
     shared = files.sparkSession.sparkContext.broadcast(index)
@@ -265,4 +265,4 @@ def scan_licenses(files: DataFrame, params: LicenseParams | None = None) -> Data
 
     extended = kept.withColumn("_utf8_text", utf8())
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    return extended.mapInArrow(run, f"{columns}, {SCANNED}")
+    return given_back(extended.mapInArrow(run, f"{columns}, {SCANNED}"))

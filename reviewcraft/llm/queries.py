@@ -93,6 +93,7 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_removed",
         F.size("removed_spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
+        F.make_valid_utf8(F.col("kept").cast("string")).alias("text"),
     )
 
 

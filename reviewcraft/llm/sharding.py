@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewcraft.llm.common import stored
+from reviewcraft.llm.common import set_aside, stored
 
 HASH_BITS = 60
 ROUND_BITS = 15
@@ -142,8 +142,9 @@ def shard_documents(docs: DataFrame, limit: int = SHARD_BYTES) -> DataFrame:
     of the same names as the new ones are replaced.
     """
     new = ["shard", "shard_depth", "shard_page", "shard_bytes", "fits"]
+    docs, given_back = set_aside(docs.drop(*new))
     rounds = build_directory(docs, limit)
-    rows = _looked_up(_measured(docs.drop(*new)), rounds)
+    rows = _looked_up(_measured(docs), rounds)
     over = rows.filter(F.col("_overflow_hash").isNotNull())
     if all(cells.filter(F.col("overflow_hash").isNotNull()).isEmpty() for cells in rounds):
         over = over.limit(0)
@@ -180,14 +181,15 @@ def shard_documents(docs: DataFrame, limit: int = SHARD_BYTES) -> DataFrame:
         F.col("_overflow_hash").isNotNull(),
         F.concat(F.lit("-p"), F.col("shard_page").cast("string")),
     ).otherwise(F.lit(""))
-    return both.select(
-        *(F.col(f"`{c}`") for c in docs.columns if c not in new),
+    sharded = both.select(
+        *(F.col(f"`{c}`") for c in docs.columns),
         F.concat(F.lit("s"), bits, suffix).alias("shard"),
         F.col("_bucket_depth").alias("shard_depth"),
         "shard_page",
         "shard_bytes",
         (F.col("shard_bytes") <= limit).alias("fits"),
     )
+    return given_back(sharded)
 
 
 def write_shards(docs: DataFrame, path: str, limit: int = SHARD_BYTES) -> None:

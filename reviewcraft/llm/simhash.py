@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewcraft.llm.common import bounded_batches, hot_key_cells, stored, utf8
+from reviewcraft.llm.common import bounded_batches, hot_key_cells, set_aside, stored, utf8
 from reviewcraft.llm.components import components
 
 SHINGLE_WORDS = 4
@@ -223,12 +223,13 @@ def one_of_each_group(docs: DataFrame) -> DataFrame:
     Null ids come last, equal ids in the order of the stored rows. ``docs`` must be read
     from a table, so that its rows have the same numbers each time.
     """
+    docs, given_back = set_aside(docs)
     grouped = fingerprint_groups(stored(fingerprints(docs), "fingerprints"))
     first = grouped.groupBy("root").agg(
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first")
     )
     kept = first.select(F.col("first.row").alias("_row"))
-    return (
+    return given_back(
         docs.withColumn("_row", F.monotonically_increasing_id())
         .join(kept, "_row", "left_semi")
         .drop("_row")

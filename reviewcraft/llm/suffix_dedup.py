@@ -1,15 +1,16 @@
 """Removal of repeated byte strings with suffix arrays (operator 9).
 
-Every byte that is covered by a string of ``LENGTH`` bytes which also starts anywhere else
-is removed. A string of that length is called a window here. The work is dealt like this:
+Every byte that is covered by a string of a given length (400 bytes if not told otherwise)
+which also starts anywhere else is removed. A string of that length is called a window here.
+The work is dealt like this:
 
-1. Each window has an *anchor*: the position, among its first ``SPREAD`` ones, whose 16
+1. Each window has an *anchor*: the position, among its first ``spread`` ones, whose 16
    bytes have the smallest hash. Equal windows have their anchors at the same distance from
    their starts. The windows of one anchor share a *core* of bytes after it. Anchors whose
    core occurs once are dropped; those with equal bytes over all their windows repeat as a
    whole; the others go on.
-2. These are cut by distance into blocks of ``BLOCK`` windows, which share a longer core and
-   differ only in fewer than ``BLOCK`` bytes on either side. Again unique cores drop out and
+2. These are cut by distance into blocks of ``block`` windows, which share a longer core and
+   differ only in fewer than ``block`` bytes on either side. Again unique cores drop out and
    equal ones are done.
 3. What is left has an equal core and different sides. The right sides and the reversed
    left sides of a task are put in order by suffix arrays (see ``gsaca``). Common prefixes
@@ -22,6 +23,7 @@ Equality that is not compared byte by byte rests on 128 bits of hashes.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -30,13 +32,34 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reviewcraft.llm.common import bounded_batches, hot_key_cells, stored, utf8
+from reviewcraft.llm.common import bounded_batches, hot_key_cells, set_aside, stored, utf8
 from reviewcraft.llm.gsaca import suffix_array
 
 LENGTH = 400
-SPREAD = 240
 GRAM = 16
-BLOCK = 30
+
+
+@dataclass(frozen=True)
+class Windows:
+    """Length of the strings that must not repeat, and how they are searched."""
+
+    length: int = LENGTH
+
+    def __post_init__(self):
+        if self.length < 4 * GRAM:
+            raise ValueError(f"windows need {4 * GRAM} bytes at least")
+
+    @property
+    def spread(self) -> int:
+        return self.length * 3 // 5
+
+    @property
+    def block(self) -> int:
+        return self.length * 3 // 40
+
+
+DEFAULT = Windows()
+SPREAD, BLOCK = DEFAULT.spread, DEFAULT.block
 CELL_MEMBERS = 2048
 #: Symbols of one suffix array; whole buckets are added until it is reached.
 ARRAY_SYMBOLS = 1 << 17
@@ -57,9 +80,9 @@ def _gram_hashes(data: np.ndarray) -> np.ndarray:
     return mixed
 
 
-def anchors(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def anchors(text: bytes, windows: Windows = DEFAULT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Anchor positions with the first and last start of the windows of each."""
-    n_windows = len(text) - LENGTH + 1
+    n_windows, spread = len(text) - windows.length + 1, windows.spread
     if n_windows <= 0:
         none = np.empty(0, dtype=np.int64)
         return none, none, none
@@ -67,16 +90,16 @@ def anchors(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     parts = []
     for begin in range(0, n_windows, _CHUNK):
         starts = min(_CHUNK, n_windows - begin)
-        grams = starts + SPREAD - 1
+        grams = starts + spread - 1
         hashes = _gram_hashes(data[begin : begin + grams + GRAM - 1])
         # Ties go to the rightmost position, so equal windows choose alike.
         mask = np.uint64((1 << 21) - 1)
         keys = (hashes & ~mask) | (mask - np.arange(grams, dtype=np.uint64))
-        pad = -grams % SPREAD
-        rows = np.concatenate((keys, np.full(pad, ~np.uint64(0)))).reshape(-1, SPREAD)
+        pad = -grams % spread
+        rows = np.concatenate((keys, np.full(pad, ~np.uint64(0)))).reshape(-1, spread)
         ahead = np.minimum.accumulate(rows, axis=1).ravel()
         behind = np.minimum.accumulate(rows[:, ::-1], axis=1)[:, ::-1].ravel()
-        least = np.minimum(behind[:starts], ahead[SPREAD - 1 : SPREAD - 1 + starts])
+        least = np.minimum(behind[:starts], ahead[spread - 1 : spread - 1 + starts])
         parts.append((mask - (least & mask)).astype(np.int64) + begin)
     chosen = np.concatenate(parts)
     first = np.flatnonzero(np.concatenate(([True], chosen[1:] != chosen[:-1])))
@@ -88,72 +111,82 @@ ANCHORS = "row long, key long, at long, first long, last long, whole long"
 BLOCKS = "row long, key binary, at long, block int, lo int, hi int, left binary, right binary"
 
 
-def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["row", "key", "at", "first", "last", "whole"]
-    digest = xxhash.xxh3_64_intdigest
-    core = LENGTH - SPREAD + 1
-    for batch in batches:
-        for row, text in zip(batch.column("row").to_pylist(), batch.column("_text"), strict=True):
-            data = text.as_py()
-            at, first, last = anchors(data)
-            if not len(at):
-                continue
-            keys, wholes = [], []
-            for p, a, b in zip(at.tolist(), first.tolist(), last.tolist(), strict=True):
-                keys.append(digest(data[p : p + core]))
-                wholes.append(digest(data[a : b + LENGTH], p - a))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.full(len(at), row), pa.int64()),
-                    pa.array(np.array(keys, dtype=np.uint64).view(np.int64)),
-                    pa.array(at),
-                    pa.array(first),
-                    pa.array(last),
-                    pa.array(np.array(wholes, dtype=np.uint64).view(np.int64)),
-                ],
-                names=names,
-            )
+def _anchor_rows(windows: Windows):
+    length, spread = windows.length, windows.spread
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["row", "key", "at", "first", "last", "whole"]
+        digest = xxhash.xxh3_64_intdigest
+        core = length - spread + 1
+        for batch in batches:
+            for row, text in zip(batch.column("row").to_pylist(), batch.column("_text"), strict=True):
+                data = text.as_py()
+                at, first, last = anchors(data, windows)
+                if not len(at):
+                    continue
+                keys, wholes = [], []
+                for p, a, b in zip(at.tolist(), first.tolist(), last.tolist(), strict=True):
+                    keys.append(digest(data[p : p + core]))
+                    wholes.append(digest(data[a : b + length], p - a))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.full(len(at), row), pa.int64()),
+                        pa.array(np.array(keys, dtype=np.uint64).view(np.int64)),
+                        pa.array(at),
+                        pa.array(first),
+                        pa.array(last),
+                        pa.array(np.array(wholes, dtype=np.uint64).view(np.int64)),
+                    ],
+                    names=names,
+                )
 
+    return run
 
-def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["row", "key", "at", "block", "lo", "hi", "left", "right"]
-    digest = xxhash.xxh3_128_digest
-    for batch in batches:
-        for row, text, found in zip(
-            batch.column("row").to_pylist(),
-            batch.column("_text"),
-            batch.column("anchors").to_pylist(),
-            strict=True,
-        ):
-            data, rows = text.as_py(), []
-            for anchor in found:
-                p = anchor["at"]
-                least, most = p - anchor["last"], p - anchor["first"]
-                for block in range(least // BLOCK, most // BLOCK + 1):
-                    near = BLOCK * block
-                    lo, hi = max(least - near, 0), min(most - near, BLOCK - 1)
-                    a, b = p - near, p - near + LENGTH - BLOCK + 1
-                    rows.append(
-                        (
-                            row,
-                            digest(data[a:b], near),
-                            p,
-                            block,
-                            lo,
-                            hi,
-                            data[a - hi : a],
-                            data[b : a - lo + LENGTH],
+
+def _block_rows(windows: Windows):
+    length, block_size = windows.length, windows.block
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["row", "key", "at", "block", "lo", "hi", "left", "right"]
+        digest = xxhash.xxh3_128_digest
+        for batch in batches:
+            for row, text, found in zip(
+                batch.column("row").to_pylist(),
+                batch.column("_text"),
+                batch.column("anchors").to_pylist(),
+                strict=True,
+            ):
+                data, rows = text.as_py(), []
+                for anchor in found:
+                    p = anchor["at"]
+                    least, most = p - anchor["last"], p - anchor["first"]
+                    for block in range(least // block_size, most // block_size + 1):
+                        near = block_size * block
+                        lo, hi = max(least - near, 0), min(most - near, block_size - 1)
+                        a, b = p - near, p - near + length - block_size + 1
+                        rows.append(
+                            (
+                                row,
+                                digest(data[a:b], near),
+                                p,
+                                block,
+                                lo,
+                                hi,
+                                data[a - hi : a],
+                                data[b : a - lo + length],
+                            )
                         )
-                    )
-            kinds = (
-                *(pa.int64(), pa.binary(), pa.int64()),
-                *(pa.int32(), pa.int32(), pa.int32()),
-                *(pa.binary(), pa.binary()),
-            )
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
-                names=names,
-            )
+                kinds = (
+                    *(pa.int64(), pa.binary(), pa.int64()),
+                    *(pa.int32(), pa.int32(), pa.int32()),
+                    *(pa.binary(), pa.binary()),
+                )
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
+                    names=names,
+                )
+
+    return run
 
 
 # --- one bucket: members with an equal core -------------------------------------------------
@@ -194,17 +227,22 @@ def _shared(position: int, common: np.ndarray) -> np.ndarray:
 
 
 def repeated_ranges(
-    lefts: list[bytes], rights: list[bytes], buckets: np.ndarray, side: np.ndarray, split: np.ndarray
+    lefts: list[bytes],
+    rights: list[bytes],
+    buckets: np.ndarray,
+    side: np.ndarray,
+    split: np.ndarray,
+    block: int = BLOCK,
 ) -> tuple[np.ndarray, np.ndarray]:
     """Smallest and largest offset at which each member's window repeats in its bucket (-1: none).
 
-    A member's window at offset x has x bytes left of the core and ``BLOCK`` - 1 - x right
+    A member's window at offset x has x bytes left of the core and ``block`` - 1 - x right
     of it. With a member that shares l bytes on the left and r on the right, the windows
-    at ``BLOCK`` - 1 - r to l are equal. Where ``split`` is set, only members of different
+    at ``block`` - 1 - r to l are equal. Where ``split`` is set, only members of different
     sides are compared.
     """
     n = len(lefts)
-    low, high = np.full(n, BLOCK), np.full(n, -1)
+    low, high = np.full(n, block), np.full(n, -1)
     order_r, common_r = _order_and_common(rights, buckets)
     order_l, common_l = _order_and_common([x[::-1] for x in lefts], buckets)
     ordered = buckets[order_r]
@@ -221,82 +259,87 @@ def repeated_ranges(
             member = members[i]
             right = _shared(i, here_r)
             left = _shared(int(to_l[i]), here_l)[to_l]
-            fits = left + np.minimum(right, BLOCK) >= BLOCK - 1
+            fits = left + np.minimum(right, block) >= block - 1
             fits[i] = False
             if split[member]:
                 fits &= side[members] != side[member]
             if fits.any():
-                low[member] = max(0, BLOCK - 1 - int(right[fits].max()))
+                low[member] = max(0, block - 1 - int(right[fits].max()))
                 high[member] = int(left[fits].max())
-    high[low > BLOCK - 1] = -1
+    high[low > block - 1] = -1
     return low, high
 
 
-def _range_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _range_rows(windows: Windows):
     """Repeated windows of the classes of each cell; rows come sorted by cell."""
-    names = ["key", "cell_a", "cell_b"]
-
-    def solve(rows: list[tuple]) -> pa.RecordBatch | None:
-        ids: dict[tuple, int] = {}
-        buckets = np.array([ids.setdefault(r[:3], len(ids)) for r in rows])
-        low, high = repeated_ranges(
-            [r[4] for r in rows],
-            [r[5] for r in rows],
-            buckets,
-            np.array([r[3] for r in rows]),
-            np.array([r[1] != r[2] for r in rows]),
-        )
-        out = []
-        for r, a, b in zip(rows, low.tolist(), high.tolist(), strict=True):
-            lo, hi, class_id = r[6], r[7], r[8]
-            a, b = max(a, lo), min(b, hi)
-            if a <= b:
-                out.append((r[0], class_id, a, b))
-        if not out:
-            return None
-        kinds = (pa.binary(), pa.int64(), pa.int32(), pa.int32())
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)],
-            names=["key", "class_id", "low", "high"],
-        )
-
-    waiting: list[tuple] = []
-    bucket: list[tuple] = []
-    symbols = 0
-    for batch in batches:
-        columns = [
-            batch.column(c).to_pylist()
-            for c in (*names, "side", "left", "right", "lo", "hi", "class_id")
-        ]
-        for row in zip(*columns, strict=True):
-            if bucket and bucket[0][:3] != row[:3]:
-                if len(bucket) > 1:
-                    waiting += bucket
-                    symbols += sum(2 + len(r[4]) + len(r[5]) for r in bucket)
-                bucket = []
-                if symbols >= ARRAY_SYMBOLS:
-                    found = solve(waiting)
-                    if found is not None:
-                        yield found
-                    waiting, symbols = [], 0
-            bucket.append(row)
-    if len(bucket) > 1:
-        waiting += bucket
-    if waiting:
-        found = solve(waiting)
-        if found is not None:
-            yield found
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["key", "cell_a", "cell_b"]
+
+        def solve(rows: list[tuple]) -> pa.RecordBatch | None:
+            ids: dict[tuple, int] = {}
+            buckets = np.array([ids.setdefault(r[:3], len(ids)) for r in rows])
+            low, high = repeated_ranges(
+                [r[4] for r in rows],
+                [r[5] for r in rows],
+                buckets,
+                np.array([r[3] for r in rows]),
+                np.array([r[1] != r[2] for r in rows]),
+                windows.block,
+            )
+            out = []
+            for r, a, b in zip(rows, low.tolist(), high.tolist(), strict=True):
+                lo, hi, class_id = r[6], r[7], r[8]
+                a, b = max(a, lo), min(b, hi)
+                if a <= b:
+                    out.append((r[0], class_id, a, b))
+            if not out:
+                return None
+            kinds = (pa.binary(), pa.int64(), pa.int32(), pa.int32())
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)],
+                names=["key", "class_id", "low", "high"],
+            )
+
+        waiting: list[tuple] = []
+        bucket: list[tuple] = []
+        symbols = 0
+        for batch in batches:
+            columns = [
+                batch.column(c).to_pylist()
+                for c in (*names, "side", "left", "right", "lo", "hi", "class_id")
+            ]
+            for row in zip(*columns, strict=True):
+                if bucket and bucket[0][:3] != row[:3]:
+                    if len(bucket) > 1:
+                        waiting += bucket
+                        symbols += sum(2 + len(r[4]) + len(r[5]) for r in bucket)
+                    bucket = []
+                    if symbols >= ARRAY_SYMBOLS:
+                        found = solve(waiting)
+                        if found is not None:
+                            yield found
+                        waiting, symbols = [], 0
+                bucket.append(row)
+        if len(bucket) > 1:
+            waiting += bucket
+        if waiting:
+            found = solve(waiting)
+            if found is not None:
+                yield found
+
+    return run
 
 
 # --- Spark ------------------------------------------------------------------------------------
 
 
-def repeated_spans(texts: DataFrame) -> DataFrame:
+def repeated_spans(texts: DataFrame, windows: Windows = DEFAULT) -> DataFrame:
     """``row``, ``from``, ``to``: runs of bytes of distinct ``texts`` (``row``, ``_text``).
 
     Runs may overlap; together they are the bytes of all windows that start elsewhere too.
     """
-    found = stored(texts.mapInArrow(_anchor_rows, ANCHORS), "anchors")
+    found = stored(texts.mapInArrow(_anchor_rows(windows), ANCHORS), "anchors")
     # Sums are stored before they are joined back: only then can Spark split the rows of
     # a hot key in the join.
     cores = stored(
@@ -310,7 +353,7 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     )
     repeated = stored(found.join(cores, "key").drop("whole"), "repeated-anchors")
     equal = repeated.filter(F.col("kinds") == 1).select(
-        "row", F.col("first").alias("from"), (F.col("last") + LENGTH).alias("to")
+        "row", F.col("first").alias("from"), (F.col("last") + windows.length).alias("to")
     )
     mixed = (
         repeated.filter(F.col("kinds") > 1)
@@ -320,7 +363,7 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     blocks = stored(
         texts.join(mixed, "row")
         .select("row", "_text", "anchors")
-        .mapInArrow(_block_rows, BLOCKS)
+        .mapInArrow(_block_rows(windows), BLOCKS)
         .withColumn("class_id", F.xxhash64("key", "lo", "hi", "left", "right")),
         "window-blocks",
     )
@@ -349,7 +392,7 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
         cells.repartition(*order)
         .sortWithinPartitions(*order)
         .select(*order, "side", "left", "right", "lo", "hi", "class_id")
-        .mapInArrow(_range_rows, "key binary, class_id long, low int, high int")
+        .mapInArrow(_range_rows(windows), "key binary, class_id long, low int, high int")
     )
     ranges = stored(
         copied.unionByName(extended)
@@ -357,13 +400,13 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
         .agg(F.min("low").alias("low"), F.max("high").alias("high")),
         "repeated-ranges",
     )
-    start = F.col("at") - F.lit(BLOCK) * F.col("block")
+    start = F.col("at") - F.lit(windows.block) * F.col("block")
     partly = blocks.select("row", "key", "class_id", "at", "block").join(
         ranges, ["key", "class_id"]
     ).select(
         "row",
         (start - F.col("high")).alias("from"),
-        (start - F.col("low") + LENGTH).alias("to"),
+        (start - F.col("low") + windows.length).alias("to"),
     )
     return equal.unionByName(partly)
 
@@ -378,21 +421,23 @@ def _merged(spans: list[dict]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in merged]
 
 
-def remove_repeats(docs: DataFrame, as_text: bool = False) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, as_text: bool = False, windows: Windows = DEFAULT
+) -> DataFrame:
     """``docs`` with ``kept``, ``n_bytes``, ``n_removed`` and ``removed_spans``.
 
     ``kept`` has the remaining bytes, or with ``as_text`` their text, without the bytes of
     characters that were cut in two. ``removed_spans`` has the maximal removed runs
-    (``from``, ``to``) in bytes. Null texts count as empty; texts under ``LENGTH`` bytes lose
+    (``from``, ``to``) in bytes. Null texts count as empty; texts shorter than a window lose
     nothing. Repeated rows are copies of each other, whatever their ids. Columns of these
     names are replaced, others passed on. ``docs`` must be read from a table, so that its
     rows have the same numbers each time.
     """
     bounded_batches(docs.sparkSession)
     new = ["kept", "n_bytes", "n_removed", "removed_spans"]
-    docs = docs.drop(*new)
+    docs, given_back = set_aside(docs.drop(*new))
     numbered = docs.withColumn("_row", F.monotonically_increasing_id())
-    spans = repeated_spans(numbered.select(F.col("_row").alias("row"), utf8().alias("_text")))
+    spans = repeated_spans(numbered.select(F.col("_row").alias("row"), utf8().alias("_text")), windows)
     marked = spans.groupBy(F.col("row").alias("_row")).agg(
         F.collect_set(F.struct("from", "to")).alias("_spans")
     )
@@ -434,15 +479,15 @@ def remove_repeats(docs: DataFrame, as_text: bool = False) -> DataFrame:
     schema.add("kept", T.StringType() if as_text else T.BinaryType())
     schema.add("n_bytes", T.LongType()).add("n_removed", T.LongType())
     ends = T.StructType().add("from", T.LongType()).add("to", T.LongType())
-    return rows.mapInArrow(run, schema.add("removed_spans", T.ArrayType(ends)))
+    return given_back(rows.mapInArrow(run, schema.add("removed_spans", T.ArrayType(ends))))
 
 
-def without_repeats(docs: DataFrame) -> DataFrame:
+def without_repeats(docs: DataFrame, windows: Windows = DEFAULT) -> DataFrame:
     """``docs`` with what is kept as ``text``; null texts stay null.
 
     ``n_chars``, where it exists, counts the new text.
     """
-    cut = remove_repeats(docs, as_text=True)
+    cut = remove_repeats(docs, as_text=True, windows=windows)
     text = F.when(F.col("text").isNotNull(), F.col("kept"))
     changed = {"text": text}
     if "n_chars" in docs.columns:

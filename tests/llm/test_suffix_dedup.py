@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -15,29 +16,30 @@ def test_suffix_array(symbols):
     assert suffix_array(symbols) == sorted(range(len(symbols)), key=lambda i: symbols[i:])
 
 
-def plain(texts):
+def plain(texts, n=400):
     """Covered bytes of each text, from every window."""
     seen = {}
     for text in texts:
-        for s in range(len(text) - 399):
-            seen[text[s : s + 400]] = seen.get(text[s : s + 400], 0) + 1
+        for s in range(len(text) - n + 1):
+            seen[text[s : s + n]] = seen.get(text[s : s + n], 0) + 1
     out = []
     for text in texts:
         covered = bytearray(len(text))
-        for s in range(len(text) - 399):
-            if seen[text[s : s + 400]] > 1:
-                covered[s : s + 400] = b"\x01" * 400
+        for s in range(len(text) - n + 1):
+            if seen[text[s : s + n]] > 1:
+                covered[s : s + n] = b"\x01" * n
         out.append(bytes(b for b, c in zip(text, covered, strict=True) if not c))
     return out
 
 
-def check(docs, rows):
-    expected = plain([(r[1] or "").encode() for r in rows])
+def check(docs, rows, length=400):
+    expected = plain([(r[1] or "").encode() for r in rows], length)
     want = sorted(
         str((r[0], len((r[1] or "").encode()), hashlib.sha256(k).hexdigest()))
         for r, k in zip(rows, expected, strict=True)
     )
-    found = suffix_dedup.remove_repeats(docs).collect()
+    windows = suffix_dedup.Windows(length)
+    found = suffix_dedup.remove_repeats(docs, windows=windows).collect()
     got = sorted(str((r["doc_id"], r["n_bytes"], hashlib.sha256(r["kept"]).hexdigest())) for r in found)
     assert got == want
     for r in found:
@@ -70,6 +72,18 @@ def test_edges_of_passages(spark, tmp_path):
     check(saved(spark.createDataFrame(rows, DOCS), tmp_path / "edges"), rows)
 
 
+@pytest.mark.parametrize("length", [64, 100, 240])
+def test_other_lengths(spark, tmp_path, length):
+    rng = random.Random(length)
+    passage = words(rng, 150)
+    rows = [
+        (i, f"{words(rng, 30)}|{passage[7 * i : 7 * i + length + i - 5]}|{words(rng, 30)}", "", "", 0)
+        for i in range(20)
+    ]
+    rows += odd_rows()
+    check(saved(spark.createDataFrame(rows, DOCS), tmp_path / "docs"), rows, length)
+
+
 def test_hot_buckets_are_dealt_and_lose_nothing(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "CELL_MEMBERS", 2)
     rows = edge_rows()
