@@ -1,15 +1,16 @@
 """Per-place contexts: minimum size, score, rating-proportional sample, ordered text.
 
-Places differ in size by orders of magnitude, and one may hold a large share of
-all reviews. Places are therefore treated in two ways, with the same result:
+Places differ in size by orders of magnitude, and one may hold a large share of all reviews.
+Texts are therefore left where they are until the sample is known:
 
-* An ordinary place is small enough for one task. All its windows and the final
-  text share one exchange on ``place_id``.
-* A hot place (``hot_places``) is never brought together whole. Its statistics
-  are pre-aggregated; its sample is a top-k that is cut per input task, then per
-  salted group, and only the few survivors meet.
+1. Counts by place and rating are combined before their shuffle; they give the sample sizes.
+2. Reviews are ranked as narrow rows (keys, score, a hash of the text). The literal bound on the
+   rank lets Spark cut each input task's rows to that many a rating before the shuffle, so a
+   place of any size sends few.
+3. The chosen keys, a bounded number a place, fetch their texts by a join. Spark broadcasts
+   them if they are few, or prunes the scan with a filter made of them.
 
-If there is no hot place, adaptive execution drops that branch at run time.
+The input is read three times, two of them without most of its bytes: it should be a table.
 """
 
 from __future__ import annotations
@@ -33,9 +34,9 @@ class ContextParams:
     seed: int = fv.SEED
     line_prefix: str = fv.LINE_PREFIX
     line_middle: str = fv.LINE_MIDDLE
-    # tuning, without effect on results
-    hot_rows: int = 1_000_000
-    salts: int = 256
+    # tuning, without effect on results: above 1, input tasks are dealt into so many groups
+    # that are ranked on their own first; for clusters with very many tasks
+    salts: int = 1
 
 
 def with_review_id(df: DataFrame, id_col: str = "review_id") -> DataFrame:
@@ -139,103 +140,65 @@ def _round2(value: Column) -> Column:
 # --- sampling ----------------------------------------------------------------
 
 
-def hot_places(df: DataFrame, params: ContextParams = ContextParams()) -> DataFrame:
-    """Places with more than ``hot_rows`` reviews, a fixed size that suits one task.
-
-    There are at most ``total / hot_rows`` of them, so what is broadcast about them
-    is about a millionth of the input's rows.
-    """
-    counts = df.groupBy("place_id").agg(F.count(F.lit(1)).alias("n_reviews"))
-    floor = F.lit(max(params.hot_rows, params.max_reviews, params.min_reviews))
-    return counts.filter(F.col("n_reviews") > floor)
-
-
-def _rank_order(params: ContextParams) -> list[Column]:
-    return [F.col("info_score").desc_nulls_last(), F.col(params.id_col).asc()]
-
-
-def _ordinary(df: DataFrame, hot: DataFrame, params: ContextParams) -> DataFrame:
-    """Reviews of ordinary places with ``picked`` and the place's metadata.
-
-    Besides the picked rows one row per place is kept, so that a place whose
-    sample is empty still has a context.
-    """
-    place = Window.partitionBy("place_id")
-    rating = Window.partitionBy("place_id", "rating").orderBy(*_rank_order(params))
-    # same order as the ranking, so that both ride on one sort
-    whole_rating = rating.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    reviews = df.join(F.broadcast(hot.select("place_id")), "place_id", "left_anti")
-    n = F.col("n_reviews")
-    bound = F.when(n <= params.max_reviews, F.lit(params.max_reviews)).otherwise(
-        _allocation(F.col("n_rating"), F.col("n_rated"), params)
+def _place_tables(df: DataFrame, params: ContextParams) -> tuple[DataFrame, DataFrame]:
+    """Places with enough reviews and their metadata; sample sizes by place and rating."""
+    per_rating = df.groupBy("place_id", "rating").agg(
+        F.count(F.lit(1)).alias("n_rating"),
+        F.min_by("place_name", _named_id(params)).alias("name"),
+        F.min(_named_id(params)).alias("named_id"),
     )
-    ranked = (
-        with_info_score(reviews, params)
-        .withColumn("named_id", _named_id(params))
-        .select(
-            "*",
-            F.count(F.lit(1)).over(place).alias("n_reviews"),
-            F.count("rating").over(place).alias("n_rated"),
-            F.avg("rating").over(place).alias("avg_rating"),
-            F.min_by("place_name", "named_id").over(place).alias("first_name"),
-            F.min(params.id_col).over(place).alias("first_id"),
-        )
-        .filter(n >= params.min_reviews)
-        .select(
-            "*",
-            F.count("rating").over(whole_rating).alias("n_rating"),
-            F.row_number().over(rating).alias("rn"),
+    rated = F.col("rating").isNotNull()
+    places = (
+        per_rating.groupBy("place_id")
+        .agg(
+            F.sum("n_rating").alias("n_reviews"),
+            F.coalesce(F.sum(F.when(rated, F.col("n_rating"))), F.lit(0)).alias("n_rated"),
+            F.sum(F.col("rating") * F.col("n_rating")).alias("rating_sum"),
+            F.min_by("name", "named_id").alias("place_name"),
         )
+        .filter(F.col("n_reviews") >= params.min_reviews)
     )
-    picked = F.col("rating").isNotNull() & (F.col("rn") <= bound)
-    return ranked.withColumn("picked", F.coalesce(picked, F.lit(False))).filter(
-        F.col("picked") | (F.col(params.id_col) == F.col("first_id"))
+    allocation = _allocation(F.col("n_rating"), F.col("n_rated"), params)
+    small = F.col("n_reviews") <= params.max_reviews
+    bounds = (
+        per_rating.filter(rated)
+        .join(places.select("place_id", "n_reviews", "n_rated"), "place_id")
+        .withColumn("bound", F.when(small, F.lit(params.max_reviews)).otherwise(allocation))
+        .filter(F.col("bound") >= 1)
+        .select("place_id", "rating", "bound")
     )
+    return places, bounds
 
 
-def _hot_metadata(df: DataFrame, hot: DataFrame, params: ContextParams) -> DataFrame:
-    """Per hot place: name, counts, average; combined before the shuffle."""
-    return (
-        df.join(F.broadcast(hot), "place_id")
-        .groupBy("place_id", "n_reviews")
-        .agg(
-            F.min_by("place_name", _named_id(params)).alias("place_name"),
-            F.avg("rating").alias("avg_rating"),
-            F.count("rating").alias("n_rated"),
-        )
-    )
+def _review_keys(params: ContextParams) -> list[str]:
+    """What tells reviews apart; reviews that agree in all of it are copies of each other."""
+    return ["place_id", "rating", params.id_col, "mark"]
 
 
-def _hot_sample(df: DataFrame, hot: DataFrame, params: ContextParams) -> DataFrame:
-    """The picked reviews of hot places."""
-    reviews = df.join(F.broadcast(hot.select("place_id")), "place_id", "left_semi")
-    per_rating = (
-        reviews.filter(F.col("rating").isNotNull())
-        .groupBy("place_id", "rating")
-        .agg(F.count(F.lit(1)).alias("n_rating"))
-    )
-    rated = per_rating.groupBy("place_id").agg(F.sum("n_rating").alias("n_rated"))
-    # a rating needs a share of half a review to be sampled: no place has more
-    # than 2 * max_reviews of those, hence the broadcast
-    allocations = (
-        per_rating.join(F.broadcast(rated), "place_id")
-        .withColumn("alloc", _allocation(F.col("n_rating"), F.col("n_rated"), params))
-        .filter(F.col("alloc") >= 1)
-        .select("place_id", "rating", "alloc")
-    )
-    candidates = with_info_score(
-        reviews.join(F.broadcast(allocations), ["place_id", "rating"]), params
-    ).withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(params.salts)))
-    # The literal bound lets Spark cut each input task's rows before the shuffle.
-    # Salting by input task spreads even identical copies of one review.
-    order = _rank_order(params)
-    salted = Window.partitionBy("place_id", "rating", "salt").orderBy(*order)
+def _marked(df: DataFrame, params: ContextParams) -> DataFrame:
+    return df.filter(F.col("rating").isNotNull()).withColumn("mark", F.xxhash64(params.text_col))
+
+
+def _picks(df: DataFrame, bounds: DataFrame, params: ContextParams) -> DataFrame:
+    """Narrow rows of the sample: keys, scores, and ``rn``, the rank in place and rating."""
+    keys = _review_keys(params)
+    rows = with_info_score(_marked(df, params), params).select(*keys, "word_count", "info_score")
+    order = [F.col("info_score").desc_nulls_last(), F.col(params.id_col).asc(), F.col("mark")]
+    if params.salts > 1:
+        salted = Window.partitionBy("place_id", "rating", "salt").orderBy(*order)
+        rows = (
+            rows.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(params.salts)))
+            .withColumn("rn", F.row_number().over(salted))
+            .filter(F.col("rn") <= params.max_reviews)
+        )
     whole = Window.partitionBy("place_id", "rating").orderBy(*order)
+    # the sample sizes come after the cut: a join in front of it would move all rows
     return (
-        candidates.withColumn("rn", F.row_number().over(salted))
+        rows.withColumn("rn", F.row_number().over(whole))
         .filter(F.col("rn") <= params.max_reviews)
-        .withColumn("rn", F.row_number().over(whole))
-        .filter((F.col("rn") <= params.max_reviews) & (F.col("rn") <= F.col("alloc")))
+        .join(bounds, ["place_id", "rating"])
+        .filter(F.col("rn") <= F.col("bound"))
+        .select(*keys, "word_count", "info_score", "rn")
     )
 
 
@@ -246,10 +209,18 @@ def _sample_columns(params: ContextParams) -> list[str]:
 def sample_reviews(df: DataFrame, params: ContextParams = ContextParams()) -> DataFrame:
     """The reviews that go into the contexts, one row each, ``rn`` being the rank in its rating."""
     df = df.filter(F.col("place_id").isNotNull())
-    hot = hot_places(df, params)
-    columns = _sample_columns(params)
-    ordinary = _ordinary(df, hot, params).filter("picked").select(*columns)
-    return ordinary.unionByName(_hot_sample(df, hot, params).select(*columns))
+    keys = _review_keys(params)
+    copies = _picks(df, _place_tables(df, params)[1], params).groupBy(*keys).agg(
+        F.collect_list(F.struct("word_count", "info_score", "rn")).alias("picked")
+    )
+    texts = (
+        _marked(df, params)
+        .select(*keys, params.text_col)
+        .join(copies, keys)
+        .groupBy(*keys)
+        .agg(F.first(params.text_col).alias(params.text_col), F.first("picked").alias("picked"))
+    )
+    return texts.select("*", F.inline("picked")).select(*_sample_columns(params))
 
 
 # --- text --------------------------------------------------------------------
@@ -263,11 +234,17 @@ def review_line(params: ContextParams = ContextParams()) -> Column:
     )
 
 
-def _joined_lines(picked: Column, params: ContextParams) -> Column:
-    """Aggregate: lines in a fixed pseudo-random order; at most 2 * max_reviews of them."""
+def _joined_lines(params: ContextParams) -> Column:
+    """Aggregate: lines in a fixed pseudo-random order; at most 2 * max_reviews of them.
+
+    Copies of a review come as one entry that says how many of them were picked.
+    """
     key = F.md5(F.concat(F.lit(f"{params.seed}:"), F.col(params.id_col).cast("string")))
-    entry = F.when(picked, F.struct(key.alias("key"), review_line(params).alias("line")))
-    return F.array_join(F.array_sort(F.collect_list(entry)).getField("line"), "\n")
+    entry = F.struct(key.alias("key"), review_line(params).alias("line"), "mark", "copies")
+    repeated = F.transform(
+        F.array_sort(F.collect_set(entry)), lambda x: F.array_repeat(x["line"], x["copies"])
+    )
+    return F.array_join(F.flatten(repeated), "\n")
 
 
 def build_context(df: DataFrame, params: ContextParams = ContextParams()) -> DataFrame:
@@ -277,32 +254,23 @@ def build_context(df: DataFrame, params: ContextParams = ContextParams()) -> Dat
     that decides ties (``with_review_id``).
     """
     df = df.filter(F.col("place_id").isNotNull())
-    hot = hot_places(df, params)
-    ordinary = (
-        _ordinary(df, hot, params)
-        .groupBy("place_id")
-        .agg(
-            _joined_lines(F.col("picked"), params).alias("llm_input_context"),
-            F.min("first_name").alias("place_name"),
-            F.min("n_reviews").alias("n_reviews"),
-            F.min("avg_rating").alias("avg_rating"),
-        )
+    places, bounds = _place_tables(df, params)
+    keys = _review_keys(params)
+    picked = _picks(df, bounds, params).groupBy(*keys).agg(
+        F.count(F.lit(1)).cast("int").alias("copies")
     )
-    hot_text = (
-        _hot_sample(df, hot, params)
+    contexts = (
+        _marked(df, params)
+        .select(*keys, params.text_col)
+        .join(picked, keys)
         .groupBy("place_id")
-        .agg(_joined_lines(F.lit(True), params).alias("llm_input_context"))
-    )
-    hot_contexts = (
-        _hot_metadata(df, hot, params)
-        .join(hot_text, "place_id", "left")
-        .withColumn("llm_input_context", F.coalesce("llm_input_context", F.lit("")))
-        .select(*ordinary.columns)
+        .agg(_joined_lines(params).alias("llm_input_context"))
     )
-    return ordinary.unionByName(hot_contexts).select(
+    # a place may have no sample: every rating too rare, or none at all
+    return places.join(contexts, "place_id", "left").select(
         "place_id",
-        "llm_input_context",
+        F.coalesce("llm_input_context", F.lit("")).alias("llm_input_context"),
         "place_name",
         F.col("n_reviews").alias("total_reviews_analyzed"),
-        _round2(F.col("avg_rating")).alias("avg_rating"),
+        _round2(F.col("rating_sum") / F.nullif("n_rated", F.lit(0))).alias("avg_rating"),
     )

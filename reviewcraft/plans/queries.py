@@ -310,10 +310,8 @@ def build_context(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def build_context_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same contexts with most places taking the way of hot ones."""
-    return context.build_context(
-        reviews(spark, sf_dir, table), context.ContextParams(hot_rows=30)
-    )
+    """The same contexts, ranked in groups of input tasks first, as for very many tasks."""
+    return context.build_context(reviews(spark, sf_dir), context.ContextParams(salts=3))
 
 
 def build_context_forty(spark: SparkSession, sf_dir: str) -> DataFrame:

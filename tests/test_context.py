@@ -68,20 +68,20 @@ def score(text):
     return words / 2 if words < 10 else min(words, 80)
 
 
-@pytest.mark.parametrize("hot_rows", [1_000_000, 100, 1])
+@pytest.mark.parametrize("salts", [1, 3])
 @pytest.mark.parametrize("most", [25, 40])
-def test_contexts(spark, hot_rows, most):
+def test_contexts(spark, salts, most):
     rows = make_reviews()
     df = spark.createDataFrame(rows, SCHEMA).repartition(5)
-    params = cx.ContextParams(max_reviews=most, hot_rows=hot_rows, salts=3)
+    params = cx.ContextParams(max_reviews=most, salts=salts)
     got = {r[0]: tuple(r)[1:] for r in cx.build_context(df, params).collect()}
     assert got == brute_force(rows, most, 10)
 
 
-@pytest.mark.parametrize("hot_rows", [1_000_000, 1])
-def test_sample_stays_within_allocation(spark, hot_rows):
+@pytest.mark.parametrize("salts", [1, 3])
+def test_sample_stays_within_allocation(spark, salts):
     df = spark.createDataFrame(make_reviews(), SCHEMA)
-    params = cx.ContextParams(hot_rows=hot_rows)
+    params = cx.ContextParams(salts=salts)
     sample = cx.sample_reviews(df, params).groupBy("place_id", "rating").agg(F.count("*").alias("n"))
     allocations = cx.rating_allocations(df, params)
     large = df.groupBy("place_id").count().filter("count > 25")
@@ -89,26 +89,53 @@ def test_sample_stays_within_allocation(spark, hot_rows):
     assert over.count() == 0
 
 
-def test_hot_places_are_bounded_and_found(spark):
-    df = spark.createDataFrame(make_reviews(), SCHEMA).filter("place_id is not null")
-    hot = cx.hot_places(df, cx.ContextParams(hot_rows=100))
-    assert {r["place_id"] for r in hot.collect()} == {"big", "hot"}
+def exchanges(df):
+    """Columns of each shuffle of the plan."""
+    import re
 
+    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    shuffled = re.findall(r"Exchange hashpartitioning\(.*", plan)
+    return plan, shuffled
 
-def test_no_hot_place_means_one_exchange(spark):
+
+@pytest.mark.parametrize("salts", [1, 3])
+def test_rows_are_cut_before_they_are_ranked(spark, salts):
     df = spark.createDataFrame(make_reviews(), SCHEMA)
-    result = cx.build_context(df)
-    result.collect()
-    final = result._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    assert final.count("Exchange hashpartitioning(place_id") == 1
-    assert "Union" not in final
+    plan, _ = exchanges(cx.build_context(df, cx.ContextParams(salts=salts)))
+    assert plan.count("WindowGroupLimit") >= 2 and "Partial" in plan
 
 
-def test_hot_sample_is_cut_before_the_shuffle(spark):
-    df = spark.createDataFrame(make_reviews(), SCHEMA)
-    params = cx.ContextParams(hot_rows=1)
-    plan = cx.build_context(df, params)._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan and "Partial" in plan
+def test_texts_move_after_the_cut(spark, tmp_path):
+    """The one shuffle that carries texts is that of the chosen reviews to their places."""
+    spark.createDataFrame(make_reviews(), SCHEMA).write.parquet(str(tmp_path / "reviews"))
+    df = spark.read.parquet(str(tmp_path / "reviews"))
+    ranked = cx._picks(df, cx._place_tables(df, cx.ContextParams())[1], cx.ContextParams())
+    assert "cleaned_text" not in ranked.columns
+    result = cx.build_context(df)
+    sent = [e for e in _exchange_outputs(result) if "cleaned_text" in e]
+    assert len(sent) <= 1
+
+
+def _exchange_outputs(df):
+    """Names of the columns that each shuffle of the final plan sends."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    found = []
+
+    def walk(node):
+        if node.nodeName() in ("Exchange", "BroadcastExchange"):
+            found.append(node.output().mkString(","))
+        if node.nodeName() == "AdaptiveSparkPlan":
+            walk(node.executedPlan())
+        elif hasattr(node, "plan") and node.nodeName().endswith("QueryStage"):
+            walk(node.plan())
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+
+    walk(plan)
+    assert found
+    return found
 
 
 def test_counts_and_minimum(spark):
