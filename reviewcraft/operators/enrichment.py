@@ -7,7 +7,8 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark import BarrierTaskContext
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewcraft import fixed_values as fv
@@ -45,17 +46,90 @@ def pending_contexts(contexts: DataFrame, completed: DataFrame) -> DataFrame:
     return contexts.join(completed, "place_id", "left_anti")
 
 
-def numbered_share(pending: DataFrame, limit: int, per_part: int) -> DataFrame:
-    """Keys of a day's share, dealt into parts: ``place_id`` and ``part``.
+#: Bits of the filter for each finished place, and its largest size (64 MB).
+_FILTER_BITS_PER_KEY = 16
+_FILTER_MAX_BITS = 1 << 29
 
-    Contexts without a place id could never be told from finished ones later,
-    so they have no part in a run. Only keys are put in order.
+
+def pending_keys(contexts: DataFrame, completed: DataFrame) -> DataFrame:
+    """Distinct ids of pending contexts; those without an id are left out.
+
+    A filter of finished ids stands in front of the anti join: one bit for each hashed id, of a
+    bounded size. Ids whose bit is not set are pending for sure and need no join; the
+    others, finished ones and a few percent of the rest, are looked up exactly.
+    """
+    keys = contexts.filter(F.col("place_id").isNotNull()).select("place_id").distinct()
+    n_done = completed.count()
+    if not n_done:
+        return keys
+    wanted = max(n_done * _FILTER_BITS_PER_KEY, 1 << 15)
+    bits = min(1 << (wanted - 1).bit_length(), _FILTER_MAX_BITS)
+    place = F.pmod(F.xxhash64("place_id"), F.lit(bits))
+    hashed = completed.withColumn("_bit", place)
+    bitmaps = hashed.groupBy(F.bitmap_bucket_number("_bit").alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("_bit")).alias("_bitmap")
+    )
+    marked = keys.withColumn("_bit", place).withColumn(
+        "_bucket", F.bitmap_bucket_number("_bit")
+    )
+    # 4 KB for each 32768 bits, 64 MB at most
+    looked_up = marked.join(F.broadcast(bitmaps), "_bucket", "left").withColumn(
+        "_byte",
+        F.conv(
+            F.hex(
+                F.substring(
+                    "_bitmap", (F.floor(F.bitmap_bit_position("_bit") / 8) + 1).cast("int"), F.lit(1)
+                )
+            ),
+            16,
+            10,
+        ).cast("int"),
+    )
+    is_set = F.getbit("_byte", (F.bitmap_bit_position("_bit") % 8).cast("int")) == 1
+    flagged = looked_up.select("place_id", F.coalesce(is_set, F.lit(False)).alias("_maybe"))
+    unsure = flagged.filter("_maybe").join(completed, "place_id", "left_anti")
+    return flagged.filter("NOT _maybe").select("place_id").unionByName(unsure.select("place_id"))
+
+
+def numbered(keys: DataFrame, store: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``keys`` (``place_id``) with ``number``, their rank from 0, without bringing them together.
+
+    Ranges of keys are sorted and ``store``d with their places in them; the sizes of the ranges,
+    one number a task, give each its offset.
+    """
+    place = F.monotonically_increasing_id()
+    ranges = store(
+        keys.repartitionByRange("place_id")
+        .sortWithinPartitions("place_id")
+        .select("place_id", place.alias("_id"))
+    ).select(
+        "place_id",
+        F.shiftright("_id", 33).cast("int").alias("_range"),
+        F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)).alias("_at"),
+    )
+    sizes = sorted(ranges.groupBy("_range").count().collect())
+    offsets, before = [], 0
+    for found, size in sizes:
+        offsets.append((found, before))
+        before += size
+    table = keys.sparkSession.createDataFrame(offsets, "_range int, _before long")
+    return ranges.join(F.broadcast(table), "_range").select(
+        "place_id", (F.col("_before") + F.col("_at")).alias("number")
+    )
+
+
+def share_of(
+    numbered_keys: DataFrame, limit: int, slots: int, calls_per_slot: int
+) -> DataFrame:
+    """The first ``limit`` keys, dealt: ``place_id``, ``part``, ``slot``.
+
+    A part has ``slots`` slots of ``calls_per_slot`` neighbouring keys.
     """
-    keys = pending.filter(F.col("place_id").isNotNull()).select("place_id").distinct()
-    # one task orders at most ``limit`` keys here
-    order = F.row_number().over(Window.orderBy("place_id")) - 1
-    return keys.orderBy("place_id").limit(limit).select(
-        "place_id", F.floor(order / F.lit(per_part)).cast("int").alias("part")
+    slot = F.floor(F.col("number") / calls_per_slot)
+    return numbered_keys.filter(F.col("number") < limit).select(
+        "place_id",
+        F.floor(slot / slots).cast("int").alias("part"),
+        (slot % slots).cast("int").alias("slot"),
     )
 
 
@@ -89,37 +163,67 @@ def call_with_retries(summarize: Summarizer, context: str, policy: CallPolicy) -
     raise RuntimeError(f"rate limited in all {policy.attempts} attempts")
 
 
+class _Together:
+    """What the tasks of a barrier stage tell each other before each call."""
+
+    def __init__(self):
+        self.context = BarrierTaskContext.get()
+
+    def ask(self, state: str) -> list[str]:
+        return self.context.allGather(state)
+
+
+class _Alone:
+    def ask(self, state: str) -> list[str]:
+        return [state]
+
+
+def can_stop_together(spark: SparkSession, policy: CallPolicy) -> bool:
+    """Whether all calling tasks can run at once, as a barrier stage needs."""
+    dynamic = spark.conf.get("spark.dynamicAllocation.enabled", "false").lower() == "true"
+    return not dynamic and policy.concurrency <= spark.sparkContext.defaultParallelism
+
+
 def summarize_with_backend(
     contexts: DataFrame, factory: SummarizerFactory, policy: CallPolicy = CallPolicy()
 ) -> DataFrame:
     """Add ``target_summary, status, error`` by calling a backend for each context.
 
-    After a failure, the rest of the task's rows are not tried: a service that
-    refuses once is left alone. Rows that are not ``ok`` stay pending. At most
-    ``policy.concurrency`` tasks call at once.
+    At most ``policy.concurrency`` tasks call at once. They run as one barrier stage and agree
+    before each call: after a failure in any of them no task starts another one, a service
+    that refuses once is left alone. Rows that are not ``ok`` stay pending.
+    Where a barrier stage cannot run (dynamic allocation, or more calls at once than slots),
+    a failure stops its own task only.
     """
+    together = policy.concurrency > 1 and can_stop_together(contexts.sparkSession, policy)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         summarize = factory()
-        stopped = False
+        others = _Together() if together else _Alone()
+        stopped = failed = False
         for batch in batches:
             summaries, statuses, errors = [], [], []
             for context in batch["llm_input_context"]:
                 summary, status, error = None, "skipped", None
+                stopped = stopped or "failed" in others.ask("failed" if failed else "calling")
                 if not stopped:
                     try:
                         summary, status = call_with_retries(summarize, context, policy), "ok"
                         policy.sleep(policy.pause_seconds)
                     except Exception as failure:
-                        status, error, stopped = "failed", str(failure), True
+                        status, error, failed = "failed", str(failure), True
                 summaries.append(summary)
                 statuses.append(status)
                 errors.append(error)
             yield batch.assign(target_summary=summaries, status=statuses, error=errors)
+        # tasks with fewer rows keep answering until all have none left, or one has failed
+        while not stopped:
+            states = others.ask("failed" if failed else "done")
+            stopped = "failed" in states or "calling" not in states
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in contexts.schema.fields]
     schema = ", ".join([*fields, "target_summary string", "status string", "error string"])
-    return contexts.repartition(policy.concurrency).mapInPandas(run, schema)
+    return contexts.repartition(policy.concurrency).mapInPandas(run, schema, barrier=together)
 
 
 def extractive_summary(context: Column, sentences: int = 3) -> Column:

@@ -10,11 +10,12 @@ import argparse
 import json
 from typing import Any
 
-from pyspark.sql import Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from reviewcraft import fixed_values as fv
 from reviewcraft import schemas
+from reviewcraft.operators import completed
 from reviewcraft.operators import enrichment as en
 from reviewcraft.operators import finetune as ft
 from reviewcraft.operators import inspection
@@ -22,12 +23,15 @@ from reviewcraft.operators.cleaning import remove_nulls
 from reviewcraft.operators.context import ContextParams, build_context, place_counts, with_review_id
 from reviewcraft.operators.language import DetectorParams, LanguageDetector, train_profile
 from reviewcraft.plans.stages import CleaningParams, clean_reviews, curate_reviews, training_text
-from reviewcraft.session import delete_path, get_session, path_exists, shared_folder
+from reviewcraft.session import delete_path, get_session, list_names, path_exists, shared_folder
 from reviewcraft.sources import jsonl, tables
 from reviewcraft.streaming import incremental
 
 Metrics = dict[str, Any]
 
+#: Contexts that the built-in summarizer gets in one task.
+BUILT_IN_ROWS = 10_000
+
 
 def train_detector(
     spark: SparkSession,
@@ -116,54 +120,69 @@ def enrich(
 ) -> Metrics:
     """Summarize a day's share of the pending contexts and append the results.
 
-    The share is worked on in parts of a few contexts for each call slot. The
-    summaries of a part are written to the shared folder, counted and appended
-    before the next part begins: a run that dies loses one part, and later runs
-    never ask for a finished summary again. The run ends early if there is
-    nothing to do, and after a part with a failure. The built-in summarizer has
-    no service to be careful with and does all in one part.
+    Finished places come from a key table beside the summaries, which learns of new files
+    only. The contexts of the share are fetched once and stored by part; each part is read
+    alone. The summaries of a part are written to the shared folder, counted and appended before
+    the next part begins: a run that dies loses one part, and later runs never ask for a
+    finished summary again. The run ends early if there is nothing to do, and after a part
+    with a failure. The built-in summarizer has no service to be careful with and does
+    all in one part.
     """
-    metrics: Metrics = {"tried": 0, "succeeded": 0, "first_error": None}
+    metrics: Metrics = {"tried": 0, "succeeded": 0, "first_error": None, "parts": 0}
     if not path_exists(spark, contexts_path):
         return metrics
     all_contexts = spark.read.schema(schemas.CONTEXTS).parquet(contexts_path)
-    done = en.completed_places(
-        jsonl.read_tolerant(spark, summaries_path, schemas.SUMMARIES, required="place_id")
-    )
+    completed.refresh(spark, summaries_path)
+    done = completed.completed_keys(spark, summaries_path)
     staged = shared_folder(spark, "enriched")
-    per_part = limit if summarizer is None else policy.concurrency * policy.calls_per_task
-    keys = en.numbered_share(en.pending_contexts(all_contexts, done), limit, per_part)
-    keys.write.parquet(f"{staged}/keys")
-    keys = spark.read.parquet(f"{staged}/keys")
-    parts = keys.agg(F.max("part")).first()[0]
-    for part in range(0 if parts is None else parts + 1):
-        share = all_contexts.join(
-            keys.filter(F.col("part") == part).select("place_id"), "place_id", "left_semi"
-        )
+
+    def store(df: DataFrame) -> DataFrame:
+        df.write.parquet(f"{staged}/ranges")
+        return spark.read.schema(df.schema).parquet(f"{staged}/ranges")
+
+    keys = en.numbered(en.pending_keys(all_contexts, done), store)
+    if summarizer is None:
+        share = en.share_of(keys, limit, max(1, -(-limit // BUILT_IN_ROWS)), BUILT_IN_ROWS)
+    else:
+        share = en.share_of(keys, limit, policy.concurrency, policy.calls_per_task)
+    # the one scan of the contexts' texts in a run
+    dealt = all_contexts.join(share, "place_id").repartition("part", "slot")
+    dealt.sortWithinPartitions("part", "slot", "place_id").write.partitionBy(
+        "part"
+    ).parquet(f"{staged}/share")
+    for part in _parts(spark, f"{staged}/share"):
+        rows = spark.read.schema(schemas.CONTEXTS).parquet(f"{staged}/share/part={part}")
         if summarizer is None:
-            enriched = en.summarize_extractively(share)
+            enriched = en.summarize_extractively(rows)
         else:
-            enriched = en.summarize_with_backend(share, summarizer, policy)
+            enriched = en.summarize_with_backend(rows, summarizer, policy)
         counts = Observation()
         enriched.observe(
             counts,
             F.count(F.lit(1)).alias("tried"),
             F.count_if(F.col("status") == "ok").alias("succeeded"),
             F.first("error", ignorenulls=True).alias("first_error"),
-        ).write.parquet(f"{staged}/part={part}")
+        ).write.parquet(f"{staged}/done/part={part}")
         found = counts.get
         if found["succeeded"]:
-            finished = spark.read.parquet(f"{staged}/part={part}")
+            finished = spark.read.parquet(f"{staged}/done/part={part}")
             jsonl.append(en.summary_records(finished), summaries_path)
+        metrics["parts"] += 1
         metrics["tried"] += found["tried"]
         metrics["succeeded"] += found["succeeded"]
         metrics["first_error"] = metrics["first_error"] or found["first_error"]
         if found["succeeded"] < found["tried"]:
             break
+    completed.refresh(spark, summaries_path)
     delete_path(spark, staged)
     return metrics
 
 
+def _parts(spark: SparkSession, path: str) -> list[int]:
+    names = (name.partition("=") for name in list_names(spark, path))
+    return sorted(int(number) for key, _, number in names if key == "part")
+
+
 def prepare_chat(
     spark: SparkSession,
     summaries_path: str,

@@ -419,6 +419,16 @@ ORACLES: dict[str, str] = {
                md5(concat({_text(fv.SUMMARY_PROMPT)}, llm_input_context)) AS target_summary
         FROM ({_contexts()})""",
     "enrich_resumed": _EXTRACTED,
+    "enrich_parts": f"""
+        SELECT place_id, place_name, llm_input_context AS input_context,
+               md5(concat({_text(fv.SUMMARY_PROMPT)}, llm_input_context)) AS target_summary,
+               ceil(least(count(*) OVER (), {fv.DAILY_LIMIT}) / 4.0)::INTEGER AS parts
+        FROM ({_contexts()}) QUALIFY row_number() OVER (ORDER BY place_id) <= {fv.DAILY_LIMIT}""",
+    "enrich_after_failure": f"""
+        SELECT place_id, md5(concat({_text(fv.SUMMARY_PROMPT)}, llm_input_context)) AS target_summary,
+               concat('refused ', max(md5(llm_input_context)) OVER ()) AS first_error,
+               count(*) OVER () AS n_summaries
+        FROM ({_contexts()})""",
     "completed_keys": f"SELECT DISTINCT place_id FROM ({_REVIEWS})",
     "chat_messages_json": f"SELECT place_id, {_MESSAGES} AS messages FROM ({_ANSWERED})",
     "jsonl_roundtrip": f"SELECT text FROM ({_RENDERED})",

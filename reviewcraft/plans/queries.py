@@ -377,6 +377,60 @@ def enrich_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jsonl.read_tolerant(spark, f"{work}/summaries", schemas.SUMMARIES, "place_id")
 
 
+def _fails_once(mark: str) -> enrichment.SummarizerFactory:
+    """A backend that refuses the contexts of one place."""
+
+    def factory() -> enrichment.Summarizer:
+        summarize = _fingerprint_backend()
+
+        def call(prompt: str, text: str) -> str:
+            if mark in hashlib.md5(text.encode()).hexdigest():
+                raise ValueError(f"refused {mark}")
+            return summarize(prompt, text)
+
+        return call
+
+    return factory
+
+
+def enrich_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A share of many parts through a backend: its summaries, and the number of parts."""
+    work = shared_folder(spark, "parts")
+    tables.write_parquet(build_context(spark, sf_dir), f"{work}/contexts")
+    policy = enrichment.CallPolicy(pause_seconds=0, concurrency=2, calls_per_task=2)
+    found = jobs.enrich(
+        spark, f"{work}/contexts", f"{work}/summaries", _fingerprint_backend, policy=policy
+    )
+    records = jsonl.read_strict(spark, f"{work}/summaries", schemas.SUMMARIES)
+    return records.withColumn("parts", F.lit(found["parts"]))
+
+
+def enrich_after_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that a refusal stops, and one that finishes; with the first run's error."""
+    work = shared_folder(spark, "failure")
+    tables.write_parquet(build_context(spark, sf_dir), f"{work}/contexts")
+    slots = min(4, spark.sparkContext.defaultParallelism)
+    policy = enrichment.CallPolicy(
+        pause_seconds=0, wait_seconds=0, concurrency=slots, calls_per_task=5
+    )
+    # the digest of one context that exists at every size
+    worst = (
+        tables.read_parquet(spark, f"{work}/contexts")
+        .agg(F.max(F.md5("llm_input_context")))
+        .first()[0]
+    )
+    paths = f"{work}/contexts", f"{work}/summaries"
+    first = jobs.enrich(spark, *paths, _fails_once(worst), policy=policy)
+    second = jobs.enrich(spark, *paths, _fingerprint_backend, policy=policy)
+    everything = first["succeeded"] + second["succeeded"]
+    return jsonl.read_strict(spark, paths[1], schemas.SUMMARIES).select(
+        "place_id",
+        "target_summary",
+        F.lit(first["first_error"]).alias("first_error"),
+        F.lit(everything).cast("long").alias("n_summaries"),
+    )
+
+
 def completed_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys from a JSON lines file in which every document's text is a broken line."""
     path = shared_folder(spark, "broken") + "/lines"
@@ -575,6 +629,8 @@ QUERIES: dict[str, Query] = {
     "enrich_with_backend": enrich_with_backend,
     "enrich_progress": enrich_progress,
     "enrich_resumed": enrich_resumed,
+    "enrich_parts": enrich_parts,
+    "enrich_after_failure": enrich_after_failure,
     "completed_keys": completed_keys,
     "chat_messages_json": chat_messages_json,
     "jsonl_roundtrip": jsonl_roundtrip,

@@ -79,6 +79,20 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in found]
 
 
+def list_files(spark: SparkSession, path: str) -> list[tuple[str, str, str]]:
+    """Data files in a folder: path, name as in an address, and a mark that changes with the file."""
+    if not path_exists(spark, path):
+        return []
+    found = []
+    for status in _file_system(spark, path).listStatus(_hadoop_path(spark, path)):
+        name = status.getPath().getName()
+        if status.isFile() and not name.startswith(("_", ".")):
+            mark = f"{name}:{status.getLen()}:{status.getModificationTime()}"
+            address = status.getPath().toUri().toASCIIString()
+            found.append((status.getPath().toString(), address.rsplit("/", 1)[-1], mark))
+    return sorted(found)
+
+
 def delete_path(spark: SparkSession, path: str) -> bool:
     return _file_system(spark, path).delete(_hadoop_path(spark, path), True)
 

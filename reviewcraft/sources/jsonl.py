@@ -12,14 +12,14 @@ CORRUPT = "_corrupt"
 
 
 def read_tolerant(
-    spark: SparkSession, path: str, schema: T.StructType, required: str | None = None
+    spark: SparkSession, path: str | list[str], schema: T.StructType, required: str | None = None
 ) -> DataFrame:
-    """Skip lines that are not JSON; a missing path is an empty table.
+    """Skip lines that are not JSON; a missing path, or no path, is an empty table.
 
     A proper record without the ``required`` field is an error: it would
     silently lose its identity.
     """
-    if not path_exists(spark, path):
+    if not path or (isinstance(path, str) and not path_exists(spark, path)):
         return spark.createDataFrame([], schema)
     with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType(), True)])
     parsed = (
