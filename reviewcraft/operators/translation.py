@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewcraft import fixed_values as fv
 from reviewcraft.functions import text as tx
+from reviewcraft.operators.ranking import ranked_in_groups
 
 logger = logging.getLogger(__name__)
 
@@ -20,9 +22,59 @@ Backend = Callable[[list[str], str, str], list[str]]
 BackendFactory = Callable[[], Backend]
 
 
+@dataclass(frozen=True)
+class BatchPolicy:
+    """What one call of a backend gets. Tokens are words here: runs between white space."""
+
+    texts: int = fv.TRANSLATION_BATCH
+    # longer texts, and longer translations, are cut after so many tokens; None: never
+    max_tokens: int | None = fv.TRANSLATION_MAX_TOKENS
+    # tokens of a call, counting each text as long as the longest one beside it
+    padded_tokens: int = fv.TRANSLATION_BATCH * fv.TRANSLATION_MAX_TOKENS
+
+
+def cut_tokens(text: str, most: int | None) -> tuple[str, int]:
+    """The text up to the end of its token number ``most``, and how many tokens it has then."""
+    if most is None:
+        return text, len(text.split())
+    parts = text.split(None, most)
+    if len(parts) <= most:
+        return text, len(parts)
+    return text[: len(text) - len(parts[most])].rstrip(), most
+
+
+def call_sizes(lengths: list[int], policy: BatchPolicy) -> Iterator[tuple[int, int]]:
+    """Runs ``(from, to)`` of texts in ascending order of their lengths, one for each call.
+
+    Neighbours are of like length, so little of a call is padding. A text above the budget
+    has a call of its own.
+    """
+    start = 0
+    for at, longest in enumerate(lengths):
+        n = at - start + 1
+        if at > start and (n > policy.texts or n * max(longest, 1) > policy.padded_tokens):
+            yield start, at
+            start = at
+    if lengths:
+        yield start, len(lengths)
+
+
 def _translator(
-    factory: BackendFactory, target_lang: str, translatable: frozenset[str], batch_size: int
+    factory: BackendFactory, target_lang: str, translatable: frozenset[str], policy: BatchPolicy
 ):
+    def translated(backend: Backend, texts: list[str], lang: str) -> list[str]:
+        cut = [cut_tokens(text, policy.max_tokens) for text in texts]
+        order = sorted(range(len(cut)), key=lambda i: cut[i][1])
+        result = [""] * len(texts)
+        for start, end in call_sizes([cut[i][1] for i in order], policy):
+            chosen = order[start:end]
+            done = backend([cut[i][0] for i in chosen], lang, target_lang)
+            if len(done) != len(chosen):
+                raise ValueError("translation backend changed the number of texts")
+            for i, text in zip(chosen, done, strict=True):
+                result[i] = cut_tokens(text, policy.max_tokens)[0]
+        return result
+
     @F.pandas_udf("string")
     def translate(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         backends: dict[str, Backend | None] = {}
@@ -40,12 +92,7 @@ def _translator(
                 if backend is None:
                     continue
                 rows = texts.index[(langs == lang) & texts.notna()]
-                for start in range(0, len(rows), batch_size):
-                    chunk = rows[start : start + batch_size]
-                    done = backend(texts.loc[chunk].tolist(), lang, target_lang)
-                    if len(done) != len(chunk):
-                        raise ValueError("translation backend changed the number of texts")
-                    result.loc[chunk] = done
+                result.loc[rows] = translated(backend, texts.loc[rows].tolist(), lang)
             yield result
 
     return translate
@@ -57,13 +104,14 @@ def translate_foreign(
     target_lang: str = fv.TARGET_LANGUAGE,
     backend: BackendFactory | None = None,
     translatable: Iterable[str] = fv.TRANSLATABLE_LANGUAGES,
-    batch_size: int = fv.TRANSLATION_BATCH,
+    policy: BatchPolicy = BatchPolicy(),
     lang_col: str = "detected_lang",
 ) -> DataFrame:
     """Add ``is_translated`` and ``cleaned_text``.
 
     Rows not in the target language are flagged translated whether or not the
-    backend could change them. Without a backend, text passes through. Only the
+    backend could change them. Without a backend, or without one for its language, text
+    passes through whole; what a backend gets and gives is cut as ``policy`` says. Only the
     text and language columns of foreign rows reach the Python workers.
     """
     foreign = F.col(lang_col) != F.lit(target_lang)
@@ -71,7 +119,7 @@ def translate_foreign(
     if backend is None:
         return df.withColumn("cleaned_text", F.col(text_col))
     translate = _translator(
-        backend, target_lang, frozenset(translatable) - {target_lang}, batch_size
+        backend, target_lang, frozenset(translatable) - {target_lang}, policy
     )
     translated = translate(F.when(F.col("is_translated"), F.col(text_col)), F.col(lang_col))
     return df.withColumn(
@@ -85,15 +133,14 @@ def frequency_glossary(
     """Pair the words of each language with the target's, rank by rank.
 
     A stand-in dictionary made from data alone: ``(lang, token, translation)``.
-    Counts are combined before the shuffle and the ranking sees one row per
-    distinct word.
+    Counts are combined before the shuffle; the distinct words of a language are ranked in
+    sorted ranges, not in one task.
     """
     words = corpus.select(
         F.col(lang_col).alias("lang"), F.explode(tx.tokens(F.col(text_col))).alias("token")
     )
     counts = words.groupBy("lang", "token").count()
-    order = Window.partitionBy("lang").orderBy(F.col("count").desc(), "token")
-    ranked = counts.withColumn("rank", F.row_number().over(order))
+    ranked = ranked_in_groups(counts, "lang", [F.col("count").desc(), F.col("token")])
     target = ranked.filter(F.col("lang") == target_lang).select(
         "rank", F.col("token").alias("translation")
     )
@@ -104,6 +151,14 @@ def frequency_glossary(
     )
 
 
+#: A glossary within these bounds goes to the Python workers whole.
+GLOSSARY_WORDS = 500_000
+GLOSSARY_BYTES = 32 << 20
+#: A word in more texts than this is dealt over so many groups of the join.
+HOT_WORD_TEXTS = 1_000_000
+HOT_WORD_GROUPS = 64
+
+
 def glossary_translate(
     df: DataFrame,
     glossary: DataFrame,
@@ -112,18 +167,67 @@ def glossary_translate(
     lang_col: str = "detected_lang",
     output_col: str = "translation",
 ) -> DataFrame:
-    """Word-by-word translation as a join; returns ``key_cols`` and ``output_col``.
+    """Word-by-word translation; returns ``key_cols`` and ``output_col``.
 
-    ``key_cols`` must identify a row. The glossary may be of any size: each text
-    looks up its distinct words only, and its word list meets their translations
-    again by its key, so no group is larger than a single text.
+    ``key_cols`` must identify a row. ``glossary`` should be a table. If it is small (checked
+    by count and bytes), the workers get it whole and texts are not shuffled. A larger one is
+    joined with the distinct words of each text, and hot words are dealt over many groups.
     """
+    n_words, n_bytes = glossary.agg(
+        F.count(F.lit(1)),
+        F.sum(F.octet_length(F.concat(F.col("token"), F.col("translation")))),
+    ).first()
+    if n_words <= GLOSSARY_WORDS and (n_bytes or 0) <= GLOSSARY_BYTES:
+        return _translate_in_workers(df, glossary, text_col, key_cols, lang_col, output_col)
+    return _translate_by_join(df, glossary, text_col, key_cols, lang_col, output_col)
+
+
+def _translate_in_workers(df, glossary, text_col, key_cols, lang_col, output_col) -> DataFrame:
+    found = glossary.select("lang", "token", "translation").toArrow()
+    words: dict[str, dict[str, str]] = {}
+    for lang, token, translation in zip(*(c.to_pylist() for c in found.columns), strict=True):
+        words.setdefault(lang, {})[token] = translation
+    shared = df.sparkSession.sparkContext.broadcast(words)
+
+    @F.pandas_udf("string")
+    def translate(texts: pd.Series, langs: pd.Series) -> pd.Series:
+        out = []
+        for text, lang in zip(texts, langs, strict=True):
+            # the white space of Python's split is that of ``tx.tokens``
+            tokens = None if text is None else text.split()
+            known = shared.value.get(lang)
+            if tokens and known:
+                tokens = map(known.get, tokens, tokens)
+            out.append(None if tokens is None else " ".join(tokens))
+        return pd.Series(out, dtype=object)
+
+    return df.select(*key_cols, translate(F.col(text_col), F.col(lang_col)).alias(output_col))
+
+
+def _translate_by_join(df, glossary, text_col, key_cols, lang_col, output_col) -> DataFrame:
+    """Each text looks up its distinct words, and meets their translations by its key."""
     split = df.select(
         *key_cols, F.col(lang_col).alias("lang"), tx.tokens(F.col(text_col)).alias("tokens")
     )
     wanted = split.select(*key_cols, "lang", F.explode(F.array_distinct("tokens")).alias("token"))
+    # at most one word in a million looked-up ones is here
+    hot = F.broadcast(
+        wanted.groupBy("lang", "token")
+        .count()
+        .filter(F.col("count") > HOT_WORD_TEXTS)
+        .select("lang", "token", F.lit(True).alias("hot"))
+    )
+    group = F.when(F.col("hot"), F.pmod(F.xxhash64(*key_cols), F.lit(HOT_WORD_GROUPS))).otherwise(0)
+    groups = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(HOT_WORD_GROUPS - 1))).otherwise(
+        F.array(F.lit(0))
+    )
+    dealt = wanted.join(hot, ["lang", "token"], "left").withColumn("group", group.cast("int"))
+    copied = glossary.join(hot, ["lang", "token"], "left").select(
+        "lang", "token", "translation", F.explode(groups).alias("group")
+    )
     found = (
-        wanted.join(glossary, ["lang", "token"])
+        dealt.drop("hot")
+        .join(copied, ["lang", "token", "group"])
         .groupBy(*key_cols)
         .agg(F.map_from_entries(F.collect_list(F.struct("token", "translation"))).alias("known"))
     )

@@ -312,6 +312,13 @@ _GLOSSARY = f"""
     FROM words LEFT JOIN glossary USING (lang, token) GROUP BY doc_id"""
 
 
+def _cut(expr: str) -> str:
+    """Up to the end of the last token that a translation model takes; shorter texts whole."""
+    most = fv.TRANSLATION_MAX_TOKENS
+    head = f"regexp_extract({expr}, {_text(f'^(?:[{fv.WHITESPACE_CLASS}]*{_NOT_WS}){{{most}}}')})"
+    return f"CASE WHEN len({_tokens(expr)}) > {most} THEN {head} ELSE {expr} END"
+
+
 def _documents(change: str, name: str = "text") -> str:
     return f"SELECT doc_id, {change} AS {name} FROM documents"
 
@@ -373,6 +380,12 @@ ORACLES: dict[str, str] = {
                     THEN concat('[', detected_lang, '>{TARGET}] ', cleaned_text)
                     ELSE cleaned_text END AS cleaned_text
         FROM ({_FLAGGED})""",
+    "translate_truncated": f"""
+        SELECT review_id, is_translated,
+               CASE WHEN detected_lang IN ({", ".join(map(_text, TRANSLATABLE))})
+                    THEN {_cut("concat('[', detected_lang, '>" + TARGET + "] ', " + _cut("cleaned_text") + ")")}
+                    ELSE cleaned_text END AS cleaned_text
+        FROM ({_FLAGGED})""",
     "translate_with_glossary": _GLOSSARY,
     "cleaned_pages": f"""
         SELECT page_id, review_text, raw_text, detected_lang,

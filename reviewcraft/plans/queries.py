@@ -170,6 +170,19 @@ def _tagging_backend() -> translation.Backend:
 
 
 def translate_with_backend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = reviews(spark, sf_dir).withColumnRenamed("cleaned_text", "review_text")
+    return translation.translate_foreign(
+        raw,
+        "review_text",
+        TARGET,
+        _tagging_backend,
+        TRANSLATABLE,
+        translation.BatchPolicy(max_tokens=None),
+    ).select("review_id", "is_translated", "cleaned_text")
+
+
+def translate_truncated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with texts and translations cut as a model of limited length does."""
     raw = reviews(spark, sf_dir).withColumnRenamed("cleaned_text", "review_text")
     return translation.translate_foreign(
         raw, "review_text", TARGET, _tagging_backend, TRANSLATABLE
@@ -604,6 +617,7 @@ QUERIES: dict[str, Query] = {
     "language_allow_list": language_allow_list,
     "translation_flags": translation_flags,
     "translate_with_backend": translate_with_backend,
+    "translate_truncated": translate_truncated,
     "translate_with_glossary": translate_with_glossary,
     "cleaned_pages": cleaned_pages,
     "resumable_clean": resumable_clean,

@@ -15,7 +15,7 @@ from reviewcraft.operators.finetune import render_chat, with_length_budget
 from reviewcraft.operators.language import LanguageDetector, allowed_languages, keep_languages
 from reviewcraft.operators.normalization import normalize_data
 from reviewcraft.operators.quality import filter_columns, quality_filter
-from reviewcraft.operators.translation import BackendFactory, translate_foreign
+from reviewcraft.operators.translation import BackendFactory, BatchPolicy, translate_foreign
 
 
 @dataclass(frozen=True)
@@ -24,6 +24,7 @@ class CleaningParams:
     target_lang: str = fv.TARGET_LANGUAGE
     translatable: Iterable[str] = fv.TRANSLATABLE_LANGUAGES
     backend: BackendFactory | None = None
+    batches: BatchPolicy = BatchPolicy()
 
 
 def clean_reviews(
@@ -54,6 +55,7 @@ def clean_reviews(
             params.target_lang,
             params.backend,
             params.translatable,
+            params.batches,
         )
     )
 

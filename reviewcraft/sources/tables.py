@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from reviewcraft.session import shared_folder
+
 
 def read_parquet(
     spark: SparkSession, path: str, schema: T.StructType | None = None
@@ -39,6 +41,13 @@ def count_rows(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """Written once to the shared folder and read back: its lineage ends there."""
+    path = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_parquet(df: DataFrame, path: str, max_records_per_file: int | None = None) -> None:
     """Replace ``path``. A record limit also sets the unit of an incremental run."""
     writer = df.write.mode("overwrite")

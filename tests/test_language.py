@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from reviewcraft.operators import language as lg
 from reviewcraft.operators import translation as tr
+from reviewcraft.operators.ranking import ranked_in_groups
 from reviewcraft.plans.stages import CleaningParams, clean_reviews
 
 DATA = "/root/testdata/sf0.001/documents.parquet"
@@ -138,3 +139,66 @@ def test_cleaning_stage(spark, documents, detector):
         assert r["is_translated"] == (r["detected_lang"] == "de")
         assert r["cleaned_text"].startswith("de-en:") == r["is_translated"]
         assert "<p>" in r["raw_text"] and "<p>" not in r["review_text"] and "http" not in r["review_text"]
+
+
+def test_texts_and_translations_are_cut():
+    assert tr.cut_tokens("a  b\tc d ", 2) == ("a  b", 2)
+    assert tr.cut_tokens(" a b ", 2) == (" a b ", 2)
+    assert tr.cut_tokens("", 2) == ("", 0)
+    assert tr.cut_tokens("a b c", None) == ("a b c", 3)
+
+
+def test_calls_hold_texts_of_like_length_within_a_budget():
+    policy = tr.BatchPolicy(texts=4, padded_tokens=20)
+    lengths = [0, 1, 1, 2, 2, 6, 6, 6, 30]
+    runs = list(tr.call_sizes(lengths, policy))
+    assert runs == [(0, 4), (4, 7), (7, 8), (8, 9)]
+    assert list(tr.call_sizes([], policy)) == []
+
+
+def test_order_of_texts_survives_sorted_calls(spark):
+    seen = []
+
+    def backend(texts, source, target):
+        sizes = [len(t.split()) for t in texts]
+        assert sizes == sorted(sizes) and len(texts) <= 3 and max(sizes) <= 5
+        return [t.upper() + " x y z" for t in texts]
+
+    rows = [(i, "w " * (i * 7 % 11) + f"t{i}", "en") for i in range(40)] + [(99, None, "en")]
+    df = spark.createDataFrame(rows, "id long, text string, detected_lang string").coalesce(1)
+    policy = tr.BatchPolicy(texts=3, max_tokens=5)
+    done = tr.translate_foreign(df, "text", "tr", lambda: backend, ["en"], policy)
+    for row in done.collect():
+        if row["text"] is not None:
+            words = " ".join(row["text"].split()[:5]).upper().split() + ["x", "y", "z"]
+            assert row["cleaned_text"].split() == words[:5]
+
+
+@pytest.mark.parametrize("hot", [1_000_000, 2])
+def test_large_glossaries_are_joined(spark, monkeypatch, hot):
+    """Both ways give the same, with hot words dealt over groups or not."""
+    rows = [(i, f"der hund {i} der  x{i % 7}\u00a0der", "de" if i % 5 else "fr") for i in range(60)]
+    rows += [(70, "", "de"), (71, None, "de"), (72, "der", None)]
+    df = spark.createDataFrame(rows, "id long, text string, detected_lang string")
+    words = [("de", "der", "the"), ("de", "hund", "dog"), ("fr", "x1", "un"), ("de", "x2", "zwei")]
+    glossary = spark.createDataFrame(words, "lang string, token string, translation string")
+    key = lambda d: sorted(map(tuple, d.collect()))
+    whole = key(tr.glossary_translate(df, glossary, "text", ["id"]))
+    monkeypatch.setattr(tr, "GLOSSARY_WORDS", 1)
+    monkeypatch.setattr(tr, "HOT_WORD_TEXTS", hot)
+    joined = tr.glossary_translate(df, glossary, "text", ["id"])
+    assert key(joined) == whole
+    assert whole[1] == (1, "the dog 1 the x1 the")
+
+
+def test_ranks_in_groups(spark):
+    rows = [("a" if i % 3 else "b", i * 37 % 101) for i in range(101)] + [(None, 5), (None, 5)]
+    df = spark.createDataFrame(rows, "g string, v long").repartition(6)
+    found = ranked_in_groups(df, "g", [F.col("v").desc()])
+    assert found.columns == ["g", "v", "rank"]
+    got = [tuple(r) for r in found.orderBy("g", "rank").collect()]
+    wanted = []
+    for g in (None, "a", "b"):
+        values = sorted((v for x, v in rows if x == g), reverse=True)
+        wanted += [(g, v, i) for i, v in enumerate(values, 1)]
+    assert got == wanted
