@@ -47,8 +47,8 @@ class CollocationParams:
     longest: int = 5
     least_count: int = 100
     top: int = 2000
-    #: Share of a language's occurrences that the first round expands; it doubles until a
-    #: score of the last rank is known.
+    #: Share of a language's occurrences that the first round expands; it grows fourfold until
+    #: a score of the last rank is known.
     first_share: float = 0.25
 
 
@@ -334,7 +334,7 @@ def collocations(
         if opened.isEmpty():
             if share >= 1:
                 break
-            share *= 2
+            share = min(4 * share, 1.0)
             continue
         scored = _expanded(coded, opened, frequent, state, params, filter_of)
         best = scored if best is None else best.unionByName(scored)
@@ -347,7 +347,7 @@ def collocations(
             F.when(F.count(F.lit(1)) >= params.top, F.min("score")).alias("last_score")
         )
         state = stored(state.drop("last_score", "done").join(last, "lang", "left"), "colloc-state")
-        share = min(2 * share, 1.0)
+        share = min(4 * share, 1.0)
     return _ranked(best, frequent, params) if best is not None else _nothing(spark)
 
 
