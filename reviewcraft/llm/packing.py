@@ -5,10 +5,9 @@ into pieces, all full but perhaps the first. Full pieces are sequences of their
 others are dealt into blocks of bounded size. Each block is solved by several islands. An
 island keeps a population of packings; crossover injects whole well-filled bins of one
 parent into the other, drops the bins that hold the same pieces, and best-fits the displaced
-pieces. Between epochs each island's elite moves to the next island of its block. Pieces in
-bins that are not well filled go into fewer, new blocks until one block has them all, or until a
-round has kept over 0.8 of the pieces of the one before: then each block keeps its own
-part-filled bins.
+pieces. An epoch lasts until its search stops improving. Between epochs each island's elite
+moves to the next island of its block. The emptiest bins of every block, with half of its
+pieces at most, go into common new blocks, round after round until one block holds them all.
 """
 
 from __future__ import annotations
@@ -37,7 +36,10 @@ class PackingParams:
     islands: int = 2
     population: int = 4
     epochs: int = 2
-    generations: int = 3
+    #: An epoch ends after so many generations without a better packing, or at the bound of
+    #: the sum of lengths, or after ``generations``.
+    patience: int = 4
+    generations: int = 400
     #: Bins with at most so many free tokens count as well filled.
     slack: int = 8
     seed: int = 7
@@ -158,8 +160,9 @@ def evolve(
         begun = best_fit_decreasing(lengths, early, [], cap)
         population.append(best_fit_decreasing(lengths, list(late), begun, cap))
     population.sort(key=lambda p: fitness(lengths, p, cap), reverse=True)
+    best, waited = fitness(lengths, population[0], cap), 0
     for _ in range(params.generations):
-        if len(population[0]) <= least:
+        if len(population[0]) <= least or waited >= params.patience:
             break
         a, b = rng.choice(len(population), 2, replace=False)
         better, worse = sorted((int(a), int(b)))
@@ -168,6 +171,9 @@ def evolve(
         if fitness(lengths, child, cap) >= fitness(lengths, population[-1], cap):
             population[-1] = child
             population.sort(key=lambda p: fitness(lengths, p, cap), reverse=True)
+        found = fitness(lengths, population[0], cap)
+        waited = 0 if found > best else waited + 1
+        best = found
     return _as_numbers(population[0], len(lengths))
 
 
@@ -213,7 +219,7 @@ def tokenized_pieces(
 
 
 def _solve_blocks(pieces: DataFrame, n_blocks: int, salt: int, params: PackingParams) -> DataFrame:
-    """``uid``, ``length``, ``bin`` and ``gap`` of all pieces, packed block by block."""
+    """``block``, ``uid``, ``length``, ``bin`` and ``gap`` of all pieces, packed block by block."""
     spark = pieces.sparkSession
     n_tasks = min(n_blocks * params.islands, tasks_for(spark, n_blocks * params.islands, 2))
     dealt = pieces.select(
@@ -281,6 +287,7 @@ def _solve_blocks(pieces: DataFrame, n_blocks: int, salt: int, params: PackingPa
     rows = best.select(
         "block", F.explode(F.arrays_zip("b.uids", "b.lengths", "b.bins")).alias("r")
     ).select(
+        "block",
         F.col("r.uids").alias("uid"),
         F.col("r.lengths").alias("length"),
         # Named after the smallest uid of the bin, which no other bin has.
@@ -305,17 +312,26 @@ def assign_sequences(pieces: DataFrame, params: PackingParams | None = None) ->
         "uid", F.col("uid").alias("sequence_id"), F.lit(0).cast("long").alias("offset")
     )
     loose, settled = pieces.filter(F.col("length") < params.capacity).select("uid", "length"), []
-    count, salt, last = loose.count(), 0, None
+    count, salt = loose.count(), 0
     while count:
         n_blocks = -(-count // params.block_pieces)
         packed = _solve_blocks(loose, n_blocks, salt, params)
-        done = n_blocks == 1 or (last is not None and count > 0.8 * last)
-        rest = packed.filter(F.col("gap") > params.slack)
-        settled.append(packed if done else packed.filter(F.col("gap") <= params.slack))
-        if done:
+        if n_blocks == 1:
+            settled.append(packed)
             break
-        last, salt = count, salt + 1
-        loose, count = rest.select("uid", "length"), rest.count()
+        # Bins by their gaps, with the pieces up to each: half of a block's pieces go on at most,
+        # so every round has half the blocks of the one before.
+        emptiest = Window.partitionBy("block").orderBy(F.desc("gap"), "bin")
+        everything = Window.partitionBy("block")
+        marked = packed.withColumn(
+            "goes_on",
+            (F.col("gap") > params.slack)
+            & (2 * F.count(F.lit(1)).over(emptiest) <= F.count(F.lit(1)).over(everything)),
+        )
+        marked = stored(marked, "marked-bins")
+        settled.append(marked.filter("NOT goes_on"))
+        loose = marked.filter("goes_on").select("uid", "length")
+        count, salt = loose.count(), salt + 1
     placed = full
     order = Window.partitionBy("bin").orderBy("uid").rowsBetween(Window.unboundedPreceding, -1)
     for packed in settled:

@@ -5,7 +5,8 @@ characters, so the ids of a text are the ids of its first word followed by the i
 of every later word with its leading space. Words recur, so their ids are kept in
 the worker; words that are not there are encoded together. Texts for which the rule
 does not hold (white space next to white space or at an end, or the text of a
-special token) go to the library whole.
+special token) go to the library whole. Words of many texts are told apart in one
+Arrow dictionary, so Python handles distinct words only.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ import os
 import re
 
 import numpy as np
+import pyarrow as pa
 
 _BESIDE = re.compile(r"\s\s")
 #: How the vocabulary writes the space byte.
@@ -22,7 +24,7 @@ _SPACE_MARK = "Ġ"
 
 
 class WordMemo:
-    def __init__(self, path: str, kept_words: int = 500_000, words_per_call: int = 2_000):
+    def __init__(self, path: str, kept_words: int = 500_000, words_per_call: int = 256):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -32,12 +34,13 @@ class WordMemo:
         self.opens_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.opens_word[[i for t, i in vocabulary.items() if t.startswith(_SPACE_MARK)]] = True
         self.kept_words, self.words_per_call = kept_words, words_per_call
-        self.memory: dict[str, bytes] = {}
+        #: ids by word, with the space after it
+        self.memory: dict[bytes, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
-        return np.array(
-            self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4"
-        ).tobytes()
+        # the fast form leaves out the places of tokens in the text
+        (found,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        return np.array(found.ids, dtype="<u4").tobytes()
 
     def _regular(self, text: str) -> bool:
         return not (
@@ -63,23 +66,64 @@ class WordMemo:
             )
         return found
 
+    def _ids_of_words(self, words: list[bytes]) -> list[bytes]:
+        """Ids of distinct words with their leading space, from the memory or the library."""
+        out = list(map(self.memory.get, words))
+        missing = [i for i, ids in enumerate(out) if ids is None]
+        if missing:
+            texts = [words[i][:-1].decode() for i in missing]
+            new = self._new_words(texts)
+            for i, text in zip(missing, texts, strict=True):
+                out[i] = new[text]
+            if len(self.memory) + len(missing) <= self.kept_words:
+                self.memory.update((words[i], out[i]) for i in missing)
+        return out
+
+    def _by_words(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of regular texts: distinct words are looked up, their ids gathered at once."""
+        buffer = b" ".join(texts) + b" "
+        spaces = np.flatnonzero(np.frombuffer(buffer, dtype=np.uint8) == ord(" "))
+        offsets = np.concatenate(([0], spaces + 1))
+        # each word with the space after it, as the column then lies in one piece
+        column = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(spaces), [None, pa.py_buffer(offsets), pa.py_buffer(buffer)]
+        ).dictionary_encode()
+        words = column.dictionary.to_pylist()
+        codes = column.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        ends = np.searchsorted(spaces, np.cumsum([len(t) + 1 for t in texts]) - 1) + 1
+        at_start = np.concatenate(([0], ends[:-1]))
+        first, place = np.unique(codes[at_start], return_inverse=True)
+        later = np.ones(len(codes), dtype=bool)
+        later[at_start] = False
+        used = np.flatnonzero(np.bincount(codes[later], minlength=len(words)))
+        table = self._ids_of_words([words[c] for c in used.tolist()])
+        entry = np.empty(len(words), dtype=np.int64)
+        entry[used] = np.arange(len(used))
+        codes = entry[codes]
+        # first words have no space before them and are entries of their own
+        codes[at_start] = len(table) + place
+        table += [self._whole(words[c][:-1].decode()) for c in first.tolist()]
+        lengths = np.array(list(map(len, table)), dtype=np.int64) // 4
+        known = np.frombuffer(b"".join(table), dtype="<u4")
+        starts = np.cumsum(lengths) - lengths
+        n = lengths[codes]
+        upto = np.cumsum(n)
+        ids = known[np.repeat(starts[codes] - upto + n, n) + np.arange(upto[-1])].tobytes()
+        cuts = [0, *(4 * upto[ends - 1]).tolist()]
+        return [ids[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        split = [t.split(" ") if self._regular(t) else None for t in texts]
-        later = [words[1:] for words in split if words]
-        memory = self.memory
-        new = self._new_words(list(set().union(*later).difference(memory)))
-        memory.update(new)
-        out = []
-        for text, words in zip(texts, split, strict=True):
-            if words is None:
-                out.append(self._whole(text) if text else b"")
-            else:
-                first = self._whole(words[0])
-                out.append(first + b"".join(map(memory.__getitem__, words[1:])))
-        if len(memory) > self.kept_words:
-            for word in new:
-                del memory[word]
+        regular = [i for i, text in enumerate(texts) if self._regular(text)]
+        out = [b""] * len(texts)
+        if regular:
+            found = self._by_words([texts[i].encode() for i in regular])
+            for i, ids in zip(regular, found, strict=True):
+                out[i] = ids
+        others = set(range(len(texts))).difference(regular)
+        for i in others:
+            if texts[i]:
+                out[i] = self._whole(texts[i])
         return out
 
 

@@ -141,3 +141,78 @@ def test_genetic_search_beats_a_bad_start():
     params = packing.PackingParams(capacity=100, generations=60)
     found = packing.evolve(lengths, [worst], 3, params)
     assert len(set(found.tolist())) == sum(lengths) // 100
+
+
+def triplets(seed, n=20, capacity=1000):
+    """Lengths of ``n`` full bins of three, in any order."""
+    rng = np.random.default_rng(seed)
+    lengths = []
+    for _ in range(n):
+        a = int(rng.integers(380, 490))
+        b = int(rng.integers(250, (capacity - a) // 2))
+        lengths += [a, b, capacity - a - b]
+    return [lengths[i] for i in rng.permutation(len(lengths))]
+
+
+def test_search_beats_best_fit_decreasing():
+    better = 0
+    for seed in range(6):
+        lengths = triplets(seed)
+        plain = len(packing.best_fit_decreasing(lengths, list(range(60)), [], 1000))
+        params = packing.PackingParams(capacity=1000, patience=40)
+        found = len(set(packing.evolve(lengths, [], seed, params).tolist()))
+        assert 20 <= found <= plain
+        better += found < plain
+    assert better >= 4
+
+
+def smallest_number_of_bins(lengths, capacity):
+    """By trying everything: pieces in descending order into every bin or a new one."""
+    lengths = sorted(lengths, reverse=True)
+    best = len(lengths)
+
+    def place(at, bins):
+        nonlocal best
+        if len(bins) >= best:
+            return
+        if at == len(lengths):
+            best = len(bins)
+            return
+        for i in range(len(bins)):
+            if bins[i] + lengths[at] <= capacity and bins[i] not in bins[:i]:
+                bins[i] += lengths[at]
+                place(at + 1, bins)
+                bins[i] -= lengths[at]
+        bins.append(lengths[at])
+        place(at + 1, bins)
+        bins.pop()
+
+    place(0, [])
+    return best
+
+
+def test_about_as_few_sequences_as_by_trying_everything():
+    """A search without proof: the least number nearly always, never two more."""
+    rng, more = np.random.default_rng(5), 0
+    for _ in range(12):
+        lengths = rng.integers(10, 70, 11).tolist()
+        params = packing.PackingParams(capacity=100, patience=60)
+        found = len(set(packing.evolve(lengths, [], 1, params).tolist()))
+        least = smallest_number_of_bins(lengths, 100)
+        assert least <= found <= least + 1
+        more += found > least
+    assert more <= 2
+
+
+def test_rounds_go_on_to_one_block(spark):
+    """Pieces that cannot share a sequence with each other, and small ones for the gaps."""
+    rng = np.random.default_rng(3)
+    lengths = [*rng.integers(1100, 2000, 700).tolist(), *rng.integers(40, 900, 500).tolist()]
+    rows = [(i, int(n)) for i, n in enumerate(lengths)]
+    pieces = spark.createDataFrame(rows, "uid long, length int")
+    counts = {}
+    for block in (4096, 64):
+        found = packing.assign_sequences(pieces, packing.PackingParams(block_pieces=block)).collect()
+        assert sorted(r["uid"] for r in found) == list(range(1200))
+        counts[block] = check_packing(found, 2048)
+    assert counts[64] <= 1.02 * counts[4096]
