@@ -64,6 +64,27 @@ def place_counts(df: DataFrame, min_reviews: int = fv.MIN_REVIEWS_PER_PLACE) ->
     )
 
 
+#: Registers of a sketch are 2 to this power; its standard error is 1.04 / sqrt of their number.
+SKETCH_BITS = 14
+
+
+def place_sketches(df: DataFrame, *by: str) -> DataFrame:
+    """A sketch of the distinct places of each group ``by`` (a run, a day), to be stored.
+
+    Sketches of a few kilobytes take the place of the reviews: those of any runs merge into
+    that of all of them, without reading a review again.
+    """
+    sketch = F.hll_sketch_agg(F.col("place_id").cast("string"), F.lit(SKETCH_BITS))
+    return df.filter(F.col("place_id").isNotNull()).groupBy(*by).agg(sketch.alias("places"))
+
+
+def approx_places(sketches: DataFrame, *by: str) -> DataFrame:
+    """Estimated number of distinct places over all sketches, or for each group ``by``."""
+    return sketches.groupBy(*by).agg(
+        F.hll_sketch_estimate(F.hll_union_agg("places")).alias("approx_places")
+    )
+
+
 def filter_min_reviews(
     df: DataFrame, min_reviews: int = fv.MIN_REVIEWS_PER_PLACE
 ) -> DataFrame:

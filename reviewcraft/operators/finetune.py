@@ -146,3 +146,46 @@ def with_length_budget(
     return df.withColumn("approx_tokens", estimate).withColumn(
         "fits", F.col("approx_tokens") <= max_tokens
     )
+
+
+def fit_messages(
+    messages: Column, max_tokens: int = fv.MAX_SEQ_LENGTH, chars_per_token: float = 4.0
+) -> Column:
+    """The messages with the longest contents cut until the rendered text fits the budget.
+
+    Number, order and roles of the turns stay. Contents longer than a common length are cut to
+    it: a fold over the turns from the shortest on leaves those whole that need less than
+    their share of what is left. If the tags alone are too long, all contents are empty.
+    """
+    length = lambda m: F.coalesce(F.length(m.getField("content")), F.lit(0))
+    lengths = F.array_sort(F.transform(messages, length))
+    total = F.aggregate(lengths, F.lit(0), lambda a, n: a + n)
+    tags = F.length(render_chat(messages)) - total
+    room = F.greatest(F.lit(int(max_tokens * chars_per_token)) - tags, F.lit(0))
+
+    def keep_whole(state: Column, n: Column) -> Column:
+        """Goes on while the next turn needs no more than its share; else settles the level."""
+        left, turns, level = (state.getField(x) for x in ("left", "turns", "level"))
+        fits = level.isNull() & (n * turns <= left)
+        settled = F.when(level.isNull() & ~fits, F.floor(left / turns).cast("int")).otherwise(level)
+        return F.struct(
+            F.when(fits, left - n).otherwise(left).alias("left"),
+            F.when(fits, turns - 1).otherwise(turns).alias("turns"),
+            settled.alias("level"),
+        )
+
+    start = F.struct(
+        room.cast("int").alias("left"),
+        F.size(messages).alias("turns"),
+        F.lit(None).cast("int").alias("level"),
+    )
+    level = F.aggregate(lengths, start, keep_whole, lambda state: state.getField("level"))
+
+    def cut(m: Column) -> Column:
+        content = m.getField("content")
+        short = F.when(F.length(content) > level, F.substring(content, F.lit(1), level))
+        return F.struct(
+            m.getField("role").alias("role"), F.coalesce(short, content).alias("content")
+        )
+
+    return F.transform(messages, cut)

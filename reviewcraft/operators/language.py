@@ -13,12 +13,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewcraft import fixed_values as fv
 from reviewcraft.functions import text as tx
 from reviewcraft.functions.grams import count_word_grams, framed_codes, letters_only, text_grams
+from reviewcraft.sources import tables
 
 # characters scored at a time by one task, unless a single text is longer
 _SLICE_CHARS = 1 << 18
@@ -92,7 +93,7 @@ class LanguageDetector:
 
         Grams are up to three letters, so their number is that of an alphabet's
         letter sequences and levels off. A profile that is too large is an error
-        rather than cut: every gram counts.
+        rather than cut: every gram counts, and ``SlicedDetector`` takes it.
         """
         weights = profile.count()
         if weights > MAX_WEIGHTS:
@@ -102,15 +103,15 @@ class LanguageDetector:
         return cls(list(table.columns), table.index.to_numpy(), table.to_numpy().T.copy())
 
     @classmethod
-    def load(cls, spark: SparkSession, path: str) -> LanguageDetector:
-        return cls.from_profile(spark.read.parquet(path))
+    def load(cls, spark: SparkSession, path: str) -> LanguageDetector | SlicedDetector:
+        """The stored profile, shared as a whole if its size allows, else slice by slice."""
+        profile = spark.read.parquet(path)
+        return cls.from_profile(profile) if profile.count() <= MAX_WEIGHTS else SlicedDetector(profile)
 
     def detect(
         self, df: DataFrame, text_col: str, output_col: str = "detected_lang"
     ) -> DataFrame:
         """Add the most likely language; texts without known grams are ``unknown``."""
-        text = F.col(text_col).cast("string")
-        detectable = F.length(tx.strip(text)) >= fv.MIN_DETECTABLE_CHARS
         shared = df.sparkSession.sparkContext.broadcast(
             (self.languages, self.grams, self.weights)
         )
@@ -122,25 +123,107 @@ class LanguageDetector:
             for texts in batches:
                 yield pd.Series(names[_best_language(texts.tolist(), grams, weights)])
 
-        scored = label(F.when(detectable, letters_only(text)).otherwise(""))
-        return df.withColumn(output_col, scored)
+        return df.withColumn(output_col, label(_detectable_letters(text_col)))
+
+
+class SlicedDetector:
+    """A profile of any size, as a table of ``gram, lang, weight``.
+
+    Its grams are dealt into slices small enough to share. Each slice scores all texts by itself
+    and leaves a few sums for each; these are added up by row. Labels are those of
+    ``LanguageDetector``. Texts are read once a slice and never shuffled. Batches only:
+    the sums of a row meet in a shuffle that a stream does not have.
+    """
+
+    def __init__(self, profile: DataFrame, max_weights: int | None = None) -> None:
+        self.profile = profile
+        self.languages = sorted(r["lang"] for r in profile.select("lang").distinct().collect())
+        weights = profile.count()
+        self.slices = max(1, -(-weights // max(1, max_weights or MAX_WEIGHTS)))
+
+    def _slice(self, number: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ascending grams and a row of weights for each language."""
+        part = self.profile.filter(F.pmod(F.xxhash64("gram"), F.lit(self.slices)) == number)
+        table = part.toPandas().pivot(index="gram", columns="lang", values="weight").sort_index()
+        table = table.reindex(columns=self.languages, fill_value=0)
+        return table.index.to_numpy(dtype=np.int64), table.to_numpy(dtype=np.int64).T.copy()
+
+    def detect(
+        self, df: DataFrame, text_col: str, output_col: str = "detected_lang"
+    ) -> DataFrame:
+        """Add the most likely language; texts without known grams are ``unknown``."""
+        if df.isStreaming:
+            raise ValueError(f"a profile above {MAX_WEIGHTS} weights needs a batch, not a stream")
+        spark = df.sparkSession
+        rows = tables.stored(df.withColumn("_row", F.monotonically_increasing_id()), "detected-rows")
+        letters = rows.select("_row", _detectable_letters(text_col).alias("letters"))
+        names = [f"score{i}" for i in range(len(self.languages))]
+        schema = ", ".join(f"{n} long" for n in ("_row", "hits", *names))
+        partial = None
+        for number in range(self.slices):
+            grams, weights = self._slice(number)
+            if not len(grams):
+                continue
+            shared = spark.sparkContext.broadcast((grams, weights))
+
+            def score(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+                for batch in batches:
+                    hits, scores = _sums(batch["letters"].tolist(), *shared.value)
+                    columns = dict(zip(names, scores, strict=True))
+                    yield pd.DataFrame({"_row": batch["_row"], "hits": hits, **columns})
+
+            # stored before the next slice is shared, so that one is held at a time
+            found = tables.stored(letters.mapInPandas(score, schema), "detected-sums")
+            shared.destroy()
+            partial = found if partial is None else partial.unionByName(found)
+        if partial is None:
+            return rows.drop("_row").withColumn(output_col, F.lit(fv.UNKNOWN_LANGUAGE))
+        sums = partial.groupBy("_row").agg(*(F.sum(n).alias(n) for n in ("hits", *names)))
+        best = F.greatest(*names) if len(names) > 1 else F.col(names[0])
+        label = F.coalesce(
+            *(F.when(F.col(n) == best, F.lit(lang)) for n, lang in zip(names, self.languages, strict=True))
+        )
+        labels = sums.select(
+            "_row",
+            F.when(F.col("hits") > 0, label).otherwise(fv.UNKNOWN_LANGUAGE).alias(output_col),
+        )
+        kept = rows.drop(output_col) if output_col in df.columns else rows
+        return kept.join(labels, "_row").drop("_row")
+
+
+def _detectable_letters(text_col: str) -> Column:
+    text = F.col(text_col).cast("string")
+    detectable = F.length(tx.strip(text)) >= fv.MIN_DETECTABLE_CHARS
+    return F.when(detectable, letters_only(text)).otherwise("")
 
 
 def _best_language(texts: list[str], grams: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """Row of ``weights`` with the highest score for each text, ``len(weights)`` if none."""
-    best = np.full(len(texts), len(weights))
+    hits, scores = _sums(texts, grams, weights)
+    return np.where(hits > 0, scores.argmax(axis=0), len(weights))
+
+
+def _sums(
+    texts: list[str], grams: np.ndarray, weights: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Number of known grams of each text, and their weights summed for each language."""
+    hits = np.zeros(len(texts), dtype=np.int64)
+    scores = np.zeros((len(weights), len(texts)), dtype=np.int64)
     start = 0
     while start < len(texts):
         stop, size = start + 1, len(texts[start])
         while stop < len(texts) and size + len(texts[stop]) <= _SLICE_CHARS:
             size += len(texts[stop])
             stop += 1
-        best[start:stop] = _score_slice(texts[start:stop], grams, weights)
+        part = slice(start, stop)
+        hits[part], scores[:, part] = _score_slice(texts[part], grams, weights)
         start = stop
-    return best
+    return hits, scores
 
 
-def _score_slice(texts: list[str], grams: np.ndarray, weights: np.ndarray) -> np.ndarray:
+def _score_slice(
+    texts: list[str], grams: np.ndarray, weights: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
     lengths = [len(text) + 2 for text in texts]
     starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
     scores = np.zeros((len(weights), len(texts)), dtype=np.int64)
@@ -152,7 +235,7 @@ def _score_slice(texts: list[str], grams: np.ndarray, weights: np.ndarray) -> np
         hits += np.add.reduceat(known, starts, dtype=np.int64)
         for i, weight in enumerate(weights):
             scores[i] += np.add.reduceat(np.where(known, weight[found], 0), starts)
-    return np.where(hits > 0, scores.argmax(axis=0), len(weights))
+    return hits, scores
 
 
 def allowed_languages(

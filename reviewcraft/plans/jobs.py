@@ -12,6 +12,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reviewcraft import fixed_values as fv
 from reviewcraft import schemas
@@ -19,7 +20,6 @@ from reviewcraft.operators import completed
 from reviewcraft.operators import enrichment as en
 from reviewcraft.operators import finetune as ft
 from reviewcraft.operators import inspection
-from reviewcraft.operators.cleaning import remove_nulls
 from reviewcraft.operators.context import ContextParams, build_context, place_counts, with_review_id
 from reviewcraft.operators.language import DetectorParams, LanguageDetector, train_profile
 from reviewcraft.plans.stages import CleaningParams, clean_reviews, curate_reviews, training_text
@@ -60,8 +60,10 @@ def clean(
 
     ``work`` holds the progress and must stay the same between the runs. The
     unit of progress is an input file, see ``tables.write_parquet``. The
-    batches are the cleaned table; with ``compact`` they are staged, written
-    once more as one table, and the work folder is deleted.
+    batches are the cleaned table; with ``compact`` they are staged, made one
+    table (only small files are written again), and the work folder is deleted.
+    Counts are those that the batches observed, of this run and the earlier ones;
+    raw files are not read for them.
     """
     schema = spark.read.parquet(raw).schema
     detector = LanguageDetector.load(spark, model)
@@ -74,21 +76,24 @@ def clean(
         staging,
         f"{work}/progress",
         max_files_per_batch,
+        f"{work}/metrics",
     )
+    found = incremental.batch_metrics(spark, f"{work}/metrics")
     if compact:
         incremental.combine(spark, staging, cleaned)
         incremental.drop_work(spark, work)
-    rows = spark.read.schema(schema).parquet(raw)
-    total = tables.count_rows(rows).first()["n_rows"]
-    filled = tables.count_rows(remove_nulls(rows, params.text_col)).first()["n_rows"]
-    kept = tables.count_rows(spark.read.parquet(cleaned)).first()["n_rows"]
+    total, filled, foreign = (
+        sum(row[name] for row in found)
+        for name in ("rows_in", "non_blank_rows", "other_language_rows")
+    )
     return {
         "batches": batches,
+        "measured_batches": len(found),
         "rows_in": total,
-        "rows_out": kept,
-        "removed": total - kept,
+        "rows_out": filled - foreign,
+        "removed": total - filled + foreign,
         "removed_blank": total - filled,
-        "removed_language": filled - kept,
+        "removed_language": foreign,
     }
 
 
@@ -193,21 +198,28 @@ def prepare_chat(
 ) -> Metrics:
     """Summaries to train and test files of chat messages, split on the place.
 
-    Every record becomes an example; those of one place are on the same side.
-    Only records that equal another in full, as a replayed append leaves them,
-    count once.
+    Every record becomes an example, equal ones too; those of one place are on the same side.
+    Records are read, split and stored once; both files are written from there.
     """
-    records = jsonl.read_strict(spark, summaries_path, schemas.SUMMARIES).dropDuplicates()
+    records = jsonl.read_strict(spark, summaries_path, schemas.SUMMARIES)
     examples = ft.to_chat_examples(records, "place_id")
-    train, test = ft.train_test_split(examples, "place_id", test_size, exact=exact)
-    metrics = {}
-    for name, part, path in (("train", train, train_path), ("test", test, test_path)):
-        written = Observation(name)
-        rows = part.select("messages").observe(written, F.count(F.lit(1)).alias("n"))
-        jsonl.overwrite(rows, path)
-        metrics[name] = written.get["n"]
+    marked = ft.mark_test_rows(examples, "place_id", test_size, exact=exact)
+    staged = shared_folder(spark, "chat-sides")
+    counts = Observation()
+    marked.select("messages", "is_test").observe(
+        counts,
+        F.count_if(~F.col("is_test")).alias("train"),
+        F.count_if("is_test").alias("test"),
+    ).write.partitionBy("is_test").parquet(staged)
+    metrics = {"train": counts.get["train"], "test": counts.get["test"]}
     if not metrics["train"]:
+        delete_path(spark, staged)
         raise ValueError(f"test_size {test_size} leaves no training examples")
+    schema = T.StructType([*schemas.CHAT_EXAMPLES.fields, T.StructField("is_test", T.BooleanType())])
+    sides = spark.read.schema(schema).parquet(staged)
+    for is_test, path in ((False, train_path), (True, test_path)):
+        jsonl.overwrite(sides.filter(F.col("is_test") == is_test).select("messages"), path)
+    delete_path(spark, staged)
     return metrics
 
 

@@ -319,6 +319,38 @@ def _cut(expr: str) -> str:
     return f"CASE WHEN len({_tokens(expr)}) > {most} THEN {head} ELSE {expr} END"
 
 
+#: Aggregate over the turns of a chat: its template text.
+_RENDERED_TURNS = f"""string_agg(concat({_text(fv.CHAT_TURN_START)}, role, chr(10), content,
+    {_text(fv.CHAT_TURN_END)}, chr(10)), '' ORDER BY turn)"""
+
+
+def _fitted(turns: str, key: str, tokens: int) -> str:
+    """Turns (key, turn, role, content) with long contents cut to a level common to a key.
+
+    In ascending order of length, a turn stays whole while it needs no more than its share
+    of the room that the shorter ones left; the share of the first that needs more is
+    the level. Shares only shrink from there on, so it is the largest of them.
+    """
+    tags = len(fv.CHAT_TURN_START + "\n" + fv.CHAT_TURN_END + "\n")
+    return f"""
+    SELECT {key}, turn, role,
+           CASE WHEN length(content) > level THEN substring(content, 1, level) ELSE content END AS content
+    FROM (
+        SELECT *, max(CASE WHEN n * turns > room THEN room // turns END)
+                      OVER (PARTITION BY {key}) AS level
+        FROM (
+            SELECT *, greatest({4 * tokens} - tags, 0) - shorter AS room, all_turns - place AS turns
+            FROM (
+                SELECT *, length(content) AS n,
+                       sum({tags} + length(role)) OVER (PARTITION BY {key}) AS tags,
+                       count(*) OVER (PARTITION BY {key}) AS all_turns,
+                       row_number() OVER (PARTITION BY {key} ORDER BY length(content), turn) - 1 AS place,
+                       coalesce(sum(length(content)) OVER (
+                           PARTITION BY {key} ORDER BY length(content), turn
+                           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS shorter
+                FROM ({turns}))))"""
+
+
 def _documents(change: str, name: str = "text") -> str:
     return f"SELECT doc_id, {change} AS {name} FROM documents"
 
@@ -339,6 +371,10 @@ ORACLES: dict[str, str] = {
                count(*) FILTER (n >= {fv.MIN_REVIEWS_PER_PLACE}) AS kept_places,
                count(*) FILTER (n < {fv.MIN_REVIEWS_PER_PLACE}) AS removed_places
         FROM (SELECT count(*) AS n FROM ({_REVIEWS}) GROUP BY place_id)""",
+    "approx_place_counts": f"""
+        SELECT category, count(DISTINCT place_id) AS n_places, true AS close
+        FROM (SELECT place_id, category FROM ({_REVIEWS})
+              UNION ALL SELECT place_id, 'all' FROM ({_REVIEWS})) GROUP BY category""",
     "min_reviews_filter": f"""
         SELECT review_id, place_id, rating FROM ({_REVIEWS})
         QUALIFY count(*) OVER (PARTITION BY place_id) >= {fv.MIN_REVIEWS_PER_PLACE}""",
@@ -460,6 +496,38 @@ ORACLES: dict[str, str] = {
         SELECT place_id, CAST(ceil(length(text) / 4.0) AS BIGINT) AS approx_tokens,
                ceil(length(text) / 4.0) <= 256 AS fits
         FROM ({_RENDERED})""",
+    "length_budget_cut": f"""
+        SELECT place_id, text, CAST(ceil(length(text) / 4.0) AS BIGINT) AS approx_tokens,
+               ceil(length(text) / 4.0) <= 256 AS fits
+        FROM (SELECT place_id, {_RENDERED_TURNS} AS text
+              FROM ({_fitted(f"""
+                  SELECT place_id, 0 AS turn, 'system' AS role, {_text(fv.CHAT_SYSTEM_PROMPT)} AS content
+                  FROM ({_ANSWERED})
+                  UNION ALL SELECT place_id, 1, 'user', concat({_text(fv.CHAT_USER_PREFIX)}, input_context)
+                  FROM ({_ANSWERED})
+                  UNION ALL SELECT place_id, 2, 'assistant', target_summary FROM ({_ANSWERED})""",
+                  "place_id", 256)}) GROUP BY place_id)""",
+    "conversations_cut": f"""
+        SELECT conv_id, string_agg(length(content), ',' ORDER BY turn) AS lengths
+        FROM ({_fitted("SELECT conv_id, turn, role, text AS content FROM conversations", "conv_id", 200)})
+        GROUP BY conv_id""",
+    "detect_by_slices": f"""
+        SELECT doc_id, lang, detected_lang
+        FROM ({_detected("SELECT doc_id, lang, text FROM documents", "doc_id", "text")})""",
+    "clean_metrics": f"""
+        WITH c AS (
+            SELECT count(*) AS n_in, count(*) FILTER (detected_lang IN ({_ALLOWED})) AS n_out
+            FROM ({_detected(_RAW_CLEAN, "review_id", "review_text")})),
+        counts AS (SELECT (SELECT count(*) FROM documents) AS n_raw, n_in, n_out FROM c)
+        SELECT run::INTEGER AS run, metric, value FROM (
+            SELECT 'rows_in' AS metric, n_raw AS value FROM counts
+            UNION ALL SELECT 'rows_out', n_out FROM counts
+            UNION ALL SELECT 'removed_blank', n_raw - n_in FROM counts
+            UNION ALL SELECT 'removed_language', n_in - n_out FROM counts),
+            (SELECT unnest([1, 2]) AS run)""",
+    "compacted_batches": """
+        SELECT l_linenumber, count(*) AS n_rows, sum(l_quantity)::BIGINT AS quantity, 1 AS moved_files
+        FROM lineitem GROUP BY l_linenumber""",
     "chat_template_conversations": f"""
         SELECT conv_id, string_agg(concat({_text(fv.CHAT_TURN_START)}, role, chr(10), text,
                                           {_text(fv.CHAT_TURN_END)}, chr(10)),
@@ -469,7 +537,7 @@ ORACLES: dict[str, str] = {
         SELECT count(*) AS n_rows, count(*) FILTER (doc_id % 7 = 0) AS n_null_keys FROM documents""",
     "chat_files_repeated_keys": f"""
         SELECT messages FROM (SELECT {_MESSAGES} AS messages FROM (
-            SELECT DISTINCT CASE WHEN place_id LIKE '%-0' THEN NULL ELSE 'one' END AS place_id,
+            SELECT CASE WHEN place_id LIKE '%-0' THEN NULL ELSE 'one' END AS place_id,
                    input_context, target_summary FROM ({_ANSWERED})))""",
     "detector_accuracy": f"""
         SELECT lang, count(*) AS n_rows, count(*) FILTER (detected_lang = lang) AS n_right

@@ -21,10 +21,15 @@ from reviewcraft.functions import normalize as nz
 from reviewcraft.functions import text as tx
 from reviewcraft.operators import cleaning, context, enrichment, finetune, inspection
 from reviewcraft.operators import normalization, quality, translation
-from reviewcraft.operators.language import LanguageDetector, keep_languages
+from reviewcraft.operators.language import (
+    LanguageDetector,
+    SlicedDetector,
+    keep_languages,
+    train_profile,
+)
 from reviewcraft.plans import jobs
 from reviewcraft.plans.stages import CleaningParams, clean_reviews, curate_reviews, training_text
-from reviewcraft.session import shared_folder
+from reviewcraft.session import file_size, plain_path, shared_folder
 from reviewcraft.sources import jsonl, tables
 from reviewcraft.streaming import incremental
 
@@ -232,6 +237,25 @@ def resumable_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def clean_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of the cleaning job over two runs, as its batches observed them."""
+    work = shared_folder(spark, "clean-metrics")
+    tables.write_parquet(raw_reviews(spark, sf_dir), f"{work}/raw")
+    documents = texts(spark, sf_dir, "documents").filter(F.col("doc_id") % 5 != 0)
+    tables.write_parquet(documents, f"{work}/labelled")
+    jobs.train_detector(spark, f"{work}/labelled", f"{work}/model", "text", "lang")
+    params = CleaningParams(target_lang=TARGET, translatable=TRANSLATABLE)
+    found = [
+        jobs.clean(
+            spark, f"{work}/raw", f"{work}/cleaned", f"{work}/model", f"{work}/work", params, 3
+        )
+        for _ in range(2)
+    ]
+    names = ("rows_in", "rows_out", "removed_blank", "removed_language")
+    rows = [(run, name, metrics[name]) for run, metrics in enumerate(found, 1) for name in names]
+    return spark.createDataFrame(rows, "run int, metric string, value long")
+
+
 # --- normalization and quality -----------------------------------------------
 
 
@@ -293,6 +317,28 @@ def place_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context.place_counts(reviews(spark, sf_dir))
 
 
+def approx_place_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct places by category and of all, exact, and whether merged sketches come close."""
+    rows = reviews(spark, sf_dir, table).select("place_id", "category", "review_id")
+    work = shared_folder(spark, "sketches")
+    # stored as each of several runs would, one table of sketches
+    for run in range(3):
+        part = rows.filter(F.pmod("review_id", F.lit(3)) == run)
+        context.place_sketches(part, "category").write.mode("append").parquet(work)
+    sketches = tables.read_parquet(spark, work)
+    estimated = context.approx_places(sketches, "category").unionByName(
+        context.approx_places(sketches).withColumn("category", F.lit("all"))
+    )
+    exact = rows.groupBy("category").agg(F.countDistinct("place_id").alias("n_places")).unionByName(
+        rows.agg(F.countDistinct("place_id").alias("n_places")).withColumn("category", F.lit("all"))
+    )
+    # five standard errors, and one for the rounding
+    bound = 5 * 1.04 / 2 ** (context.SKETCH_BITS / 2) * F.col("n_places") + 1
+    return exact.join(estimated, "category").select(
+        "category", "n_places", (F.abs(F.col("approx_places") - F.col("n_places")) <= bound).alias("close")
+    )
+
+
 def min_reviews_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context.filter_min_reviews(
         reviews(spark, sf_dir).select("review_id", "place_id", "rating")
@@ -561,6 +607,57 @@ def length_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     return training_text(examples, 256).select("place_id", "approx_tokens", "fits")
 
 
+def length_budget_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chat texts made to fit 256 tokens by cutting their longest turns."""
+    examples = finetune.to_chat_examples(answered_turns(spark, sf_dir), "place_id")
+    fitted = examples.withColumn("messages", finetune.fit_messages(F.col("messages"), 256))
+    return training_text(fitted, 256).select("place_id", "text", "approx_tokens", "fits")
+
+
+def conversations_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole conversations made to fit 200 tokens: lengths of their turns, in order."""
+    turns = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(
+        F.array_sort(
+            F.collect_list(F.struct("turn", "role", F.col("text").alias("content")))
+        ).alias("turns")
+    )
+    messages = F.transform("turns", lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content")))
+    fitted = turns.withColumn("messages", finetune.fit_messages(messages, 200))
+    lengths = F.transform("messages", lambda m: F.length(m["content"]).cast("string"))
+    return fitted.select("conv_id", F.array_join(lengths, ",").alias("lengths"))
+
+
+def detect_by_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents labelled by a profile that is shared a slice at a time."""
+    documents = texts(spark, sf_dir, "documents")
+    taught = documents.filter(F.col("doc_id") % 5 != 0)
+    path = shared_folder(spark, "profile")
+    tables.write_parquet(train_profile(taught, "text", "lang"), path)
+    profile = tables.read_parquet(spark, path)
+    sliced = SlicedDetector(profile, max_weights=profile.count() // 3 + 1)
+    rows = documents.select("doc_id", "text", "lang")
+    return sliced.detect(rows, "text").select("doc_id", "lang", "detected_lang")
+
+
+def compacted_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches of very unequal files made one table: its rows, and how many files were moved."""
+    work = shared_folder(spark, "compacted")
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    # one large file and many small ones
+    large = rows.filter("l_linenumber <= 4").coalesce(1)
+    large.write.mode("append").parquet(f"{work}/staging")
+    rows.filter("l_linenumber > 4").repartition(12).write.mode("append").parquet(f"{work}/staging")
+    files = spark.read.parquet(f"{work}/staging").inputFiles()
+    sizes = [file_size(spark, plain_path(spark, f)) for f in files]
+    found = incremental.combine(
+        spark, f"{work}/staging", f"{work}/final", target_bytes=2 * max(sizes)
+    )
+    final = tables.read_parquet(spark, f"{work}/final")
+    return final.groupBy("l_linenumber").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("l_quantity").cast("long").alias("quantity")
+    ).withColumn("moved_files", F.lit(found["moved_files"]))
+
+
 # --- inspection --------------------------------------------------------------
 
 
@@ -601,6 +698,7 @@ QUERIES: dict[str, Query] = {
     "build_context_hot": build_context_hot,
     "build_context_forty": build_context_forty,
     "place_counts": place_counts,
+    "approx_place_counts": approx_place_counts,
     "min_reviews_filter": min_reviews_filter,
     "info_score": info_score,
     "rating_alloc": rating_alloc,
@@ -613,6 +711,7 @@ QUERIES: dict[str, Query] = {
     "clean_text_basic": clean_text_basic,
     "detect_documents": detect_documents,
     "detector_accuracy": detector_accuracy,
+    "detect_by_slices": detect_by_slices,
     "detect_conversations": detect_conversations,
     "language_allow_list": language_allow_list,
     "translation_flags": translation_flags,
@@ -621,6 +720,8 @@ QUERIES: dict[str, Query] = {
     "translate_with_glossary": translate_with_glossary,
     "cleaned_pages": cleaned_pages,
     "resumable_clean": resumable_clean,
+    "clean_metrics": clean_metrics,
+    "compacted_batches": compacted_batches,
     "norm_dot": _on_documents(nz.dots_between_letters, "text"),
     "norm_mash": _on_documents(nz.drop_keyboard_mash, "text"),
     "norm_letter_runs": _on_documents(nz.collapse_letter_runs, "text"),
@@ -653,6 +754,8 @@ QUERIES: dict[str, Query] = {
     "chat_files": chat_files,
     "chat_template_render": chat_template_render,
     "length_budget": length_budget,
+    "length_budget_cut": length_budget_cut,
+    "conversations_cut": conversations_cut,
     "chat_template_conversations": chat_template_conversations,
     "train_test_split_null_keys": train_test_split_null_keys,
     "chat_files_repeated_keys": chat_files_repeated_keys,

@@ -97,10 +97,64 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return _file_system(spark, path).delete(_hadoop_path(spark, path), True)
 
 
+def plain_path(spark: SparkSession, address: str) -> str:
+    """The path that an address (``DataFrame.inputFiles``) stands for."""
+    return _address(spark, address).toString()
+
+
+def file_size(spark: SparkSession, path: str) -> int:
+    return _file_system(spark, path).getFileStatus(_hadoop_path(spark, path)).getLen()
+
+
+def move_file(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file; if only the target exists, that was done before."""
+    start, end = _hadoop_path(spark, source), _hadoop_path(spark, target)
+    system = _file_system(spark, source)
+    if not system.exists(start):
+        if not system.exists(end):
+            raise FileNotFoundError(source)
+        return
+    system.mkdirs(end.getParent())
+    if not system.rename(start, end):
+        raise OSError(f"cannot move {source} to {target}")
+
+
+def rename_path(spark: SparkSession, source: str, target: str) -> None:
+    system = _file_system(spark, source)
+    if not system.rename(_hadoop_path(spark, source), _hadoop_path(spark, target)):
+        raise OSError(f"cannot rename {source} to {target}")
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, replaced if it exists."""
+    out = _file_system(spark, path).create(_hadoop_path(spark, path), True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    stream = _file_system(spark, path).open(_hadoop_path(spark, path))
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def _conf(spark: SparkSession):
+    return spark.sparkContext._jsc.hadoopConfiguration()
+
+
+def _address(spark: SparkSession, path: str):
+    """A path from an address, in which odd characters are escaped."""
+    jvm = spark.sparkContext._jvm
+    return jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(path))
+
+
 def _hadoop_path(spark: SparkSession, path: str):
     return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
 
 
 def _file_system(spark: SparkSession, path: str):
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    return _hadoop_path(spark, path).getFileSystem(conf)
+    return _hadoop_path(spark, path).getFileSystem(_conf(spark))

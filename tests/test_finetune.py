@@ -62,12 +62,21 @@ def test_split_has_no_global_sort(spark):
 def test_chat_files(spark, tmp_path):
     paths = [str(tmp_path / name) for name in ("summaries", "train", "test", "text")]
     jsonl.append(summaries(spark, 60), paths[0])
-    jsonl.append(summaries(spark, 5), paths[0])  # a replayed append
     assert jobs.prepare_chat(spark, *paths[:3]) == {"train": 58, "test": 2}
     assert "\\u" not in spark.read.text(paths[1]).first()["value"]
     assert jobs.render(spark, paths[1], paths[3]) == {"examples": 58, "too_long": 0}
 
 
+def test_equal_records_are_all_kept(spark, tmp_path):
+    paths = [str(tmp_path / name) for name in ("summaries", "train", "test")]
+    jsonl.append(summaries(spark, 60), paths[0])
+    jsonl.append(summaries(spark, 5), paths[0])
+    found = jobs.prepare_chat(spark, *paths)
+    assert found["train"] + found["test"] == 65
+    for path, n in zip(paths[1:], (found["train"], found["test"]), strict=True):
+        assert spark.read.text(path).count() == n
+
+
 @pytest.mark.parametrize("nulls", [0, 1, 10, 100])
 @pytest.mark.parametrize("exact", [True, False])
 def test_rows_without_a_key_have_a_side(spark, nulls, exact):
@@ -98,3 +107,43 @@ def test_length_budget(spark):
     df = spark.createDataFrame([("x" * 8192,), ("x" * 8193,)], "text string")
     rows = ft.with_length_budget(df).orderBy("approx_tokens").collect()
     assert [(r["approx_tokens"], r["fits"]) for r in rows] == [(2048, True), (2049, False)]
+
+
+def plain_fit(messages, max_tokens):
+    """The longest contents lose one character at a time, down to the same length."""
+    tags = sum(len(f"<|im_start|>{r}\n<|im_end|>\n") for r, _ in messages)
+    room = max(4 * max_tokens - tags, 0)
+    lengths = [len(c or "") for _, c in messages]
+    level = max(lengths, default=0)
+    while level and sum(min(n, level) for n in lengths) > room:
+        level -= 1
+    return [(r, c if c is None else c[:level]) for r, c in messages]
+
+
+def test_messages_are_cut_to_a_level(spark):
+    import random
+
+    rng = random.Random(8)
+    rows = []
+    for i in range(60):
+        turns = [
+            (rng.choice(["user", "assistant"]), "é" * rng.choice([0, 1, 3, 40, 90, 300]))
+            for _ in range(rng.randint(1, 6))
+        ]
+        rows.append((i, turns))
+    rows += [(100, [("user", None), ("assistant", "x" * 500)]), (101, []), (102, [("user", "y" * 90)] * 3)]
+    df = spark.createDataFrame(rows, "id long, messages array<struct<role:string,content:string>>")
+    for budget in (0, 20, 60, 200):
+        fitted = df.withColumn("fitted", ft.fit_messages(F.col("messages"), budget))
+        for row in fitted.collect():
+            wanted = plain_fit([tuple(m) for m in row["messages"]], budget)
+            assert [tuple(m) for m in row["fitted"]] == wanted
+
+
+def test_cut_examples_fit(spark):
+    rows = [("p", "a " * 3000, "b" * 50)]
+    df = spark.createDataFrame(rows, "place_id string, input_context string, target_summary string")
+    chat = ft.to_chat_examples(df, "place_id")
+    cut = chat.withColumn("messages", ft.fit_messages(F.col("messages"), 400))
+    row = ft.with_length_budget(cut.select(ft.render_chat(F.col("messages")).alias("text")), "text", 400).first()
+    assert row["fits"] and row["approx_tokens"] > 380 and row["text"].endswith("b" * 50 + "<|im_end|>\n")

@@ -202,3 +202,30 @@ def test_ranks_in_groups(spark):
         values = sorted((v for x, v in rows if x == g), reverse=True)
         wanted += [(g, v, i) for i, v in enumerate(values, 1)]
     assert got == wanted
+
+
+@pytest.mark.parametrize("slices", [1, 3, 40])
+def test_sliced_profiles_give_the_same_labels(spark, documents, detector, slices):
+    taught = documents.filter("part <> 0")
+    profile = lg.train_profile(taught, "text", "lang").cache()
+    sliced = lg.SlicedDetector(profile, max_weights=-(-profile.count() // slices))
+    assert sliced.slices >= slices - 1
+    odd = spark.createDataFrame(
+        [(-1, None), (-2, ""), (-3, "12 34"), (-4, "ab"), (-5, "漢字漢字"), (-5, "漢字漢字")], "doc_id long, text string"
+    )
+    rows = documents.select("doc_id", "text").unionByName(odd).withColumn("detected_lang", F.lit("old"))
+    wanted = sorted(map(tuple, detector.detect(rows, "text").select("doc_id", "detected_lang").collect()))
+    found = sliced.detect(rows, "text")
+    assert found.columns == rows.columns
+    assert sorted(map(tuple, found.select("doc_id", "detected_lang").collect())) == wanted
+
+
+def test_large_profiles_are_loaded_as_slices(spark, documents, tmp_path, monkeypatch):
+    lg.train_profile(documents, "text", "lang").write.parquet(str(tmp_path / "model"))
+    assert isinstance(lg.LanguageDetector.load(spark, str(tmp_path / "model")), lg.LanguageDetector)
+    monkeypatch.setattr(lg, "MAX_WEIGHTS", 5000)
+    large = lg.LanguageDetector.load(spark, str(tmp_path / "model"))
+    assert isinstance(large, lg.SlicedDetector) and large.slices > 1
+    with pytest.raises(ValueError, match="needs a batch"):
+        stream = spark.readStream.schema("text string").parquet(str(tmp_path / "model"))
+        large.detect(stream, "text")
