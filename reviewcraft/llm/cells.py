@@ -124,12 +124,36 @@ def tallied_bits(
     return bits
 
 
+#: Filters of no more keys than this are put together by the driver: a few megabytes.
+_DRIVER_KEYS = 1 << 19
+
+
 def key_filter(df: DataFrame, key_of: Callable[[pa.RecordBatch], np.ndarray], keys: int) -> np.ndarray:
-    """A Bloom filter over the keys of all rows, for ``both_set``."""
+    """A Bloom filter over the ``keys`` keys of all rows, for ``both_set``."""
     cells = cells_for(keys, 16)
+    if keys <= _DRIVER_KEYS:
+        return _small_filter(df, key_of, cells)
 
     def cells_of(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
         touched = np.concatenate(two_cells(key_of(batch), cells))
         return touched, np.ones(len(touched), dtype=np.int64)
 
     return tallied_bits(df, cells_of, cells, lambda counts: counts > 0)
+
+
+def _small_filter(
+    df: DataFrame, key_of: Callable[[pa.RecordBatch], np.ndarray], cells: int
+) -> np.ndarray:
+    """The same bits without a shuffle: the cells of each batch, set one batch after another."""
+
+    def touch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            touched = np.concatenate(two_cells(key_of(batch), cells)).astype("<i4")
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([touched.tobytes()], pa.binary())], names=["cells"]
+            )
+
+    marked = np.zeros(cells, dtype=bool)
+    for row in df.mapInArrow(touch, "cells binary").toLocalIterator():
+        marked[np.frombuffer(row["cells"], dtype="<i4")] = True
+    return np.packbits(marked, bitorder="little")

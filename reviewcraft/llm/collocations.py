@@ -255,6 +255,15 @@ def _score(a: pd.Series, n: pd.Series, left: pd.Series, right: pd.Series) -> pd.
 # --- rounds -------------------------------------------------------------------------------------
 
 
+#: Tables of no more rows than this are offered for a broadcast: at most about 30 MB.
+BROADCAST_ROWS = 200_000
+
+
+def _offered(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` of ``rows`` counted rows, to be broadcast if they are few."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
 def _next_cut(state: DataFrame, frequent: DataFrame, share: float) -> DataFrame:
     """``done`` and ``cut`` of each language: first words with ``done`` < f <= ``cut`` are next.
 
@@ -279,13 +288,17 @@ def _next_cut(state: DataFrame, frequent: DataFrame, share: float) -> DataFrame:
     )
 
 
-def _parts(candidates: DataFrame, words: DataFrame, counts: DataFrame | None, longest: int) -> DataFrame:
-    """One row per candidate and cut with the count of the rest; ``counts`` of longer rests."""
+def _parts(
+    candidates: DataFrame, words: DataFrame, counts: DataFrame | None, longest: int, n: int
+) -> DataFrame:
+    """One row per candidate and cut with the count of the rest; ``counts`` of longer rests.
+
+    ``n``: rows of words and counts together, about."""
     found = words.select("lang", F.array(F.col("h")).alias("rest"), F.col("f").alias("r"))
     if counts is not None:
         kept = F.filter(F.array(*_names(longest)), lambda x: x != 0)
         found = found.unionByName(counts.select("lang", kept.alias("rest"), F.col("f").alias("r")))
-    return candidates.join(found, ["lang", "rest"])
+    return candidates.join(_offered(found, n), ["lang", "rest"])
 
 
 def collocations(
@@ -311,15 +324,16 @@ def collocations(
     frequent = stored(
         words.filter(F.col("f") >= least).withColumn("lang_hash", _lang_hash("lang")), "colloc-frequent"
     )
+    n_frequent = frequent.count()
+    frequent = _offered(frequent, n_frequent)
     broadcast = spark.sparkContext.broadcast
 
-    def filter_of(rows: DataFrame, columns: list[str]):
-        rows = rows.select("lang_hash", *columns)
-        return broadcast(key_filter(rows, _column_key(columns), rows.count()))
+    def filter_of(rows: DataFrame, columns: list[str], n: int):
+        found = key_filter(rows.select("lang_hash", *columns), _column_key(columns), n)
+        return broadcast(found)
 
-    coded = stored(
-        texts.mapInArrow(_coded(filter_of(frequent, ["h"]), seed), _CODED), "colloc-coded"
-    )
+    known = filter_of(frequent, ["h"], n_frequent)
+    coded = stored(texts.mapInArrow(_coded(known, seed), _CODED), "colloc-coded")
     state = stored(
         totals.select("lang", "n", F.lit(None).cast("long").alias("last_score"), F.lit(0).cast("long").alias("cut")),
         "colloc-state",
@@ -331,12 +345,15 @@ def collocations(
             frequent.join(state, "lang").filter((F.col("f") > F.col("done")) & (F.col("f") <= F.col("cut"))),
             "colloc-first-words",
         )
-        if opened.isEmpty():
+        n_opened = opened.count()
+        if not n_opened:
             if share >= 1:
                 break
             share = min(4 * share, 1.0)
             continue
-        scored = _expanded(coded, opened, frequent, state, params, filter_of)
+        scored = _expanded(
+            coded, opened, n_opened, frequent, n_frequent, state, params, filter_of
+        )
         best = scored if best is None else best.unionByName(scored)
         order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"))
         best = stored(
@@ -359,11 +376,13 @@ def _lang_hash(column: str):
     return digest(F.col(column))
 
 
-def _expanded(coded, opened, frequent, state, params: CollocationParams, filter_of) -> DataFrame:
+def _expanded(
+    coded, opened, n_opened: int, frequent, n_frequent: int, state, params, filter_of
+) -> DataFrame:
     """Scored phrases that start with an ``opened`` word, survive and may reach the last rank."""
     k_most, least = params.longest, params.least_count
-    first = filter_of(opened, ["h"])
-    known = opened.select("lang", F.col("h").alias("h0"), F.array("f").alias("parts"))
+    first = filter_of(opened, ["h"], n_opened)
+    n_known, known = n_opened, opened.select("lang", F.col("h").alias("h0"), F.array("f").alias("parts"))
     prefix, levels = None, []
     for k in range(2, k_most + 1):
         grow, schema = _grown(first, k, prefix)
@@ -380,13 +399,15 @@ def _expanded(coded, opened, frequent, state, params: CollocationParams, filter_
             .filter(F.col("a") >= least)
         )
         # parts: counts of the first 1, 2, ... words
+        known = _offered(known, n_known)
         level = stored(counted.join(known, ["lang", *_names(k - 1)]), f"colloc-level-{k}")
         levels.append(level)
-        if level.isEmpty():
+        n_known = level.count()
+        if not n_known:
             break
         known = level.select("lang", *_names(k), F.array_append("parts", F.col("a")).alias("parts"))
         if k < k_most:
-            prefix = filter_of(level, _names(k))
+            prefix = filter_of(level, _names(k), n_known)
     always = lambda side: (F.col(f"{side}_min") == F.col(f"{side}_max")) & (F.col(f"{side}_min") != 0)
     alive = None
     for k, level in enumerate(levels, 2):
@@ -415,16 +436,16 @@ def _expanded(coded, opened, frequent, state, params: CollocationParams, filter_
         cuts.filter(F.size("rest") > 1).select("lang", "lang_hash", *padded).distinct(),
         "colloc-wanted",
     )
-    counts = None
-    if not wanted.isEmpty():
-        count, schema = _wanted_counts(filter_of(wanted, _names(k_most - 1)), k_most - 1)
+    counts, n_wanted = None, wanted.count()
+    if n_wanted:
+        count, schema = _wanted_counts(filter_of(wanted, _names(k_most - 1), n_wanted), k_most - 1)
         counts = stored(
             coded.mapInArrow(count, schema)
             .groupBy("lang", *_names(k_most - 1))
             .agg(F.sum("f").alias("f")),
             "colloc-rests",
         )
-    scores = _parts(cuts, frequent, counts, k_most - 1).withColumn(
+    scores = _parts(cuts, frequent, counts, k_most - 1, n_frequent + n_wanted).withColumn(
         "score", _score(F.col("a"), F.col("n"), F.col("l"), F.col("r"))
     )
     return (

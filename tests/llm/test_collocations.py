@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 import numpy as np
 from pyspark.sql import functions as F
 
-from reviewcraft.llm import collocations
+from reviewcraft.llm import cells, collocations
 from reviewcraft.llm.collocations import CollocationParams
 from reviewcraft.llm.split_words import split_words
 from tests.llm.fixtures import DOCS, empty_docs
@@ -82,6 +82,15 @@ def test_rounds_settle_the_last_rank(spark):
     assert got == brute_force([(r[2], r[1]) for r in rows], least=4, top=7)
 
 
+def test_large_filters_and_joins_give_the_same(spark, monkeypatch):
+    """As with too many keys for the driver, and tables too large to be broadcast."""
+    monkeypatch.setattr(cells, "_DRIVER_KEYS", 0)
+    monkeypatch.setattr(collocations, "BROADCAST_ROWS", 0)
+    rows = corpus(seed=6)
+    got = found(spark.createDataFrame(rows, DOCS), least_count=6)
+    assert got == brute_force([(r[2], r[1]) for r in rows], least=6)
+
+
 def test_products_beyond_64_bits():
     n = 2**62
     import pandas as pd
