@@ -334,7 +334,7 @@ def _fitted(turns: str, key: str, tokens: int) -> str:
     tags = len(fv.CHAT_TURN_START + "\n" + fv.CHAT_TURN_END + "\n")
     return f"""
     SELECT {key}, turn, role,
-           CASE WHEN length(content) > level THEN substring(content, 1, level) ELSE content END AS content
+           CASE WHEN length(content) > level THEN substring(content, 1, level::BIGINT) ELSE content END AS content
     FROM (
         SELECT *, max(CASE WHEN n * turns > room THEN room // turns END)
                       OVER (PARTITION BY {key}) AS level
