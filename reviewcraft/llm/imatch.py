@@ -38,9 +38,12 @@ from pyspark.sql import types as T
 from reviewcraft.llm.cells import is_set, mixed, tallied_bits
 from reviewcraft.llm.common import bounded_batches, stored, utf8
 from reviewcraft.llm.split_words import byte_kinds, split_words
+from reviewcraft.llm.word_memo import text_slices
 
 #: All ASCII but letters and digits is white space here.
 KINDS = byte_kinds(bytes(b for b in range(128) if not chr(b).isalnum()))
+#: Bytes of text that are taken apart at a time, unless one text is longer.
+SLICE_BYTES = 1 << 20
 SUBSETS = 64
 #: A subset of each of these sizes holds one lexicon term in so many.
 ONE_IN = (64, 512)
@@ -73,11 +76,15 @@ def learn_lexicon(docs: DataFrame, params: LexiconParams = LexiconParams()) -> n
     most = int(docs.count() * params.most_share)
 
     def cells_of(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-        words = split_words([x.as_py() for x in batch.column(0)], KINDS)
-        n = max(len(words.distinct), 1)
-        once = np.unique(words.text * n + words.codes) % n
-        counts = np.bincount(once, minlength=len(words.distinct))
-        return _cell(_hashes(words.distinct), params.cells), counts
+        texts, cells, counts = [x.as_py() for x in batch.column(0)], [], []
+        for a, b in text_slices(texts, SLICE_BYTES):
+            words = split_words(texts[a:b], KINDS)
+            n = max(len(words.distinct), 1)
+            once = np.unique(words.text * n + words.codes) % n
+            cells.append(_cell(_hashes(words.distinct), params.cells))
+            counts.append(np.bincount(once, minlength=len(words.distinct)))
+        none = np.empty(0, dtype=np.int64)
+        return np.concatenate([none, *cells]), np.concatenate([none, *counts])
 
     return tallied_bits(
         docs.select(utf8().alias("utf8")),
@@ -112,6 +119,13 @@ def fingerprint(hashes: np.ndarray, in_lexicon: np.ndarray) -> str:
 
 def fingerprints(texts: list[bytes], lexicon: np.ndarray) -> list[str]:
     """Fingerprints of many texts."""
+    out: list[str] = []
+    for a, b in text_slices(texts, SLICE_BYTES):
+        out += _fingerprints(texts[a:b], lexicon)
+    return out
+
+
+def _fingerprints(texts: list[bytes], lexicon: np.ndarray) -> list[str]:
     words = split_words(texts, KINDS)
     hashes = _hashes(words.distinct)
     # Codes in the order of their hashes, so that the distinct ones of a text come sorted.

@@ -53,5 +53,5 @@ def split_words(texts: list[bytes], kinds: np.ndarray) -> Words:
         column.dictionary.to_pylist(),
         column.indices.to_numpy(zero_copy_only=False).astype(np.int64),
         np.searchsorted(ends, starts, side="right"),
-        np.cumsum(kind == BREAK)[starts] if len(starts) else np.empty(0, dtype=np.int64),
+        np.searchsorted(np.flatnonzero(kind == BREAK), starts),
     )
