@@ -4,8 +4,8 @@ A page is a list of tokens: tags (name, class, id and role) and the text runs be
 A close tag takes the role of the element that it closes. For each host, tokens are grouped by
 their occurrence vectors over all its pages. Only the combined hash of its (page, number of
 occurrences) is kept for each token, so equal vectors are found without bringing a host's pages
-together. Pages without tokens do not count. A second pass over the pages checks the classes: a tag stays in its class if its
-elements nest and if it always follows the same tag of the class (round about, for classes with
+together. Pages without tokens do not count. A second pass over the pages checks the classes: a
+tag stays in its class if its elements nest and if it always follows the same tag of the class (round about, for classes with
 several occurrences in a page); other tags leave it. The classes of tags with one occurrence in
 nearly every page (``SUPPORT``) are the skeleton of the host's template. Its elements cut each page into slots, and
 elements of the other classes cut these further, wherever they stand.
@@ -19,6 +19,7 @@ holds nearly all of the text that is left.
 
 from __future__ import annotations
 
+import functools
 import html
 import re
 from collections.abc import Iterator
@@ -83,6 +84,8 @@ LINKED, MOST_TEXT = 0.5, 0.75
 #: Elements that end where their parent does or where the next one starts.
 OPEN_ENDED = {*("html", "body", "p", "li", "dt", "dd", "tr", "td", "th", "thead", "tbody", "tfoot", "option")}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+#: Elements of running text.
+RUNNING_TEXT = HEADINGS | {"p", "li", "dt", "dd", "td", "th", "pre", "blockquote", "figcaption", "caption"}
 #: Elements whose content is a slot; the others are parts of running text.
 CONTAINERS = (
     BLOCK_NAMES - HEADINGS
@@ -103,6 +106,33 @@ def _signed(number: int) -> int:
     return number - (1 << 64) if number >> 63 else number
 
 
+# Pages repeat their tags and template texts: what these are is worked out once.
+@functools.lru_cache(maxsize=1 << 16)
+def _key(kind: str, name: str, marks: str, value: str) -> int:
+    return _signed(xxhash.xxh3_64_intdigest(f"{kind} {name} {marks} {value}"))
+
+
+@functools.lru_cache(maxsize=1 << 16)
+def _is_boilerplate(name: str, marks: str) -> bool:
+    return name in BOILERPLATE_NAMES or bool(
+        marks
+        and name not in UNMARKED
+        and BOILERPLATE_MARKS.search(marks)
+        and not MAIN_MARKS.search(marks)
+    )
+
+
+@functools.lru_cache(maxsize=1 << 16)
+def _is_main(name: str, marks: str) -> bool:
+    return name in MAIN_NAMES or bool(marks and MAIN_MARKS.search(marks))
+
+
+def _text_key(text: str) -> int:
+    """Identity of a text run, white space folded; 0 if there is nothing else."""
+    folded = _SPACE.sub(" ", text).strip()
+    return _signed(xxhash.xxh3_64_intdigest(f"t   {folded}")) if folded else 0
+
+
 class Token:
     """A tag or a text run of a page."""
 
@@ -114,22 +144,15 @@ class Token:
     @property
     def key(self) -> int:
         """The token's identity in templates, as a signed 64-bit hash."""
-        return _signed(
-            xxhash.xxh3_64_intdigest(f"{self.kind} {self.name} {self.marks} {self.value}")
-        )
+        return _key(self.kind, self.name, self.marks, self.value)
 
     @property
     def boilerplate(self) -> bool:
-        return self.name in BOILERPLATE_NAMES or bool(
-            self.marks
-            and self.name not in UNMARKED
-            and BOILERPLATE_MARKS.search(self.marks)
-            and not MAIN_MARKS.search(self.marks)
-        )
+        return _is_boilerplate(self.name, self.marks)
 
     @property
     def main(self) -> bool:
-        return self.name in MAIN_NAMES or bool(self.marks and MAIN_MARKS.search(self.marks))
+        return _is_main(self.name, self.marks)
 
 
 def tokens_of(page: str) -> list[Token]:
@@ -169,19 +192,11 @@ def tag_roles(tokens: list[Token]) -> tuple[list[int], list[bool]]:
     A close tag has the marks of the element that it closes.
     """
     keys, nests = [0] * len(tokens), [True] * len(tokens)
-    known: dict[tuple[str, str, str], int] = {}
-
-    def role(kind: str, name: str, marks: str) -> int:
-        found = known.get((kind, name, marks))
-        if found is None:
-            found = known[kind, name, marks] = Token(kind, name, marks, "").key
-        return found
-
     stack: list[_Element] = []
     at: list[int] = []
     for i, token in enumerate(tokens):
         if token.kind == "o":
-            keys[i] = role("o", token.name, token.marks)
+            keys[i] = _key("o", token.name, token.marks, "")
             if token.name in VOID_NAMES:
                 continue
             if token.name in ("p", "li"):
@@ -193,7 +208,7 @@ def tag_roles(tokens: list[Token]) -> tuple[list[int], list[bool]]:
             before = list(stack)
             _close(stack, token.name)
             if len(stack) < len(before):
-                keys[i] = role("c", token.name, before[len(stack)].token.marks)
+                keys[i] = _key("c", token.name, before[len(stack)].token.marks, "")
                 for cut in at[len(stack) + 1 :]:
                     nests[cut] = tokens[cut].name in OPEN_ENDED
                 del at[len(stack) :]
@@ -208,22 +223,21 @@ def page_vector(page: str) -> dict[int, tuple[int, str, bool]]:
     tokens = tokens_of(page)
     for token, key, nests in zip(tokens, *tag_roles(tokens), strict=True):
         if token.kind == "t":
-            folded = _SPACE.sub(" ", token.value).strip()
-            key = Token("t", "", "", folded).key if folded else 0
+            key = _text_key(token.value)
         if key:
             n, _, all_nest = counts.get(key, (0, "", True))
             counts[key] = (n + 1, token.kind, all_nest and nests)
     return counts
 
 
-def class_order(page: str, classes: dict[int, int]) -> dict[int, int]:
+def class_order(tokens: list[Token], classes: dict[int, int]) -> dict[int, int]:
     """The tag of its class that each tag follows, 0 if not always the same one.
 
     The first tag of a class follows the last one, so that repetitions look alike.
     """
     before: dict[int, int] = {}
     ends: dict[int, list[int]] = {}
-    for key in tag_roles(tokens_of(page))[0]:
+    for key in tag_roles(tokens)[0]:
         if key not in classes:
             continue
         end = ends.get(classes[key])
@@ -237,16 +251,16 @@ def class_order(page: str, classes: dict[int, int]) -> dict[int, int]:
     return before
 
 
-def slot_texts(page: str, template: Template) -> dict[tuple[int, ...], list[int]]:
+def slot_texts(tokens: list[Token], template: Template) -> dict[tuple[int, ...], list[int]]:
     """Text and link text of each slot outside named boilerplate, in characters.
 
     A slot is the path of the class elements around it.
     """
     sums: dict[tuple[int, ...], list[int]] = {}
-    for token, stack in _walk(tokens_of(page), template):
+    for token, stack in _walk(tokens, template):
         if token.kind == "t" and not any(e.skip for e in stack):
             folded = _SPACE.sub(" ", token.value).strip()
-            if folded and Token("t", "", "", folded).key not in template.texts:
+            if folded and _text_key(folded) not in template.texts:
                 sizes = sums.setdefault(stack[-1].slot if stack else (), [0, 0])
                 sizes[0] += len(folded)
                 sizes[1] += len(folded) * any(e.token.name == "a" for e in stack)
@@ -380,8 +394,9 @@ def _mains(tokens: list[Token], template: Template) -> tuple[set[int], set[int]]
 def main_text(page: str, template: Template) -> str:
     """The text in the main slots of a page, its blocks joined by empty lines.
 
-    Blocks that hold text runs of the template only are left out, unless they are most of
-    what there is: then the host's pages are copies of each other.
+    Text runs of the template that stand outside headings, paragraphs and other running text
+    are left out, unless they are most of what there is: then the host's pages are copies of
+    each other.
     """
     tokens = tokens_of(page)
     mains, holders = _mains(tokens, template)
@@ -392,6 +407,7 @@ def main_text(page: str, template: Template) -> str:
         if not any(stack and stack[-1].slot == slot for _, stack in walked):
             slot = ()
     block, runs = 0, []  # (block, text, whether it belongs to the template)
+    running: set[int] = set()
     for token, stack in _walk(tokens, template, mains, holders):
         if token.kind in "oc":
             block += token.name in BLOCK_NAMES
@@ -407,11 +423,11 @@ def main_text(page: str, template: Template) -> str:
             )
             and not any(e.skip for e in stack)
         ):
-            shared = False
-            if template.texts:
-                folded = _SPACE.sub(" ", token.value).strip()
-                shared = bool(folded) and Token("t", "", "", folded).key in template.texts
+            shared = bool(template.texts) and _text_key(token.value) in template.texts
             runs.append((block, html.unescape(token.value), shared))
+            # Headings, paragraphs and the like are text of the article, however often they occur.
+            if any(e.token.name in RUNNING_TEXT for e in stack):
+                running.add(block)
     blocks: dict[int, list[str]] = {}
     own: set[int] = set()  # blocks with text that the template does not have
     for number, text, shared in runs:
@@ -420,7 +436,7 @@ def main_text(page: str, template: Template) -> str:
             own.add(number)
     sizes = {number: sum(map(len, parts)) for number, parts in blocks.items()}
     if 2 * sum(n for number, n in sizes.items() if number in own) >= sum(sizes.values()):
-        blocks = {number: parts for number, parts in blocks.items() if number in own}
+        blocks = {n: parts for n, parts in blocks.items() if n in own or n in running}
     texts = (_SPACE.sub(" ", "".join(parts)).strip() for parts in blocks.values())
     return "\n\n".join(t for t in texts if t)
 
@@ -503,10 +519,10 @@ def _page_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         hosts = batch.column("host").to_pylist()
         for host, page, template in zip(hosts, batch.column("_html"), _templates(batch, known), strict=True):
-            text = page.as_py().decode("utf-8", "replace")
-            for key, before in class_order(text, template.classes).items():
+            tokens = tokens_of(page.as_py().decode("utf-8", "replace"))
+            for key, before in class_order(tokens, template.classes).items():
                 rows.append((host, key, before, [], 1, 0, 0))
-            for path, (chars, links) in slot_texts(text, template).items():
+            for path, (chars, links) in slot_texts(tokens, template).items():
                 rows.append((host, 0, 0, list(path), 1, chars, links))
         columns = list(zip(*rows, strict=True)) if rows else [()] * len(kinds)
         yield pa.RecordBatch.from_arrays(

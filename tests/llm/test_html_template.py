@@ -104,7 +104,7 @@ def test_tags_out_of_order_or_nesting_leave_their_class(spark):
     template = ht.Template([c.asDict() for c in host["classes"]])
     assert ht.Token("o", "em", "d", "").key not in template.classes
     assert ht.Token("o", "i", "a", "").key not in template.skeleton
-    assert ht.class_order("<b><i></i></b><b><i></i></b>", {}) == {}
+    assert ht.class_order(ht.tokens_of("<b><i></i></b><b><i></i></b>"), {}) == {}
 
 
 @pytest.mark.parametrize("n", [4, 12])
@@ -136,3 +136,40 @@ def test_all_main_elements_of_the_skeleton(spark):
     page = "<body><article id='intro'><p>one {0}</p></article><article id='story'><p>two {0}</p></article></body>"
     rows = [(i, "https://two.example/", page.format(i)) for i in range(5)]
     assert texts(spark, rows) == {i: f"one {i}\n\ntwo {i}" for i in range(5)}
+
+
+def test_shared_headings_and_paragraphs_are_article_text(spark):
+    page = (
+        "<body><article><h2>Background</h2><p>{0}</p><p>As told before.</p><span>Share this</span>"
+        "<ul><li>One</li></ul></article></body>"
+    )
+    story = [" ".join(f"word{i}x{k}" for k in range(20)) for i in range(9)]
+    rows = [(i, "https://same.example/", page.format(story[i])) for i in range(9)]
+    assert texts(spark, rows) == {
+        i: f"Background\n\n{story[i]}\n\nAs told before.\n\nOne" for i in range(9)
+    }
+
+
+def plain_text(page):
+    """The article of a page of the table by plain means: between its tags, block by block."""
+    import html
+    import re
+
+    article = re.search(r"<article>(.*?)</article>", page, re.S)
+    body = article.group(1) if article else ""
+    body = re.sub(r"<!--.*?-->|<(script|style)\b.*?</\1>", "", body, flags=re.S)
+    body = re.sub(r"<br\s*/?>", " ", body)
+    blocks = re.split(r"</?(?:p|h[1-6]|ul|ol|li|div|section|blockquote|pre|table|tr|td)\b[^>]*>", body)
+    blocks = (html.unescape(re.sub(r"<[^>]+>", "", b)) for b in blocks)
+    blocks = (re.sub(r"\s+", " ", b).strip() for b in blocks)
+    return "\n\n".join(b for b in blocks if b)
+
+
+def test_articles_of_the_table_against_plain_means(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    found = ht.extract_main_text(pages.select("page_id", "url", "html")).collect()
+    simple = [r for r in found if r["html"] and r["html"].count("<article>") == 1
+              and not any(x in r["html"] for x in ("<aside", "<form", "comment"))]
+    assert len(simple) > 100
+    wrong = [r["page_id"] for r in simple if r["text"] != plain_text(r["html"])]
+    assert wrong == []
