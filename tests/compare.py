@@ -75,7 +75,7 @@ def main(sf_dir: str, *names: str) -> int:
     spark.sparkContext.setLogLevel("ERROR")
     con, queries, oracles = connect(sf_dir), entry.queries(), entry.oracle_sql()
     bad = 0
-    for name in names or queries:
+    for name in names or oracles:
         start = time.time()
         try:
             problem = compare(spark, con, sf_dir, queries[name], oracles[name])
