@@ -178,12 +178,20 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
+# Hexadecimal columns are stored as the bytes they stand for.
+_HEX = ["edited_sha256", "fingerprint", "edited_fingerprint"]
 _COMPARED = (
-    "doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
-    "edited_fingerprint string, near_edited double, near_next double, "
+    "doc_id long, n_chars long, edited_sha256 binary, fingerprint binary, "
+    "edited_fingerprint binary, near_edited double, near_next double, "
     "part int, first_text string, last_text string"
 )
-_KINDS = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "double": pa.float64()}
+_KINDS = {
+    "long": pa.int64(),
+    "int": pa.int32(),
+    "string": pa.string(),
+    "binary": pa.binary(),
+    "double": pa.float64(),
+}
 _SCHEMA = pa.schema([(n, _KINDS[k]) for n, k in (f.split() for f in _COMPARED.split(", "))])
 
 
@@ -191,9 +199,9 @@ def _compared(doc_id, text: str, own: str, following: str, next_own: str, change
     return (
         doc_id,
         len(text),
-        hashlib.sha256(changed.encode()).hexdigest(),
-        own,
-        mark,
+        hashlib.sha256(changed.encode()).digest(),
+        bytes.fromhex(own),
+        bytes.fromhex(mark),
         likeness(own, mark),
         likeness(own, next_own),
     )
@@ -238,7 +246,8 @@ def compare_with_edits(docs: DataFrame, lexicon: np.ndarray) -> DataFrame:
                 )
         if waiting:
             doc_id, text, own, first = waiting
-            row = (doc_id, len(text), None, own, None, None, None, part, first, text)
+            mark = bytes.fromhex(own)
+            row = (doc_id, len(text), None, mark, None, None, None, part, first, text)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([v], f.type) for v, f in zip(row, _SCHEMA, strict=True)], schema=_SCHEMA
             )
@@ -279,7 +288,7 @@ def compare_with_edits(docs: DataFrame, lexicon: np.ndarray) -> DataFrame:
             changed = [edited(r[1], r[3]) for r in found]
             marks = fingerprints([c.encode() for c in changed], shared.value)
             out = [
-                (*_compared(i, t, f, n, nf, c, m), None, None, None)
+                (*_compared(i, t, f.hex(), n, nf.hex(), c, m), None, None, None)
                 for (i, t, f, n, nf), c, m in zip(found, changed, marks, strict=True)
             ]
             if out:
@@ -289,6 +298,7 @@ def compare_with_edits(docs: DataFrame, lexicon: np.ndarray) -> DataFrame:
                 )
 
     closed = rows.filter(F.col("last_text").isNull())
-    return closed.unionByName(pairs.mapInArrow(finish, _COMPARED)).drop(
-        "part", "first_text", "last_text"
+    both = closed.unionByName(pairs.mapInArrow(finish, _COMPARED))
+    return both.drop("part", "first_text", "last_text").withColumns(
+        {name: F.lower(F.hex(name)) for name in _HEX}
     )
