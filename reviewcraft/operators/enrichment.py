@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import pandas as pd
@@ -26,9 +27,9 @@ class CallPolicy:
     attempts: int = fv.MAX_ATTEMPTS
     wait_seconds: float = fv.RATE_LIMIT_WAIT_SECONDS
     pause_seconds: float = fv.PAUSE_SECONDS
-    # how many calls may run at once: the tasks of a part
+    # how many calls may run at once
     concurrency: int = 1
-    # calls that one task makes before its part is stored
+    # calls that each of them makes, one after the other, before their part is stored
     calls_per_task: int = 8
     sleep: Callable[[float], None] = time.sleep
 
@@ -178,44 +179,59 @@ class _Alone:
         return [state]
 
 
-def can_stop_together(spark: SparkSession, policy: CallPolicy) -> bool:
+def can_stop_together(spark: SparkSession, policy: CallPolicy, tasks: int | None = None) -> bool:
     """Whether all calling tasks can run at once, as a barrier stage needs."""
     dynamic = spark.conf.get("spark.dynamicAllocation.enabled", "false").lower() == "true"
-    return not dynamic and policy.concurrency <= spark.sparkContext.defaultParallelism
+    return not dynamic and (tasks or policy.concurrency) <= spark.sparkContext.defaultParallelism
 
 
 def summarize_with_backend(
-    contexts: DataFrame, factory: SummarizerFactory, policy: CallPolicy = CallPolicy()
+    contexts: DataFrame,
+    factory: SummarizerFactory,
+    policy: CallPolicy = CallPolicy(),
+    threads: int = 1,
 ) -> DataFrame:
     """Add ``target_summary, status, error`` by calling a backend for each context.
 
-    At most ``policy.concurrency`` tasks call at once. They run as one barrier stage and agree
-    before each call: after a failure in any of them no task starts another one, a service
-    that refuses once is left alone. Rows that are not ``ok`` stay pending.
-    Where a barrier stage cannot run (dynamic allocation, or more calls at once than slots),
+    At most ``policy.concurrency`` calls run at once, ``threads`` of them in one task, each with
+    a client of its own. Tasks run as one barrier stage and agree before each round of calls:
+    after a failure in any of them no task starts another one, a service that refuses once is
+    left alone. Rows that are not ``ok`` stay pending. Agreeing takes a second or so; a single
+    task need not ask, which suits contexts few enough for one task, as those of a part.
+    Where a barrier stage cannot run (dynamic allocation, or more tasks at once than slots),
     a failure stops its own task only.
     """
-    together = policy.concurrency > 1 and can_stop_together(contexts.sparkSession, policy)
+    tasks = -(-policy.concurrency // threads)
+    at_once = min(threads, policy.concurrency)
+    together = tasks > 1 and can_stop_together(contexts.sparkSession, policy, tasks)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        summarize = factory()
+        summarizers = [factory() for _ in range(at_once)]
         others = _Together() if together else _Alone()
         stopped = failed = False
-        for batch in batches:
-            summaries, statuses, errors = [], [], []
-            for context in batch["llm_input_context"]:
-                summary, status, error = None, "skipped", None
-                stopped = stopped or "failed" in others.ask("failed" if failed else "calling")
-                if not stopped:
-                    try:
-                        summary, status = call_with_retries(summarize, context, policy), "ok"
-                        policy.sleep(policy.pause_seconds)
-                    except Exception as failure:
-                        status, error, failed = "failed", str(failure), True
-                summaries.append(summary)
-                statuses.append(status)
-                errors.append(error)
-            yield batch.assign(target_summary=summaries, status=statuses, error=errors)
+
+        def call(summarize: Summarizer, context: str) -> tuple[str | None, str, str | None]:
+            try:
+                summary = call_with_retries(summarize, context, policy)
+                policy.sleep(policy.pause_seconds)
+                return summary, "ok", None
+            except Exception as failure:
+                return None, "failed", str(failure)
+
+        with ThreadPoolExecutor(at_once) as pool:
+            for batch in batches:
+                found: list[tuple[str | None, str, str | None]] = []
+                texts = batch["llm_input_context"].tolist()
+                for start in range(0, len(texts), at_once):
+                    part = texts[start : start + at_once]
+                    stopped = stopped or "failed" in others.ask("failed" if failed else "calling")
+                    if stopped:
+                        found += [(None, "skipped", None)] * len(part)
+                        continue
+                    found += pool.map(call, summarizers[: len(part)], part)
+                    failed = failed or any(status == "failed" for _, status, _ in found[start:])
+                summaries, statuses, errors = (list(c) for c in zip(*found)) if found else ([], [], [])
+                yield batch.assign(target_summary=summaries, status=statuses, error=errors)
         # tasks with fewer rows keep answering until all have none left, or one has failed
         while not stopped:
             states = others.ask("failed" if failed else "done")
@@ -223,7 +239,8 @@ def summarize_with_backend(
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in contexts.schema.fields]
     schema = ", ".join([*fields, "target_summary string", "status string", "error string"])
-    return contexts.repartition(policy.concurrency).mapInPandas(run, schema, barrier=together)
+    dealt = contexts.coalesce(1) if tasks == 1 else contexts.repartition(tasks)
+    return dealt.mapInPandas(run, schema, barrier=together)
 
 
 def extractive_summary(context: Column, sentences: int = 3) -> Column:

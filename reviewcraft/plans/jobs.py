@@ -31,6 +31,8 @@ Metrics = dict[str, Any]
 
 #: Contexts that the built-in summarizer gets in one task.
 BUILT_IN_ROWS = 10_000
+#: Calls at once in one task of a part. Above it, tasks have to agree before each round.
+CALLS_PER_TASK = 16
 
 
 def train_detector(
@@ -127,9 +129,9 @@ def enrich(
 
     Finished places come from a key table beside the summaries, which learns of new files
     only. The contexts of the share are fetched once and stored by part; each part is read
-    alone. The summaries of a part are written to the shared folder, counted and appended before
-    the next part begins: a run that dies loses one part, and later runs never ask for a
-    finished summary again. The run ends early if there is nothing to do, and after a part
+    alone. The summaries of a part are counted and appended by one job before the next part
+    begins: a run that dies loses one part, and later runs never ask for a finished summary
+    again. The run ends early if there is nothing to do, and after a part
     with a failure. The built-in summarizer has no service to be careful with and does
     all in one part.
     """
@@ -160,18 +162,17 @@ def enrich(
         if summarizer is None:
             enriched = en.summarize_extractively(rows)
         else:
-            enriched = en.summarize_with_backend(rows, summarizer, policy)
+            enriched = en.summarize_with_backend(rows, summarizer, policy, CALLS_PER_TASK)
+        # the calls, the counts and the append are one Spark job
         counts = Observation()
-        enriched.observe(
+        watched = enriched.observe(
             counts,
             F.count(F.lit(1)).alias("tried"),
             F.count_if(F.col("status") == "ok").alias("succeeded"),
             F.first("error", ignorenulls=True).alias("first_error"),
-        ).write.parquet(f"{staged}/done/part={part}")
+        )
+        jsonl.append(en.summary_records(watched), summaries_path)
         found = counts.get
-        if found["succeeded"]:
-            finished = spark.read.parquet(f"{staged}/done/part={part}")
-            jsonl.append(en.summary_records(finished), summaries_path)
         metrics["parts"] += 1
         metrics["tried"] += found["tried"]
         metrics["succeeded"] += found["succeeded"]

@@ -255,3 +255,43 @@ def test_texts_of_a_share_are_read_once(spark, tmp_path, monkeypatch):
     assert found["succeeded"] == 20 and found["parts"] == len(seen) == 4
     for part, files in enumerate(seen):
         assert files and all(f"/share/part={part}/" in name for name in files)
+
+
+def test_calls_of_a_part_need_no_barrier(spark, tmp_path):
+    """Calls of one task run at once in rounds; a failure ends them, and no tasks have to agree."""
+    log = str(tmp_path / "log")
+
+    def factory(bad):
+        def summarize(prompt, context):
+            with open(log, "a") as calls:
+                calls.write("x")
+            if context == bad:
+                raise ValueError("refused")
+            return "özet"
+
+        return summarize
+
+    rows = [(f"p{i:02d}", str(i), "P", 1, 1.0) for i in range(20)]
+    df = spark.createDataFrame(rows, schemas.CONTEXTS)
+    called = en.summarize_with_backend(df, lambda: factory("5"), quiet(concurrency=4), 16)
+    states = [r["status"] for r in called.collect()]
+    assert states == ["ok"] * 5 + ["failed"] + ["ok"] * 2 + ["skipped"] * 12
+    assert len(open(log).read()) == 8
+    plan = called._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    states = [r["status"] for r in en.summarize_with_backend(df, lambda: factory(""), quiet(concurrency=20), 16).collect()]
+    assert states == ["ok"] * 20
+
+
+def test_a_part_is_one_job(spark, tmp_path):
+    source, target = str(tmp_path / "contexts"), str(tmp_path / "summaries")
+    tables.write_parquet(contexts(spark, 12), source)
+    tracker, jobs_of = spark.sparkContext.statusTracker(), []
+    for calls in (6, 1):
+        spark.sparkContext.setJobGroup(f"parts-{calls}", "")
+        policy = quiet(concurrency=2, calls_per_task=calls)
+        found = jobs.enrich(spark, source, f"{target}{calls}", lambda: lambda p, c: c, policy=policy)
+        assert found["succeeded"] == 12 and found["parts"] == 6 // calls
+        jobs_of.append(len(tracker.getJobIdsForGroup(f"parts-{calls}")))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs_of[1] - jobs_of[0] <= 6
