@@ -56,10 +56,22 @@ def _signed(value: int) -> int:
     return (value if value < 1 << 63 else value - (1 << 64)) or 1
 
 
+#: Bytes of text that are taken apart at a time, unless a single text is longer. All arrays of a
+#: task, and the rows of coded texts that the JVM holds, are a few times as large.
+RUN_BYTES = 2 << 20
+
+
 def _lang_runs(batch: pa.RecordBatch) -> Iterator[tuple[str, list[bytes]]]:
+    """Texts of one language, ``RUN_BYTES`` at a time."""
     texts: dict[str, list[bytes]] = {}
-    for lang, text in zip(batch.column("lang").to_pylist(), batch.column("utf8"), strict=True):
-        texts.setdefault(lang, []).append(text.as_py())
+    sizes: dict[str, int] = {}
+    for lang, value in zip(batch.column("lang").to_pylist(), batch.column("utf8"), strict=True):
+        text = value.as_py()
+        if sizes.get(lang, 0) + len(text) > RUN_BYTES and lang in texts:
+            sizes.pop(lang)
+            yield lang, texts.pop(lang)
+        texts.setdefault(lang, []).append(text)
+        sizes[lang] = sizes.get(lang, 0) + len(text)
     yield from texts.items()
 
 

@@ -3,6 +3,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from reviewcraft.llm import cells, collocations
@@ -114,3 +115,15 @@ def test_split_words_at_every_kind_of_byte():
     assert words.text.tolist() == [1, 1, 1, 2, 2, 3]
     assert np.flatnonzero(np.diff(words.piece, prepend=-1)).tolist() == [0, 1, 3, 5]
     assert split_words([], kinds).distinct == []
+
+
+def test_texts_are_taken_apart_in_bounded_runs():
+    """A batch of one language does not become one row of coded texts."""
+    texts = [b"a bc " * 40_000] * 40 + [b"", b"x" * (collocations.RUN_BYTES + 1), b"y"]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(["de", *["en"] * (len(texts) - 1)]), pa.array(texts, pa.binary())], names=["lang", "utf8"]
+    )
+    runs = list(collocations._lang_runs(batch))
+    assert sorted(t for _, run in runs for t in run) == sorted(texts)
+    assert all(len(run) == 1 or sum(map(len, run)) <= collocations.RUN_BYTES for _, run in runs)
+    assert len(runs) <= 8 and {lang for lang, _ in runs} == {"de", "en"}
