@@ -118,3 +118,14 @@ def test_small_tables(spark, tmp_path, rows):
     incremental.combine(spark, staging, final)
     assert spark.read.parquet(final).count() == rows
     assert len(files_of(final)) <= 1
+
+
+def test_a_batch_of_few_files_is_dealt_over_all_cores(spark, tmp_path):
+    raw, staging, progress = (str(tmp_path / n) for n in ("raw", "s", "p"))
+    spark.range(1000).repartition(2).write.parquet(raw)
+    schema = spark.read.parquet(raw).schema
+    by_task = lambda df: df.withColumn("task", F.spark_partition_id())
+    assert incremental.run_available(spark, raw, schema, by_task, staging, progress, 1) == 2
+    rows = spark.read.parquet(staging)
+    assert rows.select("task").distinct().count() == spark.sparkContext.defaultParallelism
+    assert rows.select("id").distinct().count() == rows.count() == 1000
