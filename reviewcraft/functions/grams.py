@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 MAX_GRAM = 3
 NO_GRAM = -1
 # bits for a code point: three of them fit a signed 64-bit integer
-_BITS = 21
+BITS = 21
 
 
 def letters_only(text: Column) -> Column:
@@ -36,8 +36,8 @@ def text_grams(chars: np.ndarray) -> list[np.ndarray]:
     second, third = np.zeros_like(first), np.zeros_like(first)
     second[:-1] = first[1:]
     third[:-2] = first[2:]
-    single = first << (2 * _BITS)
-    pair = single | (second << _BITS)
+    single = first << (2 * BITS)
+    pair = single | (second << BITS)
     return [
         np.where(first > 0, single, NO_GRAM),
         np.where((first > 0) & (second > 0), pair, NO_GRAM),
@@ -51,7 +51,7 @@ def count_word_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     Words are framed by spaces, so that grams know where a word starts and
     ends; the lone frame is no gram.
     """
-    lone_frame = ord(" ") << (2 * _BITS)
+    lone_frame = ord(" ") << (2 * BITS)
     for batch in batches:
         for lang, rows in batch.groupby("lang"):
             words = [f" {word} " for word in rows["word"]]

@@ -2,8 +2,8 @@
 
 Training counts distinct words before it takes them apart, so its cost follows
 the vocabulary rather than the text. The profile's size is checked before it travels
-with the tasks: scoring is a projection in Arrow batches, and no text is
-shuffled or joined back.
+with the tasks: scoring is a projection in Arrow batches that looks up distinct words, and
+no text is shuffled or joined back.
 """
 
 from __future__ import annotations
@@ -13,16 +13,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewcraft import fixed_values as fv
 from reviewcraft.functions import text as tx
-from reviewcraft.functions.grams import count_word_grams, framed_codes, letters_only, text_grams
+from reviewcraft.functions.grams import BITS, count_word_grams, framed_codes, letters_only, text_grams
 from reviewcraft.sources import tables
 
 # characters scored at a time by one task, unless a single text is longer
 _SLICE_CHARS = 1 << 18
+# characters of texts whose distinct words are scored together
+_WORDS_CHARS = 1 << 23
 # weights of a profile that is held in the driver and broadcast (8 bytes each)
 MAX_WEIGHTS = 1 << 25
 
@@ -46,10 +50,12 @@ def train_profile(
         .groupBy("lang", "word")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    counts = (
+    # stored: totals, sizes and weights all need the counts, the texts are read once
+    counts = tables.stored(
         words.mapInPandas(count_word_grams, "lang string, gram bigint, n bigint")
         .groupBy("gram", "lang")
-        .agg(F.sum("n").alias("n"))
+        .agg(F.sum("n").alias("n")),
+        "gram-counts",
     )
     # one row per gram, a map entry per language
     per_gram = counts.groupBy("gram").agg(
@@ -206,19 +212,56 @@ def _best_language(texts: list[str], grams: np.ndarray, weights: np.ndarray) ->
 def _sums(
     texts: list[str], grams: np.ndarray, weights: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Number of known grams of each text, and their weights summed for each language."""
-    hits = np.zeros(len(texts), dtype=np.int64)
-    scores = np.zeros((len(weights), len(texts)), dtype=np.int64)
-    start = 0
+    """Number of known grams of each text, and their weights summed for each language.
+
+    No gram of a trained profile crosses a space, so a text has the sums of its words, and each
+    distinct word of many texts is looked up once.
+    """
+    if not texts:
+        return np.zeros(0, dtype=np.int64), np.zeros((len(weights), 0), dtype=np.int64)
+    if _crosses_words(grams):
+        return _in_slices(texts, _SLICE_CHARS, lambda part: _score_slice(part, grams, weights))
+    return _in_slices(texts, _WORDS_CHARS, lambda part: _word_sums(part, grams, weights))
+
+
+def _crosses_words(grams: np.ndarray) -> bool:
+    """Whether a gram is a lone space, or has one that neither opens nor ends a word."""
+    space, mask = ord(" "), (1 << BITS) - 1
+    first, second, third = grams >> (2 * BITS), (grams >> BITS) & mask, grams & mask
+    inside = (second == space) & ((third != 0) | (first == space))
+    return bool(np.any(inside | ((first == space) & (second == 0))))
+
+
+def _in_slices(texts: list[str], most: int, score) -> tuple[np.ndarray, np.ndarray]:
+    """What ``score`` finds for runs of texts of about ``most`` characters, put together."""
+    hits, scores, start = [], [], 0
     while start < len(texts):
         stop, size = start + 1, len(texts[start])
-        while stop < len(texts) and size + len(texts[stop]) <= _SLICE_CHARS:
+        while stop < len(texts) and size + len(texts[stop]) <= most:
             size += len(texts[stop])
             stop += 1
-        part = slice(start, stop)
-        hits[part], scores[:, part] = _score_slice(texts[part], grams, weights)
+        found = score(texts[start:stop])
+        hits.append(found[0])
+        scores.append(found[1])
         start = stop
-    return hits, scores
+    return np.concatenate(hits), np.concatenate(scores, axis=1)
+
+
+def _word_sums(
+    texts: list[str], grams: np.ndarray, weights: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+    # a text has one word at least, the empty one, so no run of words is empty
+    lengths = pc.list_value_length(split).to_numpy(zero_copy_only=False)
+    starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+    words = split.flatten().dictionary_encode()
+    codes = words.indices.to_numpy(zero_copy_only=False)
+    framed = [f" {word} " if word else "" for word in words.dictionary.to_pylist()]
+    hits, scores = _in_slices(framed, _SLICE_CHARS, lambda part: _score_slice(part, grams, weights))
+    return (
+        np.add.reduceat(hits[codes], starts),
+        np.stack([np.add.reduceat(score[codes], starts) for score in scores]),
+    )
 
 
 def _score_slice(

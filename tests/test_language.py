@@ -1,9 +1,11 @@
 """Detection by accuracy on rows kept out of training; translation backends; allow list."""
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from reviewcraft.functions.grams import count_word_grams, text_grams
 from reviewcraft.operators import language as lg
 from reviewcraft.operators import translation as tr
 from reviewcraft.operators.ranking import ranked_in_groups
@@ -229,3 +231,45 @@ def test_large_profiles_are_loaded_as_slices(spark, documents, tmp_path, monkeyp
     with pytest.raises(ValueError, match="needs a batch"):
         stream = spark.readStream.schema("text string").parquet(str(tmp_path / "model"))
         large.detect(stream, "text")
+
+
+def test_words_of_texts_are_looked_up_once(monkeypatch):
+    """Sums over distinct words are those over all grams, and equal words cost no second look."""
+    words = ["a", "bc", "été", "漢字", "word", "longer"]
+    counted = next(count_word_grams(iter([pd.DataFrame({"lang": "x", "word": words, "n": 1})])))
+    grams = np.sort(counted["gram"].to_numpy())
+    weights = np.array([np.arange(len(grams)), -7 * np.arange(len(grams))], dtype=np.int64)
+    texts = ["", " ", *(" " + " ".join(words[: i % 7]) + " zz été " for i in range(500))]
+    wanted = lg._score_slice(texts, grams, weights)
+    looked_up = []
+    score = lg._score_slice
+    monkeypatch.setattr(lg, "_score_slice", lambda t, *rest: looked_up.extend(t) or score(t, *rest))
+    found = lg._sums(texts, grams, weights)
+    assert all(np.array_equal(a, b) for a, b in zip(found, wanted, strict=True))
+    assert len(looked_up) <= len(words) + 2
+    # a foreign profile may have grams across words: then all grams are looked up
+    across = text_grams(np.array([ord("a"), ord(" "), ord("b")], dtype=np.uint32))[2][:1]
+    grams, weights = np.append(grams, across), np.hstack([weights, weights[:, :1]])
+    order = np.argsort(grams)
+    grams, weights = grams[order], weights[:, order]
+    wanted = score([" a bc "], grams, weights)
+    found = lg._sums([" a bc "], grams, weights)
+    assert all(np.array_equal(a, b) for a, b in zip(found, wanted, strict=True))
+
+
+def test_batches_for_a_backend_are_bounded_by_bytes(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def backend():
+        def call(texts, source, target):
+            seen.add(len(texts))
+            return [str(len(texts))] * len(texts)
+
+        return call
+
+    rows = spark.range(0, 40, 1, 1).selectExpr("id", "repeat('long text ', 100000) AS text", "'en' AS detected_lang")
+    policy = tr.BatchPolicy(texts=1000, max_tokens=None, padded_tokens=1 << 40)
+    done = tr.translate_foreign(rows, "text", "tr", backend, ["en"], policy)
+    sizes = [int(r["cleaned_text"]) for r in done.select("cleaned_text").collect()]
+    # texts of 1 MB
+    assert max(sizes) <= 10 and seen.value == 40
