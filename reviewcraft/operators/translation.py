@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from reviewcraft import fixed_values as fv
 from reviewcraft.functions import text as tx
 from reviewcraft.operators.ranking import ranked_in_groups
+from reviewcraft.session import bound_batches
 
 logger = logging.getLogger(__name__)
 
@@ -118,6 +119,7 @@ def translate_foreign(
     df = df.withColumn("is_translated", F.coalesce(foreign, F.lit(True)))
     if backend is None:
         return df.withColumn("cleaned_text", F.col(text_col))
+    bound_batches(df.sparkSession)
     translate = _translator(
         backend, target_lang, frozenset(translatable) - {target_lang}, policy
     )
