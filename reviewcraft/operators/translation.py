@@ -7,13 +7,16 @@ from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reviewcraft import fixed_values as fv
 from reviewcraft.functions import text as tx
 from reviewcraft.operators.ranking import ranked_in_groups
 from reviewcraft.session import bound_batches
+from reviewcraft.sources import tables
 
 logger = logging.getLogger(__name__)
 
@@ -156,9 +159,11 @@ def frequency_glossary(
 #: A glossary within these bounds goes to the Python workers whole.
 GLOSSARY_WORDS = 500_000
 GLOSSARY_BYTES = 32 << 20
-#: A word in more texts than this is dealt over so many groups of the join.
+#: A word in more runs of texts than this is dealt over so many groups of the join.
 HOT_WORD_TEXTS = 1_000_000
 HOT_WORD_GROUPS = 64
+#: Neighbouring texts that look up their words together.
+RUN_TEXTS = 1024
 
 
 def glossary_translate(
@@ -173,7 +178,7 @@ def glossary_translate(
 
     ``key_cols`` must identify a row. ``glossary`` should be a table. If it is small (checked
     by count and bytes), the workers get it whole and texts are not shuffled. A larger one is
-    joined with the distinct words of each text, and hot words are dealt over many groups.
+    joined with the distinct words of runs of texts, and hot words are dealt over many groups.
     """
     n_words, n_bytes = glossary.agg(
         F.count(F.lit(1)),
@@ -207,11 +212,48 @@ def _translate_in_workers(df, glossary, text_col, key_cols, lang_col, output_col
 
 
 def _translate_by_join(df, glossary, text_col, key_cols, lang_col, output_col) -> DataFrame:
-    """Each text looks up its distinct words, and meets their translations by its key."""
-    split = df.select(
-        *key_cols, F.col(lang_col).alias("lang"), tx.tokens(F.col(text_col)).alias("tokens")
+    """Runs of neighbouring texts look up their distinct words, and meet the translations again.
+
+    A word that many texts of a run share is looked up once, so far fewer rows than words of
+    texts reach the joins; a task holds the texts of one run and the translations it found.
+    """
+    spark = df.sparkSession
+    place = F.monotonically_increasing_id()
+    words = F.array_join(tx.tokens(F.col(text_col)), " ")
+    # stored, as the numbers of runs are used twice
+    runs = tables.stored(
+        df.select(*key_cols, F.col(lang_col).alias("_lang"), words.alias("_words"))
+        .withColumn("_run", F.floor(place / RUN_TEXTS).cast("long")),
+        "glossary-runs",
+    )
+    bound_batches(spark)
+    wanted = runs.select("_run", "_lang", "_words").mapInArrow(
+        _distinct_words, "_run long, lang string, token string"
     )
-    wanted = split.select(*key_cols, "lang", F.explode(F.array_distinct("tokens")).alias("token"))
+    if runs.select("_run").distinct().count() > HOT_WORD_TEXTS:
+        found = _hot_words_dealt(wanted, glossary)
+    else:
+        # a word is looked up once a run, so none is hot
+        found = wanted.join(glossary, ["lang", "token"])
+    found = found.filter(F.col("translation").isNotNull()).select("_run", "lang", "token", "translation")
+    schema = T.StructType([*df.select(*key_cols).schema.fields, T.StructField(output_col, T.StringType())])
+
+    def translate(texts: pa.Table, known: pa.Table) -> pa.Table:
+        translations: dict[str, dict[str, str]] = {}
+        for lang, token, translation in zip(*(c.to_pylist() for c in known.columns[1:]), strict=True):
+            translations.setdefault(lang, {})[token] = translation
+        out = []
+        for lang, line in zip(texts["_lang"].to_pylist(), texts["_words"].to_pylist(), strict=True):
+            if line and lang in translations:
+                tokens = line.split(" ")
+                line = " ".join(map(translations[lang].get, tokens, tokens))
+            out.append(line)
+        return texts.select(key_cols).append_column(output_col, pa.array(out, pa.string()))
+
+    return runs.groupBy("_run").cogroup(found.groupBy("_run")).applyInArrow(translate, schema)
+
+
+def _hot_words_dealt(wanted: DataFrame, glossary: DataFrame) -> DataFrame:
     # at most one word in a million looked-up ones is here
     hot = F.broadcast(
         wanted.groupBy("lang", "token")
@@ -219,7 +261,7 @@ def _translate_by_join(df, glossary, text_col, key_cols, lang_col, output_col) -
         .filter(F.col("count") > HOT_WORD_TEXTS)
         .select("lang", "token", F.lit(True).alias("hot"))
     )
-    group = F.when(F.col("hot"), F.pmod(F.xxhash64(*key_cols), F.lit(HOT_WORD_GROUPS))).otherwise(0)
+    group = F.when(F.col("hot"), F.pmod(F.xxhash64("_run"), F.lit(HOT_WORD_GROUPS))).otherwise(0)
     groups = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(HOT_WORD_GROUPS - 1))).otherwise(
         F.array(F.lit(0))
     )
@@ -227,19 +269,19 @@ def _translate_by_join(df, glossary, text_col, key_cols, lang_col, output_col) -
     copied = glossary.join(hot, ["lang", "token"], "left").select(
         "lang", "token", "translation", F.explode(groups).alias("group")
     )
-    found = (
-        dealt.drop("hot")
-        .join(copied, ["lang", "token", "group"])
-        .groupBy(*key_cols)
-        .agg(F.map_from_entries(F.collect_list(F.struct("token", "translation"))).alias("known"))
-    )
-    word: Callable[[Column], Column] = lambda token: F.coalesce(
-        F.try_element_at("known", token), token
-    )
-    return split.join(found, key_cols, "left").select(
-        *key_cols,
-        F.array_join(
-            F.when(F.col("known").isNull(), F.col("tokens")).otherwise(F.transform("tokens", word)),
-            " ",
-        ).alias(output_col),
-    )
+    return dealt.drop("hot").join(copied, ["lang", "token", "group"])
+
+
+def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct words of each run and language, once for each batch that has some of it."""
+    for batch in batches:
+        seen: dict[tuple[int, str], set[str]] = {}
+        for run, lang, line in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if line and lang is not None:
+                seen.setdefault((run, lang), set()).update(line.split(" "))
+        for (run, lang), tokens in seen.items():
+            n = len(tokens)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([run] * n, pa.int64()), pa.array([lang] * n, pa.string()), pa.array(list(tokens), pa.string())],
+                names=["_run", "lang", "token"],
+            )

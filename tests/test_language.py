@@ -273,3 +273,24 @@ def test_batches_for_a_backend_are_bounded_by_bytes(spark):
     sizes = [int(r["cleaned_text"]) for r in done.select("cleaned_text").collect()]
     # texts of 1 MB
     assert max(sizes) <= 10 and seen.value == 40
+
+
+def test_large_glossaries_meet_runs_of_texts(spark, monkeypatch):
+    """A word of many texts is looked up once a run, and rows with equal keys stay."""
+    monkeypatch.setattr(tr, "GLOSSARY_WORDS", 0)
+    rows = [(i // 2, "der hund  der", "de") for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, text string, detected_lang string").coalesce(1)
+    words = [("de", "der", "the"), ("de", "hund", None)]
+    glossary = spark.createDataFrame(words, "lang string, token string, translation string")
+    distinct = tr._distinct_words
+    counted = spark.sparkContext.accumulator(0)
+
+    def watched(batches):
+        for batch in distinct(batches):
+            counted.add(batch.num_rows)
+            yield batch
+
+    monkeypatch.setattr(tr, "_distinct_words", watched)
+    found = tr.glossary_translate(df, glossary, "text", ["id"]).collect()
+    assert sorted(map(tuple, found)) == [(i // 2, "the hund the") for i in range(200)]
+    assert counted.value == 2
