@@ -161,8 +161,13 @@ class SlicedDetector:
         if df.isStreaming:
             raise ValueError(f"a profile above {MAX_WEIGHTS} weights needs a batch, not a stream")
         spark = df.sparkSession
-        rows = tables.stored(df.withColumn("_row", F.monotonically_increasing_id()), "detected-rows")
-        letters = rows.select("_row", _detectable_letters(text_col).alias("letters"))
+        # letters are stored too: every slice reads them
+        numbered = df.withColumns(
+            {"_row": F.monotonically_increasing_id(), "_letters": _detectable_letters(text_col)}
+        )
+        rows = tables.stored(numbered, "detected-rows")
+        letters = rows.select("_row", F.col("_letters").alias("letters"))
+        rows = rows.drop("_letters")
         names = [f"score{i}" for i in range(len(self.languages))]
         schema = ", ".join(f"{n} long" for n in ("_row", "hits", *names))
         partial = None
