@@ -267,8 +267,9 @@ def _score(a: pd.Series, n: pd.Series, left: pd.Series, right: pd.Series) -> pd.
 # --- rounds -------------------------------------------------------------------------------------
 
 
-#: Tables of no more rows than this are offered for a broadcast: at most about 30 MB.
-BROADCAST_ROWS = 200_000
+#: Tables of no more rows than this are offered for a broadcast: at most about 8 MB each, as the
+#: driver holds those of several rounds at a time.
+BROADCAST_ROWS = 50_000
 
 
 def _offered(df: DataFrame, rows: int) -> DataFrame:
