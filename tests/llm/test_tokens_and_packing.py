@@ -1,3 +1,4 @@
+import random
 import zlib
 from collections import defaultdict
 
@@ -9,6 +10,7 @@ from reviewcraft.llm.word_memo import WordMemo
 from tests.llm.fixtures import empty_docs, odd_docs, odd_rows
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
+Tokenizer = pytest.importorskip("tokenizers").Tokenizer
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 TEXTS = [
     *("a  b", "<|endoftext|> x", " lead", "trail ", "x\ny z", "", "don't 's ’s it's", "a\n b"),
@@ -31,6 +33,37 @@ def test_memory_of_words_gives_the_librarys_ids(kept):
         assert found == [library_ids(t) for t in texts]
 
 
+def test_pieces_give_the_librarys_ids():
+    """Texts of parts that stand beside each other in every order, white space and marks included."""
+    rng = random.Random(6)
+    parts = [
+        *("a", "don", "S", "'", "'s", "'ll", "''", "0", "42", "_", ",", ".", "(", "!?", "<|", "|>", "é", "ß", "’", "«"),
+        *("٣", "½", "日本", "\u0301", "\x00", "\x1c", "\x7f", "\x85", "\u3000", "\u180e", "\u200b", "\ufffd", "😀"),
+        *(" ", " ", " ", "\n", "\n", "\t", "\r", "\x0b", "the", "ing", "Reor"),
+    ]
+    texts = ["".join(rng.choices(parts, k=rng.randint(1, 12))) for _ in range(3000)]
+    texts += [a + b + c for a in parts for b in parts for c in (" 1", "\nx")]
+    tokenizer = Tokenizer.from_file(PATH)
+    expected = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    for kept, together in ((0, 256), (200, 3), (100_000, 256)):
+        memo = WordMemo(PATH, kept_words=kept, words_per_call=together)
+        for at in range(0, len(texts), 500):
+            found = memo.encode(texts[at : at + 500])
+            assert [np.frombuffer(d, dtype="<u4").tolist() for d in found] == expected[at : at + 500]
+
+
+def test_words_are_encoded_once_whatever_stands_beside_them(monkeypatch):
+    rng = random.Random(7)
+    letters = ["".join(rng.choices("abcdefgh", k=8)) for _ in range(200)]
+    ends = [",", ".", ".\nOn", ";", "!", "?", ",###", "***", "-1", ")", "$", ":", "'s", '"', "2"]
+    texts = [f"so {word}{end} it" for end in ends for word in letters]
+    memo, sent, whole = WordMemo(PATH), [], WordMemo._whole
+    monkeypatch.setattr(WordMemo, "_whole", lambda self, text: sent.append(len(text)) or whole(self, text))
+    for at in range(0, len(texts), 100):
+        memo.encode(texts[at : at + 100])
+    assert sum(sent) < 2 * sum(map(len, letters))
+
+
 def crc(ids):
     return zlib.crc32(np.array(ids, dtype="<u4").tobytes())
 
