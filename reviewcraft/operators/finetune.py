@@ -159,8 +159,11 @@ def fit_messages(
     """
     length = lambda m: F.coalesce(F.length(m.getField("content")), F.lit(0))
     lengths = F.array_sort(F.transform(messages, length))
-    total = F.aggregate(lengths, F.lit(0), lambda a, n: a + n)
-    tags = F.length(render_chat(messages)) - total
+    # turns without content count too: the template leaves them out of the rendered text
+    empty = F.transform(
+        messages, lambda m: F.struct(m.getField("role").alias("role"), F.lit("").alias("content"))
+    )
+    tags = F.length(render_chat(empty))
     room = F.greatest(F.lit(int(max_tokens * chars_per_token)) - tags, F.lit(0))
 
     def keep_whole(state: Column, n: Column) -> Column:

@@ -140,6 +140,21 @@ def test_messages_are_cut_to_a_level(spark):
             assert [tuple(m) for m in row["fitted"]] == wanted
 
 
+def test_turns_without_role_or_content_leave_the_text_within_the_budget(spark):
+    rows = [
+        (1, [(None, "x" * 500), ("user", "y" * 500)]),
+        (2, [("user", None), ("assistant", "y" * 500)]),
+        (3, [("user", "y" * 500), (None, None)]),
+    ]
+    df = spark.createDataFrame(rows, "id long, messages array<struct<role:string,content:string>>")
+    fitted = df.withColumn("messages", ft.fit_messages(F.col("messages"), 60))
+    text = ft.render_chat(F.col("messages"))
+    found = {r["id"]: r for r in fitted.select("*", F.length(text).alias("n")).collect()}
+    # 240 characters; tags take 28 for a user's turn and 33 for an assistant's
+    assert {i: r["n"] for i, r in found.items()} == {1: 28 + 106, 2: 33 + 179, 3: 240}
+    assert [(m["role"], len(m["content"])) for m in found[1]["messages"]] == [(None, 106), ("user", 106)]
+
+
 def test_cut_examples_fit(spark):
     rows = [("p", "a " * 3000, "b" * 50)]
     df = spark.createDataFrame(rows, "place_id string, input_context string, target_summary string")
